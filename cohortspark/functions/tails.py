@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def beta_fraction(a: float, b: float, x: float) -> float:
@@ -40,7 +41,7 @@ def beta_fraction(a: float, b: float, x: float) -> float:
     return scale * out / a
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def f_tail(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     """Probability that an F variable exceeds ``f``; missing where the test is undefined."""
     out = [

@@ -37,11 +37,14 @@ def prefix_matches(codes: DataFrame, code: str, keys: DataFrame, key: str = "icd
     A LIKE join would compare each code to each key. Here a code is cut to the
     few lengths that keys have, and the pieces are joined by equality.
     """
-    lengths = keys.where(F.col(key).isNotNull()).agg(F.array_distinct(F.collect_set(F.length(key)))).scalar()
-    pieces = F.transform(
-        F.filter(lengths, lambda n: n <= F.length(code)), lambda n: F.left(F.col(code), n)
+    lengths = keys.where(F.col(key).isNotNull()).agg(F.collect_set(F.length(key))).scalar()
+    cut = (
+        codes.where(F.col(code).isNotNull())
+        .withColumn("_length", F.explode(lengths))
+        .where(F.col("_length") <= F.length(code))
+        .withColumn(key, F.left(F.col(code), F.col("_length")))
+        .drop("_length")
     )
-    cut = codes.where(F.col(code).isNotNull()).withColumn(key, F.explode(pieces))
     return cut.join(keys, key)
 
 

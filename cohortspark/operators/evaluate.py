@@ -243,8 +243,12 @@ def calibration(
     )
     probs = {f"q{i}": i / n_bin for i in range(n_bin + 1)}
     breaks = exact_quantiles(cases, "pred", probs).select(F.array_distinct(F.array(*probs))).scalar()
-    below = F.size(F.filter(breaks, lambda edge: edge < F.col("pred")))
-    binned = cases.withColumn("pred_bin", F.greatest(below, F.lit(1)))
+    below = F.size(F.filter("_breaks", lambda edge: edge < F.col("pred")))
+    binned = (
+        cases.withColumn("_breaks", breaks)
+        .withColumn("pred_bin", F.greatest(below, F.lit(1)))
+        .drop("_breaks")
+    )
     sums = binned.groupBy("pred_bin").agg(
         F.count(F.lit(1)).alias("expos"),
         F.min("pred").alias("bin_lower"),

@@ -81,12 +81,14 @@ def windowed_extract(
     before: int = 365,
     after: int = 30,
     per_stay: bool = True,
+    keep: Sequence[str] = (),
     patient: str = "patid",
 ) -> DataFrame:
     """Events of each patient from ``before`` days ahead of admission to ``after`` days past discharge.
 
-    An event is repeated for every stay whose window holds it; ``per_stay=False``
-    gives each event once. Open stays have no window.
+    An event is repeated for every stay whose window holds it, with the ``keep``
+    columns of that stay; ``per_stay=False`` gives each event once and keeps none.
+    Open stays have no window.
 
     The join runs on patient and quarter of a year, not on the patient alone: a
     patient with very many events is spread over many keys, and only pairs whose
@@ -95,6 +97,7 @@ def windowed_extract(
     bounds = (
         cohort.select(
             patient,
+            *keep,
             F.date_sub("admit_date", before).alias("_from"),
             F.date_add("discharge_date", after).alias("_to"),
         )
@@ -111,7 +114,8 @@ def windowed_extract(
         & F.col(f"e.{date}").between(F.col("b._from"), F.col("b._to"))
     )
     joined = e.join(b, condition, "inner" if per_stay else "left_semi")
-    return joined.select(F.col(f"e.{patient}"), *(F.col(f"e.{c}") for c in columns))
+    carried = [F.col(f"b.{c}") for c in keep] if per_stay else []
+    return joined.select(F.col(f"e.{patient}"), *(F.col(f"e.{c}") for c in columns), *carried)
 
 
 def extract_events(
@@ -120,11 +124,12 @@ def extract_events(
     table: str,
     date: str | None = None,
     per_stay: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Windowed extract of one of :data:`EVENT_TABLES`; ``date`` replaces its date column."""
     spec = EVENT_TABLES[table]
     return windowed_extract(
-        cohort, events, date or spec.date, spec.columns, spec.before, spec.after, per_stay
+        cohort, events, date or spec.date, spec.columns, spec.before, spec.after, per_stay, keep
     )
 
 

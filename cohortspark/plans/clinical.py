@@ -124,8 +124,10 @@ def severity_models(initial: DataFrame, long_hours: int = 96) -> dict[str, Model
         part = rows.where(only) if only else rows
         fit = fit_glm(part, label, features)
         out[name] = ModelResult(fit, perf_summary(fitted(fit, part, label)))
-    fit = fit_glm(rows, "mv_dur_hour", ["pos_confirmed", "age_at_admit", "sofa_init"], "poisson")
-    reached = fitted(fit, rows, "mv_dur_hour", f"mv_dur_hour >= {long_hours}")
+    # a record may end before it starts; a count model takes no negative hours
+    counted = rows.where("mv_dur_hour >= 0")
+    fit = fit_glm(counted, "mv_dur_hour", ["pos_confirmed", "age_at_admit", "sofa_init"], "poisson")
+    reached = fitted(fit, counted, "mv_dur_hour", f"mv_dur_hour >= {long_hours}")
     out["exposure_hours"] = ModelResult(fit, perf_summary(reached))
     return out
 
