@@ -122,11 +122,10 @@ def longest_stays(stays: DataFrame, status: int = 2) -> DataFrame:
 
 def los_summary(stays: DataFrame, status: int = 2) -> DataFrame:
     """One row: first and last admission, and the spread of the length of stay."""
-    longest = longest_stays(stays, status).withColumn("_one", F.lit(1))
-    points = exact_quantiles(
-        longest, "hosp_los", {"los_q1": 0.25, "los_median": 0.5, "los_q3": 0.75}, ["_one"]
-    )
-    moments = longest.groupBy("_one").agg(
+    longest = longest_stays(stays, status)
+    quartiles = {"los_q1": 0.25, "los_median": 0.5, "los_q3": 0.75}
+    points = exact_quantiles(longest, "hosp_los", quartiles).select(F.struct(*quartiles)).scalar()
+    moments = longest.agg(
         F.min("hosp_admsn_dttm").alias("first_admission"),
         F.max("hosp_admsn_dttm").alias("last_admission"),
         F.min("hosp_los").alias("los_min"),
@@ -134,7 +133,7 @@ def los_summary(stays: DataFrame, status: int = 2) -> DataFrame:
         F.max("hosp_los").alias("los_max"),
         F.stddev_samp("hosp_los").alias("los_sd"),
     )
-    return moments.join(points, "_one").drop("_one")
+    return moments.withColumn("_points", points).select(*moments.columns, "_points.*")
 
 
 def los_buckets(stays: DataFrame, status: int = 2) -> DataFrame:

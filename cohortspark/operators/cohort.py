@@ -107,7 +107,14 @@ def status_waterfall(
     )
     if dedup:
         tagged = tagged.distinct()
-    lowest = tagged.groupBy("patient_num").agg(F.min("step").alias("step"))
+    # counting encounters keeps both sides on the same distinct rows, so that
+    # the facts are scanned and shuffled once for the two of them
+    lowest = (
+        tagged.groupBy("patient_num")
+        .agg(F.min("step").alias("step"), F.count("encounter_num").alias("_n"))
+        .where("_n >= 0")
+        .drop("_n")
+    )
     kept = null_safe_join(tagged, lowest, ["patient_num", "step"], "left_semi")
     return _labelled(kept, steps)
 

@@ -15,8 +15,7 @@ from cohortspark.functions.scalars import (
     safe_ratio,
     share_of_total,
 )
-from cohortspark.operators.ranks import exact_quantiles, first_per
-from cohortspark.sources.tables import stack
+from cohortspark.operators.ranks import exact_quantiles, first_per, null_safe_join
 
 MOMENT = ["patient_num", "encounter_num", "start_since_lab"]
 COLUMNS = [
@@ -58,7 +57,7 @@ def against_bases(values: DataFrame, bases: Sequence[str], total: str = "WBC") -
         *MOMENT, F.col("wbc_type").alias("base"), F.col("nval_num").alias("nval_base")
     )
     parts = values.where(F.col("wbc_type") != total)
-    return parts.join(base, MOMENT).where(F.col("wbc_type") != F.col("base"))
+    return null_safe_join(parts, base, MOMENT).where(F.col("wbc_type") != F.col("base"))
 
 
 def _percent(pairs: DataFrame, total: str) -> DataFrame:
@@ -92,28 +91,41 @@ def lab_ratio(values: DataFrame, base: str) -> DataFrame:
 def lab_engineered(values: DataFrame, ranges: DataFrame, total: str = "WBC") -> DataFrame:
     """Counts and percentages with their range flag, and the ratios without one.
 
-    All derived values come from a single pass over one join of the counts with
-    their bases.
+    The counts, their parts and their bases all read one shuffle of the distinct
+    values. The role each of them filters by is carried as an aggregate: a filter
+    on a grouping column would move below the shuffle and make three of it.
     """
-    pairs = against_bases(values, [total, *RATIO_BASES], total)
-    base, value = F.col("base"), F.col("nval_num")
+    kinds = [total, *RATIO_BASES]
+    role = F.lit(-1)
+    for i, name in enumerate(kinds):
+        role = F.when(F.col("wbc_type") == name, F.lit(i)).otherwise(role)
+    shared = values.groupBy(*COLUMNS).agg(F.max(role).alias("_role"))
+    kind, base, value = F.col("wbc_type"), F.col("base"), F.col("nval_num")
+    bases = shared.where("_role >= 0").select(
+        *MOMENT, kind.alias("base"), F.col("_role").alias("base_role"), value.alias("nval_base")
+    )
     suffix = F.lit(None).cast("string")
     for name, text in RATIO_BASES.items():
         suffix = F.when(base == name, F.lit(text)).otherwise(suffix)
     is_total = base == total
-    derived = pairs.select(
-        "patient_num",
-        "encounter_num",
-        F.when(is_total, F.col("wbc_type")).otherwise(F.concat("wbc_type", suffix)).alias("wbc_type"),
-        "component_id",
-        F.when(is_total, share_of_total(value, F.col("nval_base")))
-        .otherwise(safe_ratio(value, F.col("nval_base")))
-        .alias("nval_num"),
-        F.when(is_total, F.lit("%")).otherwise(F.lit("ratio")).alias("units"),
-        "start_date",
-        "start_since_lab",
-    ).distinct()
-    both = stack([values, derived])
+    derived = (
+        null_safe_join(shared.where("_role <> 0"), bases, MOMENT)
+        .where("_role <> base_role")
+        .select(
+            "patient_num",
+            "encounter_num",
+            F.when(is_total, kind).otherwise(F.concat(kind, suffix)).alias("wbc_type"),
+            "component_id",
+            F.when(is_total, share_of_total(value, F.col("nval_base")))
+            .otherwise(safe_ratio(value, F.col("nval_base")))
+            .alias("nval_num"),
+            F.when(is_total, F.lit("%")).otherwise(F.lit("ratio")).alias("units"),
+            "start_date",
+            "start_since_lab",
+        )
+        .distinct()
+    )
+    both = shared.where("_role >= -1").select(*COLUMNS).unionByName(derived)
     limits = ranges.select(
         "component_id", "normal_low", "normal_high", "normal_lowp", "normal_highp"
     )

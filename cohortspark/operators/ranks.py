@@ -99,35 +99,49 @@ def exact_quantiles(
             F.sum("_in").over(W.partitionBy(*by)).alias("_all"),
         )
     )
-    position = {name: F.lit(float(p)) * (F.col("_all") - 1) for name, p in probs.items()}
-    ranks = F.array(*(f(x) for x in position.values() for f in (F.floor, F.ceil)))
-    wanted = histogram.where(
-        F.exists(ranks, lambda r: (r >= F.col("_off")) & (r < F.col("_off") + F.col("_in")))
+    # whole positions below and above each wanted one, in the order of probs
+    share = F.array(*(F.lit(float(p)) for p in probs.values()))
+    ranks = F.flatten(
+        F.transform(
+            share, lambda p: F.array(F.floor(p * (F.col("_all") - 1)), F.ceil(p * (F.col("_all") - 1)))
+        )
+    )
+
+    wanted = (
+        histogram.withColumn("_ranks", ranks)
+        .where(
+            F.exists(ranks, lambda r: (r >= F.col("_off")) & (r < F.col("_off") + F.col("_in")))
+        )
+        .drop("_in")
     )
     inside = W.partitionBy(*keys).orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
     ranked = (
-        null_safe_join(counts, wanted.drop("_in"), keys)
+        null_safe_join(counts, wanted, keys)
         .withColumn("_end", F.sum("_n").over(inside) + F.col("_off"))
         .withColumn("_start", F.col("_end") - F.col("_n"))
+        .select(
+            *by,
+            "_v",
+            "_all",
+            F.posexplode(
+                F.transform("_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
+            ).alias("_i", "_held"),
+        )
+        .where("_held")
     )
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("_start")) & (rank < F.col("_end")), F.col("_v")))
-
+    # two values per wanted quantile are all that is left of a group
     picked = ranked.groupBy(*by).agg(
         F.max("_all").alias("_all"),
-        *(at(F.floor(x)).alias(f"_lo_{name}") for name, x in position.items()),
-        *(at(F.ceil(x)).alias(f"_hi_{name}") for name, x in position.items()),
+        F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_at"),
     )
+
+    def between(i: int, p: float) -> Column:
+        low, high = F.col("_at")[2 * i], F.col("_at")[2 * i + 1]
+        position = F.lit(float(p)) * (F.col("_all") - 1)
+        return low + (high - low) * (position - F.floor(position))
+
     return picked.select(
-        *by,
-        *(
-            (
-                F.col(f"_lo_{name}")
-                + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (x - F.floor(x))
-            ).alias(name)
-            for name, x in position.items()
-        ),
+        *by, *(between(i, p).alias(name) for i, (name, p) in enumerate(probs.items()))
     )
 
 

@@ -26,10 +26,22 @@ def _since(since: str) -> Column:
     return F.col("start_date") >= F.lit(since).cast("timestamp_ntz")
 
 
-def _coded(facts: DataFrame, code_map: DataFrame) -> DataFrame:
-    """Facts with their code name; one fact may carry several."""
+def coded_facts(
+    facts: DataFrame, stays: DataFrame, code_map: DataFrame, since: str
+) -> DataFrame:
+    """Facts of the stays since the floor date under their code name.
+
+    This is the only step that reads the fact table; exposure, pressure and
+    scores all start from it. A fact whose concept has several names is repeated.
+    """
+    columns = ["instance_num", "start_date", "nval_num", "tval_char"]
     names = code_map.select("code", F.col("i2b2_code").alias("concept_cd"))
-    return facts.join(names, "concept_cd")
+    return (
+        facts.where(_since(since))
+        .join(names, "concept_cd")
+        .select(*STAY, "code", *(c for c in columns if c in facts.columns))
+        .join(stays.select(*STAY), STAY, "left_semi")
+    )
 
 
 # ------------------------------------------------------------------- bands
@@ -125,24 +137,17 @@ def band_coverage(observations: DataFrame, bands: DataFrame, value: str = "nval_
 # ---------------------------------------------------------------- exposure
 
 
-def exposure_duration(
-    facts: DataFrame,
+def exposure_from(
+    coded: DataFrame,
     stays: DataFrame,
-    code_map: DataFrame,
-    since: str,
     init: str = "Vent_init",
     mode: str = "Vent_mode",
     unassisted: str = "spont",
 ) -> DataFrame:
-    """Start and hours of ventilation: ``patient_num``, ``mv_init``, ``mv_dur_hour``.
-
-    Starts at the first initiation, or else the first mode record; ends at the
-    last mode record, or else with the intensive-care stay. Spontaneous modes do
-    not count, nor does what lies outside the intensive-care stay if there is one.
-    """
+    """:func:`exposure_duration` of facts that :func:`coded_facts` has named."""
     moment, code = F.col("start_date"), F.col("code")
     records = (
-        _coded(facts.where(_since(since)), code_map.where(F.col("code").isin(init, mode)))
+        coded.where(code.isin(init, mode))
         .where(~((code == mode) & contains_ignoring_case(F.col("tval_char"), unassisted)))
         .select(*STAY, "code", "start_date")
         .join(stays.select(*STAY, "icu_stay_start_dttm", "icu_stay_end_dttm"), STAY)
@@ -166,35 +171,47 @@ def exposure_duration(
     )
 
 
-def derived_map(
+def exposure_duration(
     facts: DataFrame,
     stays: DataFrame,
     code_map: DataFrame,
     since: str,
+    init: str = "Vent_init",
+    mode: str = "Vent_mode",
+    unassisted: str = "spont",
+) -> DataFrame:
+    """Start and hours of ventilation: ``patient_num``, ``mv_init``, ``mv_dur_hour``.
+
+    Starts at the first initiation, or else the first mode record; ends at the
+    last mode record, or else with the intensive-care stay. Spontaneous modes do
+    not count, nor does what lies outside the intensive-care stay if there is one.
+    """
+    named = code_map.where(F.col("code").isin(init, mode))
+    return exposure_from(coded_facts(facts, stays, named, since), stays, init, mode, unassisted)
+
+
+def map_from(
+    coded: DataFrame,
     systolic: str = "SBP",
     diastolic: str = "DBP",
     recorded: str = "MAP",
     count_duplicates: bool = False,
 ) -> DataFrame:
-    """Mean arterial pressure per patient, encounter, instance and time.
-
-    The three components are spread to columns in one aggregate. Where a
-    component was recorded with several values, the greatest counts;
-    ``count_duplicates`` adds ``dup_cells``, the number of such components.
-    """
+    """:func:`derived_map` of facts that :func:`coded_facts` has named."""
     parts = [systolic, diastolic, recorded]
-    keys = [*STAY, "instance_num", "start_date"]
-    kept = facts.where(_since(since)).join(stays.select(*STAY), STAY, "left_semi")
     code, value = F.col("code"), F.col("nval_num")
-    wide = _coded(kept, code_map.where(code.isin(*parts))).groupBy(*keys).agg(
-        *(F.max(F.when(code == p, value)).alias(a) for p, a in zip(parts, ("sbp", "dbp", "map"))),
-        sum(
-            F.coalesce(
-                (F.max(F.when(code == p, value)) > F.min(F.when(code == p, value))).cast("int"),
-                F.lit(0),
-            )
-            for p in parts
-        ).alias("dup_cells"),
+    greatest = [F.max(F.when(code == p, value)) for p in parts]
+    least = [F.min(F.when(code == p, value)) for p in parts]
+    several = sum(
+        F.coalesce((high > low).cast("int"), F.lit(0)) for high, low in zip(greatest, least)
+    )
+    wide = (
+        coded.where(code.isin(*parts))
+        .groupBy(*STAY, "instance_num", "start_date")
+        .agg(
+            *(high.alias(name) for high, name in zip(greatest, ("sbp", "dbp", "map"))),
+            several.alias("dup_cells"),
+        )
     )
     out = wide.withColumn(
         "map", mean_arterial(F.col("sbp"), F.col("dbp"), F.col("map"))
@@ -202,6 +219,27 @@ def derived_map(
     return out if count_duplicates else out.drop("dup_cells")
 
 
+def derived_map(
+    facts: DataFrame,
+    stays: DataFrame,
+    code_map: DataFrame,
+    since: str,
+    systolic: str = "SBP",
+    diastolic: str = "DBP",
+    recorded: str = "MAP",
+    count_duplicates: bool = False,
+) -> DataFrame:
+    """Mean arterial pressure per patient, encounter, instance and time.
+
+    The three components are spread to columns in one aggregate. Where a
+    component was recorded with several values, the greatest counts;
+    ``count_duplicates`` adds ``dup_cells``, the number of such components.
+    """
+    named = code_map.where(F.col("code").isin(systolic, diastolic, recorded))
+    coded = coded_facts(facts, stays, named, since)
+    return map_from(coded, systolic, diastolic, recorded, count_duplicates)
+
+
 # ------------------------------------------------------------------ scores
 
 
@@ -211,32 +249,38 @@ def scored_observations(
     code_map: DataFrame,
     bands: DataFrame,
     since: str,
+    grain: str = "patient",
+) -> DataFrame:
+    """Band-scored observations with hours since admission, intensive care and exposure.
+
+    With ``grain='patient'`` an observation is set against every stay of its
+    patient, with ``'encounter'`` against its own one.
+    """
+    return scores_from(coded_facts(facts, stays, code_map, since), stays, bands, grain)
+
+
+def scores_from(
+    coded: DataFrame,
+    stays: DataFrame,
+    bands: DataFrame,
+    grain: str = "patient",
     pressure: DataFrame | None = None,
     exposure: DataFrame | None = None,
-    grain: str = "patient",
     pressure_codes: Sequence[str] = ("SBP", "DBP", "MAP"),
 ) -> DataFrame:
-    """Band-scored observations with hours since admission, intensive care and exposure.
+    """:func:`scored_observations` of facts that :func:`coded_facts` has named.
 
     ``pressure`` and ``exposure`` come from :func:`derived_map` and
-    :func:`exposure_duration` and are derived here if not given. With
-    ``grain='patient'`` an observation is set against every stay of its patient,
-    with ``'encounter'`` against its own one.
+    :func:`exposure_duration` and are derived here if not given.
     """
-    pressure = derived_map(facts, stays, code_map, since) if pressure is None else pressure
-    exposure = exposure_duration(facts, stays, code_map, since) if exposure is None else exposure
+    pressure = map_from(coded, *pressure_codes) if pressure is None else pressure
+    exposure = exposure_from(coded, stays) if exposure is None else exposure
     columns = [*STAY, "code", "start_date", "nval_num"]
-    direct = _coded(
-        facts.where(_since(since)), code_map.where(~F.col("code").isin(*pressure_codes))
-    ).select(*columns)
+    direct = coded.where(~F.col("code").isin(*pressure_codes)).select(*columns)
     mean = pressure.select(
         *STAY, F.lit("MAP").alias("code"), "start_date", F.col("map").alias("nval_num")
     )
-    scored = (
-        band_score(direct.unionByName(mean), bands)
-        .select(*columns, "organ", "pat_score")
-        .join(stays.select(*STAY), STAY, "left_semi")
-    )
+    scored = band_score(direct.unionByName(mean), bands).select(*columns, "organ", "pat_score")
     keys = ["patient_num"] if grain == "patient" else STAY
     clocks = stays.select(
         *keys,

@@ -17,6 +17,7 @@ from cohortspark.operators.compare import comparison_table
 from cohortspark.operators.evaluate import perf_summary
 from cohortspark.operators.ranks import first_per
 from cohortspark.operators.regress import Fit, fit_glm, fitted
+from cohortspark.session import checkpointed
 from cohortspark.sources import refdata
 from cohortspark.sources.tables import save_snapshot, save_table, stack
 
@@ -90,9 +91,14 @@ def score_severity(
     bands: DataFrame | None = None,
     grain: str = "patient",
 ) -> SeverityResult:
-    """Scored observations, first scores, and worst scores on the three clocks."""
+    """Scored observations, first scores, and worst scores on the three clocks.
+
+    The coded facts of the stays are few against the fact table and are read by
+    exposure, pressure and scores, so they are materialised once.
+    """
     bands = refdata.severity_bands(facts.sparkSession) if bands is None else bands
-    scored = sv.scored_observations(facts, stays, code_map, bands, since, grain=grain)
+    coded = checkpointed(sv.coded_facts(facts, stays, code_map, since))
+    scored = sv.scores_from(coded, stays, bands, grain)
     horizons = {clock: sv.worst_by_horizon(scored, clock) for clock in sv.CLOCKS}
     return SeverityResult(scored, sv.initial_score(scored), horizons)
 

@@ -286,15 +286,12 @@ def coded_obs(v: Views) -> DataFrame:
     return v("fx_obs").join(codes, "concept_cd")
 
 
-def scored(v: Views, grain: str = "patient") -> DataFrame:
-    return sv.scored_observations(
-        v("fx_obs"), v("fx_stay"), v("fx_code_map"), refdata.severity_bands(v.spark), OBS_SINCE,
-        grain=grain,
-    )
+def severity(v: Views, grain: str = "patient") -> cl.SeverityResult:
+    return cl.score_severity(v("fx_obs"), v("fx_stay"), v("fx_code_map"), OBS_SINCE, grain=grain)
 
 
 def initial(v: Views) -> DataFrame:
-    return sv.initial_score(scored(v))
+    return severity(v).initial
 
 
 query(
@@ -347,7 +344,7 @@ _SCORED = """patient_num, encounter_num, code, start_date, nval_num, organ, pat_
     hosdead, age_at_admit, sex_female, hosp_admsn_dttm, mv_init, mv_dur_hour, hr_since_admin,
     hr_since_icu, hr_since_mv"""
 query("scored_observations", f"SELECT {_SCORED} FROM $w_scored")(
-    lambda v: scored(v).select(*_SCORED.replace("\n", " ").replace(" ", "").split(","))
+    lambda v: severity(v).scored.select(*_SCORED.replace("\n", " ").replace(" ", "").split(","))
 )
 query(
     "scored_by_encounter",
@@ -359,7 +356,7 @@ query(
        WHERE b.start_date >= s.hosp_admsn_dttm - INTERVAL 72 HOUR
          AND (v.mv_init IS NULL OR v.mv_init >= b.start_date - INTERVAL 24 HOUR)""",
 )(
-    lambda v: scored(v, "encounter").select(
+    lambda v: severity(v, "encounter").scored.select(
         "patient_num", "encounter_num", "code", "start_date", "organ", "pat_score", "hr_since_admin"
     )
 )
@@ -375,7 +372,7 @@ for _clock, _hour in sv.CLOCKS.items():
                         FROM $w_scored GROUP BY ALL)
                   GROUP BY ALL)
             JOIN (SELECT unnest(range(1, 13))::INT AS k) ks ON {_hour} <= k""",
-    )(lambda v, clock=_clock: sv.worst_by_horizon(scored(v), clock))
+    )(lambda v, clock=_clock: severity(v).horizons[clock])
 query(
     "worst_by_horizon_cumulative",
     """SELECT patient_num, encounter_num, pos_confirmed, hosdead, age_at_admit, sex_female,
@@ -384,7 +381,7 @@ query(
                     k, max(pat_score) AS s
              FROM $w_scored JOIN (SELECT unnest(range(1, 13))::INT AS k) ks ON hr_since_admin <= k
              GROUP BY ALL) GROUP BY ALL""",
-)(lambda v: sv.worst_by_horizon(scored(v), "admit", cumulative=True))
+)(lambda v: sv.worst_by_horizon(severity(v).scored, "admit", cumulative=True))
 query("initial_score", "SELECT * FROM $w_initial")(initial)
 
 for _margin in ("row", "col"):
