@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- predicates
@@ -35,6 +35,12 @@ def contains_ignoring_case(column: Column, text: str) -> Column:
     return F.coalesce(F.lower(column).contains(text.lower()), F.lit(False))
 
 
+def not_before(df: DataFrame, column: str, since: str) -> Column:
+    """Floor on a date or time column, in its own type so that scans can use it."""
+    kind = df.select(column).schema[0].dataType
+    return F.col(column) >= F.lit(since).cast(kind)
+
+
 def is_unit(column: Column, unit: str) -> Column:
     return F.upper(column) == unit.upper()
 

@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.functions.scalars import like_any
+from cohortspark.functions.scalars import like_any, not_before
 from cohortspark.operators.ranks import null_safe_join
 
 
@@ -67,7 +67,7 @@ def _tagged(
         .groupBy(code)
         .agg(F.min("step").alias("step"))
     )
-    return facts.where(F.col(date) >= F.lit(since).cast("timestamp_ntz")).join(coded, code)
+    return facts.where(not_before(facts, date, since)).join(coded, code)
 
 
 def _labelled(df: DataFrame, steps: Sequence[StatusStep]) -> DataFrame:
@@ -134,7 +134,7 @@ def status_waterfall_stepwise(
     It reads the facts once per step; :func:`status_waterfall` is the one to use
     on large tables. A missing patient id excludes nobody.
     """
-    floor = facts.where(F.col(date) >= F.lit(since).cast("timestamp_ntz"))
+    floor = facts.where(not_before(facts, date, since))
     out: DataFrame | None = None
     for step in steps:
         rows = floor.join(concepts_matching(concepts, step.patterns, code, path), code).select(

@@ -12,6 +12,7 @@ from cohortspark.functions.scalars import (
     contains_ignoring_case,
     hours_between,
     mean_arterial,
+    not_before,
     shifted_hours,
     within_or_open,
 )
@@ -22,10 +23,6 @@ PATIENT_ATTRS = ["pos_confirmed", "hosdead", "age_at_admit", "sex_female"]
 CLOCKS = {"admit": "hr_since_admin", "icu": "hr_since_icu", "exposure": "hr_since_mv"}
 
 
-def _since(since: str) -> Column:
-    return F.col("start_date") >= F.lit(since).cast("timestamp_ntz")
-
-
 def coded_facts(
     facts: DataFrame, stays: DataFrame, code_map: DataFrame, since: str
 ) -> DataFrame:
@@ -37,7 +34,7 @@ def coded_facts(
     columns = ["instance_num", "start_date", "nval_num", "tval_char"]
     names = code_map.select("code", F.col("i2b2_code").alias("concept_cd"))
     return (
-        facts.where(_since(since))
+        facts.where(not_before(facts, "start_date", since))
         .join(names, "concept_cd")
         .select(*STAY, "code", *(c for c in columns if c in facts.columns))
         .join(stays.select(*STAY), STAY, "left_semi")
@@ -267,11 +264,15 @@ def scores_from(
     pressure: DataFrame | None = None,
     exposure: DataFrame | None = None,
     pressure_codes: Sequence[str] = ("SBP", "DBP", "MAP"),
+    admission_hours: int | None = None,
 ) -> DataFrame:
     """:func:`scored_observations` of facts that :func:`coded_facts` has named.
 
     ``pressure`` and ``exposure`` come from :func:`derived_map` and
-    :func:`exposure_duration` and are derived here if not given.
+    :func:`exposure_duration` and are derived here if not given. With
+    ``admission_hours`` nothing later than that after admission is scored; the
+    observations then meet a stay by patient and day, so that a patient with
+    very many of both does not have every pair of them compared.
     """
     pressure = map_from(coded, *pressure_codes) if pressure is None else pressure
     exposure = exposure_from(coded, stays) if exposure is None else exposure
@@ -289,11 +290,20 @@ def scores_from(
         "icu_stay_start_dttm",
         "icu_length_of_stay_days",
     )
-    moment = F.col("start_date")
+    moment, admitted = F.col("start_date"), F.col("hosp_admsn_dttm")
+    if admission_hours is not None:
+        last = admitted + F.expr(f"INTERVAL '{admission_hours * 60 + 30}' MINUTE")
+        days = F.sequence(
+            shifted_hours(admitted, -72).cast("date"), last.cast("date"), F.expr("INTERVAL 1 DAY")
+        )
+        clocks = clocks.where(admitted.isNotNull()).withColumn("_day", F.explode(days))
+        scored = scored.withColumn("_day", moment.cast("date"))
+        met = scored.join(clocks, [*keys, "_day"]).where(moment <= last).drop("_day")
+    else:
+        met = scored.join(clocks, keys)
     return (
-        scored.join(clocks, keys)
-        .where(moment >= shifted_hours(F.col("hosp_admsn_dttm"), -72))
-        .withColumn("hr_since_admin", hours_between(F.col("hosp_admsn_dttm"), moment))
+        met.where(moment >= shifted_hours(admitted, -72))
+        .withColumn("hr_since_admin", hours_between(admitted, moment))
         .withColumn(
             "hr_since_icu",
             clamped(

@@ -90,6 +90,7 @@ def score_severity(
     since: str,
     bands: DataFrame | None = None,
     grain: str = "patient",
+    hours: int = 12,
 ) -> SeverityResult:
     """Scored observations, first scores, and worst scores on the three clocks.
 
@@ -99,7 +100,11 @@ def score_severity(
     bands = refdata.severity_bands(facts.sparkSession) if bands is None else bands
     coded = checkpointed(sv.coded_facts(facts, stays, code_map, since))
     scored = sv.scores_from(coded, stays, bands, grain)
-    horizons = {clock: sv.worst_by_horizon(scored, clock) for clock in sv.CLOCKS}
+    near = sv.scores_from(coded, stays, bands, grain, admission_hours=hours)
+    horizons = {
+        clock: sv.worst_by_horizon(near if clock == "admit" else scored, clock, hours)
+        for clock in sv.CLOCKS
+    }
     return SeverityResult(scored, sv.initial_score(scored), horizons)
 
 
@@ -179,9 +184,13 @@ def demographic_stack(cases: DataFrame, controls: DataFrame) -> DataFrame:
 def cohort_report(
     cases: DataFrame, controls: DataFrame, groups: Sequence[str] = ("NEG", "PEND", "POS"), **options
 ) -> DataFrame:
-    """The comparison table of the inpatient stays by status."""
+    """The comparison table of the inpatient stays by status.
+
+    Each part of the table needs other columns of the stays, which would sort
+    them out once per part; they are materialised instead.
+    """
     return comparison_table(
-        demographic_stack(cases, controls),
+        checkpointed(demographic_stack(cases, controls)),
         "patient_num",
         "pos_confirmed",
         numeric=["age_at_admit", "icu_length_of_stay_days"],
