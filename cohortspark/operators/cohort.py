@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import like_any, not_before
 from cohortspark.operators.ranks import null_safe_join
+from cohortspark.session import broadcast_if_small
 
 
 class StatusStep(NamedTuple):
@@ -45,7 +46,7 @@ def prefix_matches(codes: DataFrame, code: str, keys: DataFrame, key: str = "icd
         .withColumn(key, F.left(F.col(code), F.col("_length")))
         .drop("_length")
     )
-    return cut.join(keys, key)
+    return cut.join(broadcast_if_small(keys), key)
 
 
 def _tagged(
@@ -67,7 +68,7 @@ def _tagged(
         .groupBy(code)
         .agg(F.min("step").alias("step"))
     )
-    return facts.where(not_before(facts, date, since)).join(coded, code)
+    return facts.where(not_before(facts, date, since)).join(broadcast_if_small(coded), code)
 
 
 def _labelled(df: DataFrame, steps: Sequence[StatusStep]) -> DataFrame:
@@ -137,7 +138,8 @@ def status_waterfall_stepwise(
     floor = facts.where(not_before(facts, date, since))
     out: DataFrame | None = None
     for step in steps:
-        rows = floor.join(concepts_matching(concepts, step.patterns, code, path), code).select(
+        codes = broadcast_if_small(concepts_matching(concepts, step.patterns, code, path))
+        rows = floor.join(codes, code).select(
             "patient_num",
             "encounter_num",
             F.lit(step.status).alias("pos_confirmed"),
@@ -201,8 +203,9 @@ def eligible_encounters(
 
 
 def in_cohort(df: DataFrame, cohort: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose keys occur in the cohort."""
-    return df.join(cohort.select(*keys), list(keys), "left_semi")
+    """Rows of ``df`` whose keys occur in the cohort, which is counted first."""
+    members = broadcast_if_small(cohort.select(*keys).distinct())
+    return df.join(members, list(keys), "left_semi")
 
 
 def case_control_stack(cases: DataFrame, controls: DataFrame) -> DataFrame:

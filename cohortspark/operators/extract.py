@@ -1,4 +1,8 @@
-"""Tables of the cohort: demographics, diagnoses, and events around each stay."""
+"""Tables of the cohort: demographics, diagnoses, and events around each stay.
+
+The cohort is read by every extract and is counted to see whether it can be
+broadcast, so it should be a stored table or a checkpoint.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,9 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortspark.operators.cohort import in_cohort
+from cohortspark.session import broadcast_if_small
+
 
 class EventTable(NamedTuple):
     """How to extract one event table: its date column and the columns to keep."""
@@ -107,7 +114,7 @@ def windowed_extract(
     binned = events.where(F.col(date).isNotNull()).withColumn(
         "_bin", _bin(F.col(date).cast("date"))
     )
-    e, b = binned.alias("e"), bounds.alias("b")
+    e, b = binned.alias("e"), broadcast_if_small(bounds).alias("b")
     condition = (
         (F.col(f"e.{patient}") == F.col(f"b.{patient}"))
         & (F.col("e._bin") == F.col("b._bin"))
@@ -142,9 +149,12 @@ def extract_observations(
     per_stay: bool = True,
 ) -> DataFrame:
     """Clinical observations around each stay, named through the code map."""
-    coded = facts.join(
-        code_map.withColumnRenamed("i2b2_code", "concept_cd"), "concept_cd"
-    ).select(
+    names = broadcast_if_small(
+        code_map.select(
+            F.col("i2b2_code").alias("concept_cd"), "obsclin_type", "obsclin_code", "raw_obsclin_name"
+        )
+    )
+    coded = facts.join(names, "concept_cd").select(
         F.col("patient_num").alias("patid"),
         F.col("encounter_num").alias("encounterid"),
         F.col("start_date").alias("obsclin_date_time"),
@@ -163,7 +173,7 @@ def _repeated(cohort: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows`` of cohort patients, each as often as its patient has stays in the cohort."""
     stays = cohort.groupBy("patid").agg(F.count(F.lit(1)).cast("int").alias("_stays"))
     once = F.explode(F.sequence(F.lit(1), F.col("_stays")))
-    return rows.join(stays, "patid").withColumn("_copy", once).drop("_stays", "_copy")
+    return rows.join(broadcast_if_small(stays), "patid").withColumn("_copy", once).drop("_stays", "_copy")
 
 
 def demographics(
@@ -183,7 +193,7 @@ def demographics(
     ).select("patid", "birth_date", "sex", "race", "hispanic", "death_date")
     if per_stay:
         return _repeated(cohort, rows)
-    return rows.join(cohort.select("patid"), "patid", "left_semi")
+    return in_cohort(rows, cohort, ["patid"])
 
 
 def diagnosis_history(cohort: DataFrame, diagnoses: DataFrame, per_stay: bool = True) -> DataFrame:
@@ -198,4 +208,4 @@ def diagnosis_history(cohort: DataFrame, diagnoses: DataFrame, per_stay: bool =
     )
     if per_stay:
         return _repeated(cohort, rows)
-    return rows.join(cohort.select("patid"), "patid", "left_semi")
+    return in_cohort(rows, cohort, ["patid"])

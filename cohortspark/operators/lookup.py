@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortspark.session import broadcast_if_small
+
 
 def code_names(
     codes: DataFrame, dictionary: DataFrame, link: Column, code: str = "code", name: str = "name"
@@ -18,7 +20,7 @@ def code_names(
         F.min(name).alias(name), (F.count(name) > 1).alias("_several")
     )
     return (
-        codes.join(known, code, "left")
+        codes.join(broadcast_if_small(known), code, "left")
         .withColumn(name, F.when(F.col("_several"), link).otherwise(F.col(name)))
         .drop("_several")
     )

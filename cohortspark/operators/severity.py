@@ -17,6 +17,7 @@ from cohortspark.functions.scalars import (
     within_or_open,
 )
 from cohortspark.operators.ranks import first_per
+from cohortspark.session import broadcast_if_small
 
 STAY = ["patient_num", "encounter_num"]
 PATIENT_ATTRS = ["pos_confirmed", "hosdead", "age_at_admit", "sex_female"]
@@ -32,7 +33,7 @@ def coded_facts(
     scores all start from it. A fact whose concept has several names is repeated.
     """
     columns = ["instance_num", "start_date", "nval_num", "tval_char"]
-    names = code_map.select("code", F.col("i2b2_code").alias("concept_cd"))
+    names = broadcast_if_small(code_map.select("code", F.col("i2b2_code").alias("concept_cd")))
     return (
         facts.where(not_before(facts, "start_date", since))
         .join(names, "concept_cd")

@@ -29,25 +29,32 @@ def extract_cohort(
     prefixes: DataFrame | None = None,
     code_map: DataFrame | None = None,
     types: Sequence[str] = refdata.STAY_TYPES,
+    status: DataFrame | None = None,
     eligible: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Status, eligible stays, and every extract of the cohort, all of them lazy.
+    """Status, eligible stays, and every extract of the cohort.
 
-    ``tables`` holds ``observation_fact``, ``concept_dimension``, ``encounter``,
+    Status and stays are small against the facts and feed all that follows, so
+    each is materialised once, unless its stored table is given as ``status`` or
+    ``eligible``. The extracts themselves are lazy. ``tables`` holds ``observation_fact``, ``concept_dimension``, ``encounter``,
     ``diagnosis``, ``demographic``, ``death`` and whichever of the event tables
-    ``lab``, ``px``, ``vital``, ``pmed``, ``dmed``, ``amed`` there are. Pass the
-    stored eligible stays as ``eligible`` to build extracts from them.
+    ``lab``, ``px``, ``vital``, ``pmed``, ``dmed``, ``amed`` there are.
     """
     spark = tables["observation_fact"].sparkSession
     steps = steps or [co.StatusStep(*s) for s in refdata.STATUS_STEPS]
     prefixes = refdata.respiratory_prefixes(spark) if prefixes is None else prefixes
     code_map = refdata.observation_codes(spark) if code_map is None else code_map
     facts = tables["observation_fact"]
-    status = co.status_waterfall(facts, tables["concept_dimension"], steps, since)
+    if status is None:
+        status = checkpointed(
+            co.status_waterfall(facts, tables["concept_dimension"], steps, since)
+        )
     stays = eligible
     if stays is None:
-        stays = co.eligible_encounters(
-            tables["encounter"], status, tables["diagnosis"], prefixes, since, types
+        stays = checkpointed(
+            co.eligible_encounters(
+                tables["encounter"], status, tables["diagnosis"], prefixes, since, types
+            )
         )
     out = {
         "covid_enc": status,
@@ -63,18 +70,9 @@ def extract_cohort(
 
 
 def store_cohort(tables: Mapping[str, DataFrame], schema: str, **options) -> dict[str, DataFrame]:
-    """Run :func:`extract_cohort` into catalog tables of ``schema``.
-
-    The eligible stays are stored first, and all extracts read the stored table.
-    """
-    first = extract_cohort(tables, **options)
-    done = {"covid_enc": save_table(first["covid_enc"], f"{schema}.covid_enc")}
-    stays = save_table(first["covid_eligible_enc"], f"{schema}.covid_eligible_enc")
-    done["covid_eligible_enc"] = stays
-    for name, frame in extract_cohort(tables, eligible=stays, **options).items():
-        if name not in done:
-            done[name] = save_table(frame, f"{schema}.{name}")
-    return done
+    """Run :func:`extract_cohort` into catalog tables of ``schema``."""
+    frames = extract_cohort(tables, **options)
+    return {name: save_table(frame, f"{schema}.{name}") for name, frame in frames.items()}
 
 
 class SeverityResult(NamedTuple):

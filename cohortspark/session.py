@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Run-time SQL settings the operators rely on. All of them can be changed on a
 # live session, so a session made by someone else can be tuned as well.
@@ -60,3 +61,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="cohortspark-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+# rows of a few short columns that stay well below what a task may hold
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint to broadcast ``df`` if it has at most ``rows`` rows, found by counting.
+
+    Left to the optimizer, a filtered side of unknown size is shuffled first, and
+    the big table with it; so it is worth a job on the small side to know. Beyond
+    the bound ``df`` comes back as it was, for a shuffled join. ``df`` should be
+    cheap to read: a dimension, a stored table or a checkpoint.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -21,6 +21,7 @@ from cohortspark.operators import severity as sv
 from cohortspark.operators import sites as si
 from cohortspark.operators.regress import fit_glm, fitted
 from cohortspark.plans import clinical as cl
+from cohortspark.session import checkpointed
 from cohortspark.sources import refdata
 from cohortspark.sources.batch import Stage, run_batch
 from workload.adapters import OBS_SINCE, SINCE, SPAN, Views
@@ -40,10 +41,15 @@ def status(v: Views) -> DataFrame:
 
 def eligible(v: Views) -> DataFrame:
     return co.eligible_encounters(
-        v("fx_enc"), status(v), v("fx_dx"), v("fx_keys"), SINCE, refdata.STAY_TYPES
+        v("fx_enc"), checkpointed(status(v)), v("fx_dx"), v("fx_keys"), SINCE, refdata.STAY_TYPES
     )
 
 
+def cohort(v: Views) -> DataFrame:
+    """The eligible stays as the extracts read them: materialised once."""
+    return checkpointed(eligible(v))
+
+
 @query(
     "concept_path_match",
     r"""SELECT DISTINCT concept_cd FROM $fx_concept
@@ -91,7 +97,7 @@ query("eligible_encounters", "SELECT * FROM $w_eligible")(eligible)
 )
 def cohort_labs_by_status(v):
     """The whole way from facts to the labs around each stay, counted by status."""
-    labs = ex.extract_events(eligible(v), v("fx_lab"), "lab", keep=["covid_status"])
+    labs = ex.extract_events(cohort(v), v("fx_lab"), "lab", keep=["covid_status"])
     return labs.groupBy("covid_status").agg(
         F.count("*").alias("n_labs"), F.count_distinct("patid").alias("n_patients")
     )
@@ -111,14 +117,14 @@ for _name, _key in (
     query(
         f"{_name}_window",
         f"SELECT e.patid, {_columns} FROM $w_eligible e JOIN $fx_{_key} t ON {_window}",
-    )(lambda v, key=_key: r6(ex.extract_events(eligible(v), v(f"fx_{key}"), key)))
+    )(lambda v, key=_key: r6(ex.extract_events(cohort(v), v(f"fx_{key}"), key)))
 
 query(
     "labs_window_once",
     f"""SELECT t.patid, {", ".join(f"t.{c}" for c in ex.EVENT_TABLES["lab"].columns)} FROM $fx_lab t
         WHERE EXISTS (SELECT 1 FROM $w_eligible e WHERE t.patid = e.patid
           AND t.result_date BETWEEN e.admit_date - 365 AND e.discharge_date + 30)""",
-)(lambda v: r6(ex.extract_events(eligible(v), v("fx_lab"), "lab", per_stay=False)))
+)(lambda v: r6(ex.extract_events(cohort(v), v("fx_lab"), "lab", per_stay=False)))
 query(
     "obs_clin_window",
     """SELECT e.patid, o.encounter_num AS encounterid, o.start_date AS obsclin_date_time,
@@ -127,32 +133,32 @@ query(
        FROM $w_eligible e JOIN $fx_fact o ON o.patient_num = e.patid
        JOIN $fx_obs_codes c ON c.i2b2_code = o.concept_cd
        WHERE o.start_date BETWEEN e.admit_date - 30 AND e.discharge_date + 30""",
-)(lambda v: ex.extract_observations(eligible(v), v("fx_fact"), v("fx_obs_codes")))
+)(lambda v: ex.extract_observations(cohort(v), v("fx_fact"), v("fx_obs_codes")))
 
 _DEMO = "SELECT e.patid, d.birth_date, d.sex, d.race, d.hispanic, x.death_date"
 query(
     "demo_death",
     f"{_DEMO} FROM $w_eligible e JOIN $fx_demo d ON d.patid = e.patid LEFT JOIN $fx_death x ON x.patid = e.patid",
-)(lambda v: ex.demographics(eligible(v), v("fx_demo"), v("fx_death")))
+)(lambda v: ex.demographics(cohort(v), v("fx_demo"), v("fx_death")))
 query(
     "demo_deceased",
     f"{_DEMO} FROM $w_eligible e JOIN $fx_demo d ON d.patid = e.patid JOIN $fx_death x ON x.patid = e.patid",
-)(lambda v: ex.demographics(eligible(v), v("fx_demo"), v("fx_death"), deceased_only=True))
+)(lambda v: ex.demographics(cohort(v), v("fx_demo"), v("fx_death"), deceased_only=True))
 query(
     "demo_once",
     """SELECT d.patid, d.birth_date, d.sex, d.race, d.hispanic, x.death_date
        FROM $fx_demo d LEFT JOIN $fx_death x ON x.patid = d.patid
        WHERE d.patid IN (SELECT patid FROM $w_eligible)""",
-)(lambda v: ex.demographics(eligible(v), v("fx_demo"), v("fx_death"), per_stay=False))
+)(lambda v: ex.demographics(cohort(v), v("fx_demo"), v("fx_death"), per_stay=False))
 _DX = "patid, d.encounterid, diagnosisid, dx, dx_date, pdx, dx_type, dx_source, dx_origin"
 query(
     "dx_history",
     f"SELECT e.{_DX} FROM $w_eligible e JOIN $fx_dx d ON d.patid = e.patid",
-)(lambda v: ex.diagnosis_history(eligible(v), v("fx_dx")))
+)(lambda v: ex.diagnosis_history(cohort(v), v("fx_dx")))
 query(
     "dx_history_once",
     f"SELECT d.{_DX} FROM $fx_dx d WHERE patid IN (SELECT patid FROM $w_eligible)",
-)(lambda v: ex.diagnosis_history(eligible(v), v("fx_dx"), per_stay=False))
+)(lambda v: ex.diagnosis_history(cohort(v), v("fx_dx"), per_stay=False))
 
 
 @query(
@@ -181,7 +187,7 @@ query(
     """SELECT concept_cd, count(*) AS n FROM $fx_fact
        WHERE patient_num IN (SELECT patient_num FROM $w_status) GROUP BY concept_cd""",
 )(
-    lambda v: co.in_cohort(v("fx_fact"), status(v), ["patient_num"])
+    lambda v: co.in_cohort(v("fx_fact"), checkpointed(status(v)), ["patient_num"])
     .groupBy("concept_cd")
     .agg(F.count("*").alias("n"))
 )
