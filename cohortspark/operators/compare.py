@@ -133,15 +133,26 @@ def chi_square(cells: DataFrame) -> DataFrame:
 # a statistic this close to the observed one counts as reaching it
 _ALMOST = 1 - 64 * np.finfo(float).eps
 
+# the generator draws tables of fewer rows than this
+_DRAWABLE = 1_000_000_000
+
 
 def _exceedances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Draw tables with the given margins and count those as far off as the observed one."""
+    """Draw tables with the given margins and count those as far off as the observed one.
+
+    Tables too large to draw have their statistic drawn from its limit, chi-square.
+    """
     for batch in batches:
         hits = []
         for job in batch.itertuples():
             rng = np.random.default_rng([job.seed, job.chunk])
             rows = np.asarray(job.rows, dtype=np.int64)
             cols = np.asarray(job.cols, dtype=np.int64)
+            reached = _ALMOST * job.chisq
+            if rows.sum() >= _DRAWABLE:
+                freedom = (len(rows) - 1) * (len(cols) - 1)
+                hits.append(int((rng.chisquare(freedom, job.draws) >= reached).sum()))
+                continue
             hit = 0
             for _ in range(job.draws):
                 left = rows.copy()
@@ -150,7 +161,7 @@ def _exceedances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     drawn = rng.multivariate_hypergeometric(left, size, method="marginals")
                     left -= drawn
                     stat += float(np.sum(drawn.astype(float) ** 2 / rows)) / float(size)
-                hit += rows.sum() * stat >= _ALMOST * job.chisq
+                hit += int(rows.sum() * stat >= reached)
             hits.append(hit)
         yield pd.DataFrame({"var": batch["var"], "hits": hits, "draws": batch["draws"]})
 
@@ -223,7 +234,7 @@ def comparison_table(
     grp: str,
     numeric: Sequence[str],
     categorical: Sequence[str],
-    groups: Sequence[str],
+    groups: Sequence[str] | None = None,
     with_p: bool = True,
     miss_scope: str = "variable",
     replicates: int = 2000,
@@ -232,12 +243,16 @@ def comparison_table(
     """The report table: ``var``, ``cat``, one column per group, and ``p.value``.
 
     The first row holds the group sizes, the next ones mean(sd) [miss] of the
-    numbers, the rest n(%) [miss] of each level.
+    numbers, the rest n(%) [miss] of each level. ``groups`` are the columns, by
+    default all there are; rows of other groups are left out.
     """
     def cell(*parts) -> Column:
         return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
 
     sizes = group_sizes(df, id, grp)
+    if groups is None:
+        known = df.select(grp).where(F.col(grp).isNotNull()).distinct()
+        groups = [row[0] for row in known.orderBy(grp).collect()]
     numbers = null_safe_join(
         group_moments(_long(df, grp, numeric, "double")), sizes, ["grp"]
     )

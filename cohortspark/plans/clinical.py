@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,10 +123,10 @@ LOGISTIC_MODELS = [
 def severity_models(initial: DataFrame, long_hours: int = 96) -> dict[str, ModelResult]:
     """The five logistic models and the Poisson model of the first scores, each evaluated.
 
-    The scores are held while the models are fitted: every fit reads them again.
+    Every fit reads the scores several times, so they are materialised once.
     """
     rows = initial.withColumn("mv_long", (F.col("mv_dur_hour") >= long_hours).cast("int"))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = checkpointed(rows)
     out = {}
     for name, label, features, only in LOGISTIC_MODELS:
         part = rows.where(only) if only else rows

@@ -171,3 +171,32 @@ def test_case_control_stack(spark, rows):
     cases = spark.createDataFrame([(1, T(2020, 1, 2), 40)], "patient_num int, infection_start_dttm timestamp_ntz, age_at_inf int")
     controls = spark.createDataFrame([(2,)], "patient_num int")
     assert rows(co.case_control_stack(cases, controls)) == [(1, T(2020, 1, 2), 40), (2, T(1900, 1, 1), None)]
+
+
+def test_hot_patient_stays_whole(spark, rows):
+    """A third of all events and stays belong to patient 0."""
+    hot = lambda i: F.when(i % 3 == 0, 0).otherwise(i % 11)
+    cohort = spark.range(90).select(
+        hot(F.col("id")).alias("patid"),
+        F.expr("date_add(date'2020-01-01', cast(id * 17 % 900 as int))").alias("admit_date"),
+    ).withColumn("discharge_date", F.expr("date_add(admit_date, 5)"))
+    events = spark.range(6000).select(
+        hot(F.col("id")).alias("patid"), "id",
+        F.expr("date_add(date'2018-06-01', cast(id * 41 % 1900 as int))").alias("day"),
+    )
+    window = F.expr("day between date_sub(admit_date, 365) and date_add(discharge_date, 30)")
+    pairs = events.join(cohort.withColumnRenamed("patid", "p"), (F.col("patid") == F.col("p")) & window)
+    want = pairs.groupBy("patid", "id").count()
+    for limit in ("-1", "10485760"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        got = ex.windowed_extract(cohort, events, "day", ["id"]).groupBy("patid", "id").count()
+        assert rows(got) == rows(want)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sides_are_broadcast_only_when_small(spark):
+    from cohortspark.session import broadcast_if_small
+
+    df = spark.range(100)
+    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(df, 100)) and not hinted(broadcast_if_small(df, 99))

@@ -222,3 +222,14 @@ def test_glm_with_levels_and_counts(spark):
     assert got["s_1"] == pytest.approx(math.log(5 / 2), abs=1e-6) and got["s_2"] == pytest.approx(math.log(5), abs=1e-6)
     out = fitted(fit, df, "y", "y >= 5").collect()
     assert len(out) == 7 and sum(r["real"] for r in out) == 3
+
+
+def test_monte_carlo_beyond_what_can_be_drawn(spark):
+    big = 10**9
+    cells = spark.createDataFrame(
+        [("c", "x", "A", big), ("c", "x", "B", big), ("c", "y", "A", big), ("c", "y", "B", big + 100_000)],
+        "var string, val string, grp string, o long",
+    )
+    stat = cm.chi_square(cells).first()["chisq"]
+    p = cm.chi_square_p(cells).first()["p_value"]
+    assert abs(p - math.erfc(math.sqrt(stat / 2))) < 0.05

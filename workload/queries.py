@@ -24,6 +24,7 @@ from cohortspark.plans import clinical as cl
 from cohortspark.session import checkpointed
 from cohortspark.sources import refdata
 from cohortspark.sources.batch import Stage, run_batch
+from cohortspark.sources.tables import stack
 from workload.adapters import OBS_SINCE, SINCE, SPAN, Views
 from workload.registry import STEPS, query, r6
 
@@ -757,6 +758,58 @@ query("calibration_ties", _calibration_sql("label_pred"))(
 )
 
 
+# -------------------------------------------------------------------- shape
+
+_SHAPED = ["age_at_admit", "sex_female", "hosdead"]
+_LONG = " UNION ALL ".join(
+    f"SELECT encounter_num, '{c}' AS var, cast({c} AS bigint) AS val FROM $fx_stay" for c in _SHAPED
+)
+query("gather", _LONG)(lambda v: rs.gather(v("fx_stay"), ["encounter_num"], _SHAPED, "long"))
+query(
+    "gather_spread",
+    "SELECT patient_num, "
+    + ", ".join(f"max(val) FILTER (var = '{c}') AS {c}" for c in _SHAPED)
+    + f" FROM (SELECT encounter_num // 10 AS patient_num, var, val FROM ({_LONG})) GROUP BY patient_num",
+)(
+    lambda v: rs.spread(
+        rs.gather(v("fx_stay"), ["patient_num"], _SHAPED, "long"), ["patient_num"], "var", "val", _SHAPED
+    )
+)
+query(
+    "unite_separate",
+    """SELECT concept_cd || '=' || coalesce(tval_char, 'NA') AS united, concept_cd AS var,
+              coalesce(tval_char, 'NA') AS cat, count(*) AS n FROM $fx_fact GROUP BY ALL""",
+)(
+    lambda v: v("fx_fact")
+    .select(rs.unite(["concept_cd", "tval_char"], "=").alias("united"))
+    .groupBy("united")
+    .agg(F.count("*").alias("n"))
+    .select("united", *rs.separate(F.col("united"), ("var", "cat")), "n")
+)
+query(
+    "events_stacked",
+    """SELECT patid, encounterid, result_date, px_date, lab_px, px FROM (
+         SELECT patid, encounterid, result_date, lab_px FROM $fx_lab
+         UNION ALL BY NAME SELECT patid, encounterid, px_date, px FROM $fx_px)""",
+)(
+    lambda v: stack(
+        [
+            v("fx_lab").select("patid", "encounterid", "result_date", "lab_px"),
+            v("fx_px").select("patid", "encounterid", "px_date", "px"),
+        ]
+    )
+)
+query(
+    "respiratory_groups",
+    """SELECT icd_key, dx_ccs_grp1, dx_ccs_grp2, count(*) AS n, count(DISTINCT patid) AS n_patients
+       FROM $fx_dx JOIN (SELECT DISTINCT * FROM $w_prefixes) ON dx LIKE icd_key || '%' GROUP BY ALL""",
+)(
+    lambda v: co.prefix_matches(v("fx_dx").select("patid", "dx"), "dx", refdata.respiratory_prefixes(v.spark))
+    .groupBy("icd_key", "dx_ccs_grp1", "dx_ccs_grp2")
+    .agg(F.count("*").alias("n"), F.count_distinct("patid").alias("n_patients"))
+)
+
+
 # ------------------------------------------------------------------- models
 
 
@@ -784,7 +837,7 @@ def _(v):
 
 @query("glm_performance")
 def _(v):
-    rows = initial(v)
+    rows = checkpointed(initial(v))
     fit = fit_glm(rows, "hosdead", ["pos_confirmed", "sofa_init"])
     return r6(ev.perf_summary(fitted(fit, rows, "hosdead")), 4)
 

@@ -98,6 +98,7 @@ ORACLE_VIEWS = {
     "w_bands": _values(
         refdata.SEVERITY_BANDS, "organ, code, lb, ub, direction, score, scale_type"
     ),
+    "w_prefixes": _values(refdata.RESPIRATORY_PREFIXES, "icd_key, dx_ccs_grp1, dx_ccs_grp2"),
     "w_ranges": _values(
         refdata.WHITE_CELL_RANGES,
         "wbc_type, lab_name, component_id, normal_low, normal_high, normal_lowp, normal_highp",
