@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.operators.ranks import null_safe_join, with_row_index
+from cohortspark.session import checkpointed
 
 
 def gather(
@@ -46,9 +47,10 @@ def crosstab(df: DataFrame, row: str, col: str, margin: str = "col") -> DataFram
     """Counts and proportions of each pair of levels, empty pairs included.
 
     ``margin`` names the side whose cells add up to one. Pairs with a missing
-    level are not counted.
+    level are not counted. Levels, cells and totals all come from the counts,
+    which are few against ``df`` and materialised, so that ``df`` is read once.
     """
-    counts = (
+    counts = checkpointed(
         df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
         .groupBy(F.col(row).alias("row"), F.col(col).alias("col"))
         .agg(F.count(F.lit(1)).alias("n"))
