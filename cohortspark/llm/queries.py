@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortspark.llm import licenses, mixing, pieces_encoding, sharding
+from cohortspark.llm import language, licenses, mixing, pieces_encoding, sharding, toxicity
 from cohortspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,23 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", sha256("id_text").alias("ids_sha256"), sha256("decoded").alias("decoded_sha256"), F.col("covered").alias("covered_bytes"))
 
 
+@query
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of each text; one document in five is held out of learning."""
+    docs = table(spark, folder, "documents")
+    model = language.learn(docs, held_out=language.fold())
+    return language.predict(docs.select("doc_id", "text", language.fold().alias("held_out")), model).drop("text")
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities of low quality and, given that, of toxicity, for every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    categories = {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    chain = toxicity.learn(docs, table(spark, folder, "labels"), categories)
+    return toxicity.predict(docs, chain).drop("text").withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
 @query
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and detections of each text."""
