@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortspark.llm import language, lattice, licenses, mixing, pieces_encoding, sharding, toxicity
+from cohortspark.llm import graphs_search, language, lattice, licenses, mixing, pieces_encoding, sharding, toxicity
 from cohortspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,12 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(docs).select("doc_id", "scan.*")
 
 
+@query
+def op10_graph_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every 20th vector."""
+    return graphs_search.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline."""
