@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortspark.llm import graphs_search, language, lattice, licenses, mixing, pieces_encoding, sharding, toxicity
+from cohortspark.llm import graphs_search, jaccard, language, lattice, licenses, mixing, pieces_encoding, sharding, toxicity
 from cohortspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,12 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.predict(docs, chain).drop("text").withColumn("toxic", F.col("p_toxic") >= 0.5)
 
 
+@query
+def op6_jaccard_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of texts that share four fifths of their five-word shingles."""
+    return jaccard.similar_groups(table(spark, folder, "documents"))
+
+
 @query
 def op8_lattice_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of near-duplicate vectors."""

@@ -70,10 +70,9 @@ def shingles(words: np.ndarray, places: np.ndarray, width: int) -> tuple[np.ndar
     n = len(words)
     # shingle at each word; the rows' last width - 1 places are cut off below
     value = np.zeros(n, np.uint64)
-    factor = np.uint64(1)
-    for i in range(width):
-        factor = factor * BASE + np.uint64(2 * i + 1)
-        value[: n - i if i else n] += mixed(words[i:] * factor)
+    factors = _powers(BASE, width + 1)[1:]
+    for i in range(min(width, n)):
+        value[: n - i] += mixed(words[i:] * factors[i])
     value = mixed(value)
     keep = np.maximum(counts - width + 1, 0)
     short = np.flatnonzero((counts > 0) & (counts < width))
