@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortspark.llm import graphs_search, jaccard, language, lattice, licenses, mixing, pieces_encoding, sharding, toxicity
+from cohortspark.llm import graphs_search, jaccard, language, lattice, licenses, mixing, pieces_encoding, repeats, sharding, toxicity
 from cohortspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,16 @@ def op6_jaccard_groups(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, folder, "documents"))
 
 
+@query
+def op7_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of each text without passages of 100 bytes that start earlier as well."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = repeats.repeated_spans(docs, width=100)
+    removed = F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["size"]), F.lit(0).cast("long"))
+    kept = F.sha2(repeats.kept_bytes(F.col("text"), F.col("spans")), 256)
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.greatest(F.size(F.coalesce("spans", F.array())), F.lit(0)).cast("long").alias("n_spans"), kept.alias("kept_sha256"))
+
+
 @query
 def op8_lattice_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Links and components of near-duplicate vectors."""
