@@ -70,6 +70,12 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``df`` without the columns of these names (compared without case)."""
+    taken = {n.lower() for n in names}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in taken))
+
+
 def unique_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (names compare without case)."""
     taken = {c.lower() for c in df.columns}
@@ -85,13 +91,15 @@ def appended(
 
     ``make()`` is called once in a task and gives a function from a list of texts (None for null)
     to one list or Arrow array for each field. Batches are cut so that a call sees about
-    ``piece_bytes`` characters of text, or one row. All columns of ``df`` stay as they are.
+    ``piece_bytes`` characters of text, or one row. The columns of ``df`` stay as they are, but one
+    that has the name of a result gives way to it.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
-    at = df.columns.index(text)
     kinds = [to_arrow_type(t) for _, t in fields]
     names = [n for n, _ in fields]
+    df = without(df, names)
+    at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make()

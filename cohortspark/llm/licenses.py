@@ -14,6 +14,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortspark.llm.common import unique_name, without
+
 #: words: runs of ASCII letters and digits and of all characters beyond ASCII, in lower case
 SPLIT = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
 LOWER_WORD = rf"[^{SPLIT}]+"
@@ -190,7 +192,8 @@ def scan(docs: DataFrame, text: str = "text", result: str = "scan", extra: bool
     and comma-joined. A null text is empty. Everything stays in its row, so repeated rows give equal
     results and no group is ever formed. ``result`` must be a name that ``docs`` does not have.
     """
-    inner = [result + s for s in ("_words", "_norm", "_line", "_base")]
+    docs = without(docs, [result])
+    inner = [unique_name(docs, result + s) for s in ("_words", "_norm", "_line", "_base")]
     words, norm, line, base = inner
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     found = F.when(F.col(text).rlike(GATE), F.regexp_extract_all(F.translate(text, upper, lower), F.lit(LOWER_WORD), F.lit(0)))

@@ -220,7 +220,7 @@ def encode_documents(
     spans cover, all of them unless the normaliser drops blanks) and ``decoded``.
 
     A null or empty text has no piece but the end id. Texts of any length are encoded whole; equal
-    rows give equal results. Choose fields whose names ``docs`` does not have.
+    rows give equal results. A column of ``docs`` with the name of a field gives way to it.
     """
     if isinstance(model, str):
         with open(model, "rb") as file:

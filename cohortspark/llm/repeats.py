@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.llm.common import Scratch, mixed, parallelism, text_bytes
+from cohortspark.llm.common import Scratch, mixed, parallelism, text_bytes, without
 
 GRAM = 32  # bytes; a power of two
 SAMPLED = np.uint64((1 << 64) // 16)  # grams with a smaller hash are counted
@@ -28,6 +28,7 @@ SAMPLED = np.uint64((1 << 64) // 16)  # grams with a smaller hash are counted
 HOT = 200
 BLOCK = 20  # bytes of a symbol
 SHARD_BYTES = 8 << 20
+VERDICT = "__repeats_"  # begins the names of inner columns beside those of the caller
 BASE = np.uint64(0xD1342543DE82EF95)
 OTHER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -407,12 +408,13 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     (start and size, null: none). ``copy`` marks texts equal to one of a smaller doc_id; all of theirs
     is repeated if they hold a window at all. A null text is empty. Null ids come last; rows that
     share a doc_id but not the text are ordered by a hash of it; rows alike in both get equal results.
-    Other columns stay; ``docs`` must not have the three names.
+    Other columns stay, but for those of the three names.
 
     Texts are first named by hash, and only the first of equal ones goes on. Shards are hashed by
     doc_id, of about eight megabytes, or one text.
     """
     spark = docs.sparkSession
+    docs = without(docs, ["n_bytes", "spans", "copy"])
     work, parts = Scratch(spark, "repeats"), parallelism(spark)
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("class"))
     rows = work.keep(named.select("doc_id", "class", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")))
@@ -443,18 +445,20 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     whole = work.keep(firsts.select("class", "doc_id").join(whole, "class").select("doc_id", "class", "spans"))
     later = rows.join(firsts.select("class", F.col("doc_id").alias("first")), "class")
     later = later.where("n > 0 and first is not null and (doc_id is null or doc_id > first)").select("doc_id", "class", F.lit(True).alias("copy")).distinct()
-    verdict = work.keep(whole.withColumn("copy", F.lit(False)).unionByName(later, allowMissingColumns=True).toDF("of", "name", "spans", "copy"))
+    verdict = work.keep(
+        whole.withColumn("copy", F.lit(False)).unionByName(later, allowMissingColumns=True).toDF(*(VERDICT + c for c in ("of", "name", "spans", "copy")))
+    )
     work.drop(spans, rows)
     ident = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("of")) & (ident == F.col("name"))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(VERDICT + "of")) & (ident == F.col(VERDICT + "name"))
     out = docs.join(verdict, same, "left")
     everything = F.when(size >= width, F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("size"))))
     return out.select(
         *(docs[c] for c in docs.columns),
         size.alias("n_bytes"),
-        F.when(F.col("copy"), everything).otherwise(F.col("spans")).alias("spans"),
-        F.coalesce("copy", F.lit(False)).alias("copy"),
+        F.when(F.col(VERDICT + "copy"), everything).otherwise(F.col(VERDICT + "spans")).alias("spans"),
+        F.coalesce(VERDICT + "copy", F.lit(False)).alias("copy"),
     )
 
 
@@ -471,3 +475,24 @@ def kept_bytes(text: F.Column, spans: F.Column) -> F.Column:
         return F.concat(acc["kept"], F.substring(raw, (acc["at"] + 1).cast("int"), F.octet_length(raw)))
 
     return F.when(spans.isNull(), raw).otherwise(F.aggregate(spans, start, add, rest))
+
+
+def kept_text(text: F.Column, spans: F.Column) -> F.Column:
+    """The text outside its spans; a character that a span cuts goes as a whole."""
+    # one character for each byte
+    raw = F.decode(F.encode(F.coalesce(text, F.lit("")), "utf-8"), "ISO-8859-1")
+    start = F.struct(F.lit("").alias("kept"), F.lit(0).cast("long").alias("at"))
+
+    def whole(piece: F.Column) -> F.Column:
+        cut = r"^[\x80-\xBF]+|(?:[\xC0-\xFF]|[\xE0-\xFF][\x80-\xBF]|[\xF0-\xFF][\x80-\xBF]{2})$"
+        return F.regexp_replace(piece, F.lit(cut), F.lit(""))
+
+    def add(acc: F.Column, span: F.Column) -> F.Column:
+        piece = F.substring(raw, (acc["at"] + 1).cast("int"), (span["start"] - acc["at"]).cast("int"))
+        return F.struct(F.concat(acc["kept"], whole(piece)).alias("kept"), (span["start"] + span["size"]).alias("at"))
+
+    def rest(acc: F.Column) -> F.Column:
+        piece = F.concat(acc["kept"], whole(F.substring(raw, (acc["at"] + 1).cast("int"), F.length(raw))))
+        return F.encode(piece, "ISO-8859-1").cast("string")
+
+    return F.when(spans.isNull(), text).otherwise(F.aggregate(spans, start, add, rest))

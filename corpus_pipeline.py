@@ -1,22 +1,78 @@
 """From raw documents to an encoded training mix, in stages.
 
 Every stage takes the documents that the one before it kept, and is written as Parquet and read
-again before the next one starts.
+again before the next one starts. Rows with the same doc_id count as one document. All stages but
+the last return the columns they were given.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortspark.llm.common import Scratch, table
+from cohortspark.llm import jaccard, language, mixing, pieces_encoding, repeats
+from cohortspark.llm.common import Scratch, table, unique_name
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-#: the encoder and the models of the stages have no SQL form
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without any language: null texts, texts without a letter."""
+    model = language.learn(docs, held_out=language.fold())
+    fields = unique_name(docs, "lang_pred"), unique_name(docs, "lang_score")
+    return language.predict(docs, model, fields=fields).where(F.col(fields[0]) != "und").drop(*fields)
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest doc_id of each group of near duplicates; rows without a doc_id stay."""
+    groups = jaccard.similar_groups(docs)
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone"), "left_anti")
+
+
+def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages of 100 bytes that occur earlier; a document of which nothing is left goes."""
+    own = ("doc_id", "text")
+    rest = unique_name(docs, "rest")
+    others = [c for c in docs.columns if c not in own]
+    packed = docs.select(*own, F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias(rest))
+    cut = repeats.repeated_spans(packed).withColumn("kept", repeats.kept_text(F.col("text"), F.col("spans")))
+    cut = cut.where(F.col("spans").isNull() | (F.length("kept") > 0))
+
+    def column(name: str) -> F.Column:
+        if name == "text":
+            return F.col("kept").alias("text")
+        if name == "n_chars":
+            return F.when(F.col("spans").isNull(), F.col(rest)[name]).otherwise(F.length("kept")).cast(docs.schema[name].dataType).alias(name)
+        return F.col(name) if name in own else F.col(rest)[name].alias(name)
+
+    return cut.select(*(column(c) for c in docs.columns))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the balanced mix of sources takes it."""
+    return mixing.repeated(mixing.mixed(docs), unique_name(docs, "mix"))
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each text, and a digest of what they decode to."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    out = pieces_encoding.encode_documents(docs.select("doc_id", "lang", "source", "text"), model, fields=("n_tokens", "ids", "decoded"))
+    return out.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", language_stage),
+    ("jaccard", jaccard_stage),
+    ("repeats", repeats_stage),
+    ("mix", mix_stage),
+    ("encode", encode_stage),
+]
+
+#: the models and the encoder of the stages have no SQL form
 ORACLE_SQL: str | None = None
 
 
