@@ -347,7 +347,8 @@ def similar_groups(
         tested = pairs if tested is None else tested.union(pairs)
         roots = components(links, work)
         lists = keys.join(roots.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "n", F.coalesce("root", "name").alias("root"))
-    named = rows.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
-    first = named.where("name is not null").groupBy("root").agg(F.min("doc_id").alias("first"))
+    named = work.keep(rows.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name")))
+    # written: adaptive execution splits a large group's rows only in a join without an aggregate
+    first = work.keep(named.where("name is not null").groupBy("root").agg(F.min("doc_id").alias("first")))
     out = named.join(first, "root", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.coalesce("first", "doc_id")).alias("component_id"))

@@ -164,7 +164,8 @@ def near_duplicates(
     known = classes.select("class", "weight", "least").join(links, "class", "left")
     known = known.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     known = work.keep(known)
-    least = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    # written: adaptive execution splits a large component's rows only in a join without an aggregate
+    least = work.keep(known.groupBy("root").agg(F.min("least").alias("component_id")))
     known = known.join(least, "root").select("class", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     out = rows.select("vec_id", "class").join(known, "class", "left")
     component = F.coalesce("component_id", "vec_id")

@@ -161,7 +161,7 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     # the same arithmetic as in the search for the shift, so that both put a copy on the same side
     at = [F.lit(k + 1.0) - _rate(limit) - hash_order("doc_id", "size", F.lit("copies")) for k in range(limit)]
     come = sum((F.when(a < F.col("shift"), 1).otherwise(0) for a in at), F.lit(0))
-    copies = F.when(F.col("full"), limit).when(F.col("size") == 0, 1).otherwise(come)
+    copies = F.when(F.col("size") == 0, 1).when(F.col("full"), limit).otherwise(come)
     mix = F.struct("size", "source_size", "target", _rate(limit).alias("rate"), copies.cast("int").alias("copies"))
     return row.select("row.*", mix.alias(name))
 

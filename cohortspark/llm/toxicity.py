@@ -148,7 +148,7 @@ def learn(
 
 
 def _without_copies(rows: list, keys: int = 3) -> list:
-    """The sampled rows but for those that share the two least hashes of some order with one before.
+    """The sampled rows but for those that share the four least hashes of some order with one before.
 
     Copies of a text would make its chance words look like words of its category. Of the other rows
     a few go as well, which a sample can spare.
@@ -156,7 +156,7 @@ def _without_copies(rows: list, keys: int = 3) -> list:
     seen, out = set(), []
     for row in rows:
         words = np.frombuffer(row["hashes"], np.uint64)
-        own = {(k, *np.sort(mixed(words ^ np.uint64(k * 0x9E3779B9)))[:2].tolist()) for k in range(keys)}
+        own = {(k, *np.sort(mixed(words ^ np.uint64(k * 0x9E3779B9)))[:4].tolist()) for k in range(keys)}
         if not own & seen:
             out.append(row)
         seen |= own
