@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import like_any, not_before
 from cohortspark.operators.ranks import null_safe_join
-from cohortspark.session import broadcast_if_small
 
 
 class StatusStep(NamedTuple):
@@ -35,18 +34,21 @@ def concepts_matching(
 def prefix_matches(codes: DataFrame, code: str, keys: DataFrame, key: str = "icd_key") -> DataFrame:
     """Join rows to every key that their code starts with.
 
-    A LIKE join would compare each code to each key. Here a code is cut to the
-    few lengths that keys have, and the pieces are joined by equality.
+    A LIKE join would compare each code to each key. Here the distinct codes are cut to the
+    few lengths that keys have, and the pieces are joined by equality; the rows then join the
+    codes that have a key, each of them once for each key.
     """
     lengths = keys.where(F.col(key).isNotNull()).agg(F.collect_set(F.length(key))).scalar()
     cut = (
         codes.where(F.col(code).isNotNull())
+        .select(code)
+        .distinct()
         .withColumn("_length", F.explode(lengths))
         .where(F.col("_length") <= F.length(code))
         .withColumn(key, F.left(F.col(code), F.col("_length")))
         .drop("_length")
     )
-    return cut.join(broadcast_if_small(keys), key)
+    return codes.join(cut.join(keys, key), code)
 
 
 def _tagged(
@@ -68,7 +70,7 @@ def _tagged(
         .groupBy(code)
         .agg(F.min("step").alias("step"))
     )
-    return facts.where(not_before(facts, date, since)).join(broadcast_if_small(coded), code)
+    return facts.where(not_before(facts, date, since)).join(coded, code)
 
 
 def _labelled(df: DataFrame, steps: Sequence[StatusStep]) -> DataFrame:
@@ -138,7 +140,7 @@ def status_waterfall_stepwise(
     floor = facts.where(not_before(facts, date, since))
     out: DataFrame | None = None
     for step in steps:
-        codes = broadcast_if_small(concepts_matching(concepts, step.patterns, code, path))
+        codes = concepts_matching(concepts, step.patterns, code, path)
         rows = floor.join(codes, code).select(
             "patient_num",
             "encounter_num",
@@ -203,8 +205,8 @@ def eligible_encounters(
 
 
 def in_cohort(df: DataFrame, cohort: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose keys occur in the cohort, which is counted first."""
-    members = broadcast_if_small(cohort.select(*keys).distinct())
+    """Rows of ``df`` whose keys occur in the cohort."""
+    members = cohort.select(*keys).distinct()
     return df.join(members, list(keys), "left_semi")
 
 

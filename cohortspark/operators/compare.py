@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cohortspark.functions.draws import dealt
 from cohortspark.functions.scalars import number_text
 from cohortspark.functions.tails import f_tail
 from cohortspark.operators.ranks import exact_quantiles, null_safe_join
@@ -133,65 +134,81 @@ def chi_square(cells: DataFrame) -> DataFrame:
 # a statistic this close to the observed one counts as reaching it
 _ALMOST = 1 - 64 * np.finfo(float).eps
 
-# the generator draws tables of fewer rows than this
-_DRAWABLE = 1_000_000_000
+# levels that a task draws at a time
+_BLOCK_LEVELS = 1000
 
 
-def _exceedances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Draw tables with the given margins and count those as far off as the observed one.
-
-    Tables too large to draw have their statistic drawn from its limit, chi-square.
-    """
+def _block_totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """For each draw, how many of each group fall into each block of levels."""
+    for batch in batches:
+        for job in batch.itertuples():
+            rng = np.random.default_rng([job.seed, job.chunk, 0])
+            blocks, sizes = zip(*((b["block"], b["r"]) for b in job.blocks), strict=True)
+            left = np.tile(np.array(sizes, np.int64), (job.draws, 1))
+            parts = []
+            for size in job.cols:
+                parts.append(dealt(rng, left, np.full(job.draws, size)))
+                left = left - parts[-1]
+            totals = np.stack(parts, axis=2)
+            yield pd.DataFrame(
+                {
+                    "var": job.var, "block": blocks, "chunk": job.chunk, "seed": job.seed,
+                    "totals": [totals[:, i].ravel() for i in range(len(blocks))],
+                }
+            )
+
+
+def _block_statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each draw's sum of squared cells over both margins, within a block of levels."""
     for batch in batches:
-        hits = []
         for job in batch.itertuples():
-            rng = np.random.default_rng([job.seed, job.chunk])
-            rows = np.asarray(job.rows, dtype=np.int64)
-            cols = np.asarray(job.cols, dtype=np.int64)
-            reached = _ALMOST * job.chisq
-            if rows.sum() >= _DRAWABLE:
-                freedom = (len(rows) - 1) * (len(cols) - 1)
-                hits.append(int((rng.chisquare(freedom, job.draws) >= reached).sum()))
-                continue
-            hit = 0
-            for _ in range(job.draws):
-                left = rows.copy()
-                stat = -1.0
-                for size in cols:
-                    drawn = rng.multivariate_hypergeometric(left, size, method="marginals")
-                    left -= drawn
-                    stat += float(np.sum(drawn.astype(float) ** 2 / rows)) / float(size)
-                hit += int(rows.sum() * stat >= reached)
-            hits.append(hit)
-        yield pd.DataFrame({"var": batch["var"], "hits": hits, "draws": batch["draws"]})
+            rng = np.random.default_rng([job.seed, job.chunk, 1 + job.block])
+            rows, cols = np.asarray(job.rows, np.int64), np.asarray(job.cols, np.int64)
+            totals = np.asarray(job.totals, np.int64).reshape(-1, len(cols))
+            left = np.tile(rows, (len(totals), 1))
+            share = np.zeros(len(totals))
+            for size, own in zip(cols, totals.T, strict=True):
+                drawn = dealt(rng, left, own)
+                left = left - drawn
+                share += (drawn.astype(float) ** 2 / rows).sum(1) / float(size)
+            yield pd.DataFrame({"var": job.var, "chunk": job.chunk, "draw": np.arange(len(share)), "share": share})
 
 
 def chi_square_p(cells: DataFrame, replicates: int = 2000, seed: int = 1, chunk: int = 100) -> DataFrame:
     """Monte-Carlo p per variable: share of random tables with the same margins.
 
-    Draws are split into chunks over the cluster, each with its own seed. The two
-    margins travel with the chunk; their length is the number of levels. A
-    variable with one level or one group gets no p.
+    Draws are split into chunks over the cluster, each with its own seed. Levels are split into
+    blocks: a draw first deals the groups among blocks and then, block by block, among levels, so
+    no task holds all levels of a variable. A variable with one level or one group gets no p.
     """
     rows = cells.groupBy("var", "val").agg(F.sum("o").alias("r"))
     cols = cells.groupBy("var", "grp").agg(F.sum("o").alias("c"))
-    margins = (
-        chi_square(cells)
-        .where("df > 0")
-        .join(rows.groupBy("var").agg(_sorted_margin("val", "r").alias("rows")), "var")
-        .join(cols.groupBy("var").agg(_sorted_margin("grp", "c").alias("cols")), "var")
-    )
+    blocks = rows.groupBy("var").agg(F.ceil(F.count(F.lit(1)) / _BLOCK_LEVELS).alias("_blocks"))
+    rows = rows.join(blocks, "var").withColumn("block", F.pmod(F.xxhash64("val"), F.col("_blocks")))
+    levels = rows.groupBy("var", "block").agg(_sorted_margin("val", "r").alias("rows"), F.sum("r").alias("r"))
+    totals = levels.groupBy("var").agg(F.array_sort(F.collect_list(F.struct("block", "r"))).alias("blocks"))
+    tested = chi_square(cells).where("df > 0")
+    margins = cols.groupBy("var").agg(_sorted_margin("grp", "c").alias("cols"))
     chunks = -(-replicates // chunk)
     jobs = (
-        margins.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        tested.join(totals, "var")
+        .join(margins, "var")
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
         .withColumn("draws", F.least(F.lit(chunk), F.lit(replicates) - F.col("chunk") * chunk))
         .withColumn("seed", F.lit(seed))
-        .select("var", "chisq", "rows", "cols", "chunk", "draws", "seed")
+        .select("var", "blocks", "cols", "chunk", "draws", "seed")
         .repartition(chunks, "var", "chunk")
     )
-    counted = jobs.mapInPandas(_exceedances, "var string, hits long, draws long")
-    return counted.groupBy("var").agg(
-        ((F.sum("hits") + 1) / (F.sum("draws") + 1)).alias("p_value")
+    dealt_out = jobs.mapInPandas(_block_totals, "var string, block long, chunk int, seed int, totals array<long>")
+    within = dealt_out.join(levels.drop("r"), ["var", "block"]).join(margins, "var")
+    shares = within.mapInPandas(_block_statistics, "var string, chunk int, draw int, share double")
+    statistic = F.col("total") * (F.col("share") - 1)
+    return (
+        shares.groupBy("var", "chunk", "draw")
+        .agg(F.sum("share").alias("share"))
+        .join(tested, "var")
+        .groupBy("var")
+        .agg(((F.count_if(statistic >= _ALMOST * F.col("chisq")) + 1) / (F.count(F.lit(1)) + 1)).alias("p_value"))
     )
 
 
@@ -234,7 +251,7 @@ def comparison_table(
     grp: str,
     numeric: Sequence[str],
     categorical: Sequence[str],
-    groups: Sequence[str] | None = None,
+    groups: Sequence[str],
     with_p: bool = True,
     miss_scope: str = "variable",
     replicates: int = 2000,
@@ -243,16 +260,13 @@ def comparison_table(
     """The report table: ``var``, ``cat``, one column per group, and ``p.value``.
 
     The first row holds the group sizes, the next ones mean(sd) [miss] of the
-    numbers, the rest n(%) [miss] of each level. ``groups`` are the columns, by
-    default all there are; rows of other groups are left out.
+    numbers, the rest n(%) [miss] of each level. ``groups`` are the columns; rows
+    of other groups are left out.
     """
     def cell(*parts) -> Column:
         return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
 
     sizes = group_sizes(df, id, grp)
-    if groups is None:
-        known = df.select(grp).where(F.col(grp).isNotNull()).distinct()
-        groups = [row[0] for row in known.orderBy(grp).collect()]
     numbers = null_safe_join(
         group_moments(_long(df, grp, numeric, "double")), sizes, ["grp"]
     )

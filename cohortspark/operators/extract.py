@@ -1,7 +1,7 @@
 """Tables of the cohort: demographics, diagnoses, and events around each stay.
 
-The cohort is read by every extract and is counted to see whether it can be
-broadcast, so it should be a stored table or a checkpoint.
+The cohort is read by every extract, so it should be a stored table or a checkpoint.
+Joins are left to adaptive execution, which broadcasts by measured bytes.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.operators.cohort import in_cohort
-from cohortspark.session import broadcast_if_small
 
 
 class EventTable(NamedTuple):
@@ -99,22 +98,31 @@ def windowed_extract(
 
     The join runs on patient and quarter of a year, not on the patient alone: a
     patient with very many events is spread over many keys, and only pairs whose
-    quarters meet are ever compared.
+    quarters meet are ever compared. The earliest and the latest window bound the
+    dates that are scanned, and windows list no quarter beyond the events' own
+    dates, so a discharge far in the future costs nothing.
     """
+    windows = cohort.select(
+        patient,
+        *keep,
+        F.date_sub("admit_date", before).alias("_from"),
+        F.date_add("discharge_date", after).alias("_to"),
+    ).where(F.col("_to") >= F.col("_from"))
+    kind = events.schema[date].dataType
+    # a time of the last day is before the next one
+    first = windows.agg(F.min("_from").cast(kind)).scalar()
+    last = windows.agg(F.date_add(F.max("_to"), 1).cast(kind)).scalar()
+    near = events.where((F.col(date) >= first) & (F.col(date) <= last))
+    day = F.col(date).cast("date")
+    known = events.agg(F.min(date).cast("date").alias("a"), F.max(date).cast("date").alias("b"))
     bounds = (
-        cohort.select(
-            patient,
-            *keep,
-            F.date_sub("admit_date", before).alias("_from"),
-            F.date_add("discharge_date", after).alias("_to"),
-        )
-        .where(F.col("_to") >= F.col("_from"))
-        .withColumn("_bin", F.explode(F.sequence(_bin("_from"), _bin("_to"))))
+        windows.withColumn("_first", F.greatest("_from", known.select("a").scalar()))
+        .withColumn("_last", F.least("_to", known.select("b").scalar()))
+        .where(F.col("_last") >= F.col("_first"))
+        .withColumn("_bin", F.explode(F.sequence(_bin("_first"), _bin("_last"))))
     )
-    binned = events.where(F.col(date).isNotNull()).withColumn(
-        "_bin", _bin(F.col(date).cast("date"))
-    )
-    e, b = binned.alias("e"), broadcast_if_small(bounds).alias("b")
+    binned = near.withColumn("_bin", _bin(day))
+    e, b = binned.alias("e"), bounds.alias("b")
     condition = (
         (F.col(f"e.{patient}") == F.col(f"b.{patient}"))
         & (F.col("e._bin") == F.col("b._bin"))
@@ -149,10 +157,8 @@ def extract_observations(
     per_stay: bool = True,
 ) -> DataFrame:
     """Clinical observations around each stay, named through the code map."""
-    names = broadcast_if_small(
-        code_map.select(
-            F.col("i2b2_code").alias("concept_cd"), "obsclin_type", "obsclin_code", "raw_obsclin_name"
-        )
+    names = code_map.select(
+        F.col("i2b2_code").alias("concept_cd"), "obsclin_type", "obsclin_code", "raw_obsclin_name"
     )
     coded = facts.join(names, "concept_cd").select(
         F.col("patient_num").alias("patid"),
@@ -173,7 +179,7 @@ def _repeated(cohort: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows`` of cohort patients, each as often as its patient has stays in the cohort."""
     stays = cohort.groupBy("patid").agg(F.count(F.lit(1)).cast("int").alias("_stays"))
     once = F.explode(F.sequence(F.lit(1), F.col("_stays")))
-    return rows.join(broadcast_if_small(stays), "patid").withColumn("_copy", once).drop("_stays", "_copy")
+    return rows.join(stays, "patid").withColumn("_copy", once).drop("_stays", "_copy")
 
 
 def demographics(

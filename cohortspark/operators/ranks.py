@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortspark.functions.ordering import magnitude_bucket
 from cohortspark.session import checkpointed
 
 
@@ -34,6 +33,18 @@ def null_safe_join(
     return left.join(renamed, condition, how).drop(*(f"_r_{key}" for key in keys))
 
 
+def _in_ranges(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """``df`` sorted in ranges of ``by`` and ``order``, with the range's number as ``_bucket``.
+
+    The ranges are cut from a sample of the rows themselves, so any distribution is spread evenly
+    over tasks, and a group may span ranges. They are written to the checkpoint folder: a task that
+    runs again finds its rows in the same range.
+    """
+    keys = [*by, order]
+    parts = checkpointed(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    return parts.withColumn("_bucket", F.spark_partition_id())
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -43,12 +54,12 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<c>_cum`` and ``<c>_total`` for each column of ``sums``.
 
-    ``df`` holds one row per ``by`` and ``order`` value. Totals of the
-    :func:`magnitude_bucket` of ``order`` give each bucket its starting offset;
-    only the rows inside one bucket are then sorted together.
+    ``df`` holds one row per ``by`` and ``order`` value. Rows are dealt into ranges; the totals
+    of a group's ranges, one row each, give every range its starting offset, and only the rows of
+    one range are then summed in order.
     """
     keys = [*by, "_bucket"]
-    marked = df.withColumn("_bucket", magnitude_bucket(F.col(order).cast("double")))
+    marked = _in_ranges(df, by, order)
     bucket_order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     before = W.partitionBy(*by).orderBy(bucket_order).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
@@ -76,16 +87,17 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per group, one column per name in ``probs``.
 
-    Equal values are counted first. Counts per :func:`magnitude_bucket` then tell
-    which buckets hold the wanted ranks, and only those are sorted. Neither a
-    group nor the table is ever held by one task, and the result is exact.
+    Equal values are counted first, and the counts dealt into ranges of group and value. The sums
+    of a group's ranges then tell which ranges hold the wanted ranks, and only those are read
+    further. Neither a group nor the table is ever held by one task, and the result is exact.
     """
-    counts = (
+    counts = _in_ranges(
         df.select(*by, F.col(value).cast("double").alias("_v"))
         .where("_v IS NOT NULL")
         .groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", magnitude_bucket(F.col("_v")))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        by,
+        "_v",
     )
     keys = [*by, "_bucket"]
     before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Run-time SQL settings the operators rely on. All of them can be changed on a
 # live session, so a session made by someone else can be tuned as well.
@@ -48,31 +45,13 @@ def local_session(cores: str = "*", app: str = "cohortspark", **conf: str) -> Sp
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder and cut its lineage.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a folder of its own.
+    The folder is the one set on the context, or named in ``spark.checkpoint.dir``; where neither
+    is, one in the session's warehouse, which executors share as well.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="cohortspark-checkpoint-")
-        context.setCheckpointDir(folder)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(folder or f"{warehouse}/_checkpoints")
     return df.checkpoint(eager=True)
-
-
-# rows of a few short columns that stay well below what a task may hold
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint to broadcast ``df`` if it has at most ``rows`` rows, found by counting.
-
-    Left to the optimizer, a filtered side of unknown size is shuffled first, and
-    the big table with it; so it is worth a job on the small side to know. Beyond
-    the bound ``df`` comes back as it was, for a shuffled join. ``df`` should be
-    cheap to read: a dimension, a stored table or a checkpoint.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

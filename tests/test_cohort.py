@@ -192,11 +192,3 @@ def test_hot_patient_stays_whole(spark, rows):
         got = ex.windowed_extract(cohort, events, "day", ["id"]).groupBy("patid", "id").count()
         assert rows(got) == rows(want)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_sides_are_broadcast_only_when_small(spark):
-    from cohortspark.session import broadcast_if_small
-
-    df = spark.range(100)
-    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
-    assert hinted(broadcast_if_small(df, 100)) and not hinted(broadcast_if_small(df, 99))

@@ -233,3 +233,48 @@ def test_monte_carlo_beyond_what_can_be_drawn(spark):
     stat = cm.chi_square(cells).first()["chisq"]
     p = cm.chi_square_p(cells).first()["p_value"]
     assert abs(p - math.erfc(math.sqrt(stat / 2))) < 0.05
+
+
+def test_draws_follow_the_hypergeometric_distribution():
+    import numpy as np
+
+    from cohortspark.functions.draws import dealt, hypergeometric, log_factorial
+
+    rng = np.random.default_rng(3)
+    assert np.allclose(log_factorial(np.arange(200)), [math.lgamma(n + 1) for n in range(200)], atol=1e-9)
+    for good, bad, sample in ((5, 7, 4), (1, 9, 10), (3, 0, 2), (0, 4, 2), (40, 200, 60), (900, 5, 880)):
+        got = np.bincount(hypergeometric(rng, np.full(20_000, good), bad, sample), minlength=good + 1) / 20_000
+        want = [math.comb(good, k) * math.comb(bad, sample - k) / math.comb(good + bad, sample) if 0 <= sample - k <= bad else 0 for k in range(good + 1)]
+        assert np.abs(got - want).max() < 0.02
+    big = hypergeometric(rng, np.full(4000, 3 * 10**12), 10**12, 10**10)
+    assert abs(big.mean() / 7.5e9 - 1) < 1e-5
+    assert abs(big.std() / math.sqrt(10**10 * 0.75 * 0.25 * (1 - 10**10 / (4 * 10**12))) - 1) < 0.05
+    left = np.tile([5, 0, 9, 2], (500, 1))
+    out = dealt(rng, left, np.full(500, 7))
+    assert (out.sum(1) == 7).all() and (out >= 0).all() and (out <= left).all()
+
+
+def test_monte_carlo_in_blocks_of_levels(spark, monkeypatch):
+    cells = spark.createDataFrame(
+        [("c", f"l{i}", g, 10 + (i * k) % 7) for i in range(40) for k, g in ((1, "A"), (2, "B"), (3, "C"))],
+        "var string, val string, grp string, o long",
+    )
+    whole = cm.chi_square_p(cells).first()["p_value"]
+    monkeypatch.setattr(cm, "_BLOCK_LEVELS", 4)
+    assert abs(cm.chi_square_p(cells).first()["p_value"] - whole) < 0.06
+
+
+def test_ranges_split_what_lies_close_together(spark):
+    from cohortspark.operators.ranks import _in_ranges, exact_quantiles, running_totals
+
+    df = spark.range(200_000).select(F.lit("g").alias("g"), (F.col("id") + 1_700_000_000).cast("double").alias("v"), F.lit(1).alias("n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in _in_ranges(df, ["g"], "v").groupBy("_bucket").count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 3 * 200_000 / 8
+        got = exact_quantiles(df, "v", {"a": 0.25, "b": 0.5}, ["g"]).first()
+        assert (got["a"], got["b"]) == (1_700_000_000 + 199_999 * 0.25, 1_700_000_000 + 199_999 * 0.5)
+        last = running_totals(df, "v", ["n"], ["g"], descending=False).orderBy(F.desc("v")).first()
+        assert (last["n_cum"], last["n_total"]) == (200_000, 200_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
