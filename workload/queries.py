@@ -580,29 +580,64 @@ query(
 query("categorical_profile", "SELECT var, grp, val, tot, val_miss, n, prop FROM $w_cat")(
     lambda v: cm.categorical_profile(demo(v), "patient_num", "pos_confirmed", CATEGORICAL).drop("label")
 )
-query(
-    "anova_f",
-    """SELECT var, k - 1 AS df1, cast(nn - k AS bigint) AS df2, round((ssb / (k - 1)) / (ssw / (nn - k)), 6) AS f_value
+_ANOVA = """SELECT var, k - 1 AS df1, cast(nn - k AS bigint) AS df2, (ssb / (k - 1)) / (ssw / (nn - k)) AS f_value
        FROM (SELECT var, count(*) AS k, sum(n) AS nn, sum(n * power(m - g, 2)) AS ssb,
                     sum((n - 1) * s) AS ssw
              FROM (SELECT var, grp, count(val) AS n, avg(val) AS m, coalesce(var_samp(val), 0) AS s
                    FROM $w_demo_num WHERE val IS NOT NULL GROUP BY var, grp)
              JOIN (SELECT var, avg(val) AS g FROM $w_demo_num GROUP BY var) USING (var)
-             GROUP BY var)""",
-)(lambda v: r6(cm.anova(cm.group_moments(long_numbers(v))).select("var", "df1", "df2", "f_value")))
-query("anova_p")(
-    lambda v: cm.anova_p(cm.anova(cm.group_moments(long_numbers(v)))).select("var", "f_value", "p_value")
+             GROUP BY var)"""
+# with three groups the tail of F has a closed form
+_ANOVA_P = f"SELECT var, f_value, power(1 + 2 * f_value / df2, -df2 / 2.0) AS p_value FROM ({_ANOVA}) WHERE df1 = 2"
+query("anova_f", f"SELECT var, df1, df2, round(f_value, 6) AS f_value FROM ({_ANOVA})")(
+    lambda v: r6(cm.anova(cm.group_moments(long_numbers(v))).select("var", "df1", "df2", "f_value"))
 )
-query(
-    "chisq_stat",
-    """SELECT r.var, round(sum(power(coalesce(o.o, 0) - r * c / t, 2) / (r * c / t)), 6) AS chisq,
+query("anova_p", f"SELECT var, round(f_value, 6) AS f_value, round(p_value, 6) AS p_value FROM ({_ANOVA_P})")(
+    lambda v: r6(cm.anova_p(cm.anova(cm.group_moments(long_numbers(v)))).select("var", "f_value", "p_value"))
+)
+_CHISQ = """SELECT r.var, sum(power(coalesce(o.o, 0) - r * c / t, 2) / (r * c / t)) AS chisq,
               (count(DISTINCT r.val) - 1) * (count(DISTINCT c.grp) - 1) AS df,
-              cast(any_value(t) AS bigint) AS total
+              cast(any_value(t) AS bigint) AS total, min(r * c / t) AS least
        FROM $w_cell_rows r JOIN $w_cell_cols c ON r.var = c.var
        JOIN (SELECT var, sum(o) AS t FROM $w_cells GROUP BY ALL) t ON r.var = t.var
-       LEFT JOIN $w_cells o ON o.var = r.var AND o.val = r.val AND o.grp = c.grp GROUP BY r.var""",
-)(lambda v: r6(cm.chi_square(cells(v))))
-query("chisq_mc")(lambda v: cm.chi_square_p(cells(v)))
+       LEFT JOIN $w_cells o ON o.var = r.var AND o.val = r.val AND o.grp = c.grp GROUP BY r.var"""
+query("chisq_stat", f"SELECT var, round(chisq, 6) AS chisq, df, total FROM ({_CHISQ})")(
+    lambda v: r6(cm.chi_square(cells(v)))
+)
+
+
+def simulated(v: Views) -> DataFrame:
+    """Statistic and whether the simulated p lies within four standard errors of the limit's.
+
+    Only where the limit holds: every expected count is five or more. With an even number of degrees
+    of freedom, as always with three groups, the limit's tail is a finite sum.
+    """
+    found = cells(v)
+    sizes = found.groupBy("var", "val").agg(F.sum("o").alias("r")).groupBy("var").agg(F.min("r").alias("r"))
+    groups = found.groupBy("var", "grp").agg(F.sum("o").alias("c")).groupBy("var").agg(F.min("c").alias("c"))
+    half = F.col("chisq") / 2
+    terms = F.transform(F.sequence(F.lit(0), (F.col("df") / 2 - 1).cast("int")), lambda k: F.pow(half, k) / F.factorial(k))
+    tail = F.exp(-half) * F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    draws = 2000
+    slack = 4 * F.sqrt(F.col("tail") * (1 - F.col("tail")) / draws) + 2.0 / draws
+    return (
+        cm.chi_square(found)
+        .where("df > 0 and df % 2 = 0")
+        .join(cm.chi_square_p(found, draws), "var")
+        .join(sizes, "var")
+        .join(groups, "var")
+        .withColumn("tail", tail)
+        .withColumn("agrees", F.when(F.col("r") * F.col("c") / F.col("total") >= 5, F.abs(F.col("p_value") - F.col("tail")) <= slack))
+        .select("var", "chisq", "df", "agrees")
+    )
+
+
+query(
+    "chisq_mc",
+    f"""SELECT var, round(chisq, 6) AS chisq, df, CASE WHEN least >= 5 THEN true END AS agrees
+        FROM ({_CHISQ}) WHERE df > 0 AND df % 2 = 0""",
+)(lambda v: r6(simulated(v)))
+
 
 def _text(x: str, digits: int) -> str:
     """DuckDB text of a rounded number without trailing zeros."""
@@ -610,9 +645,7 @@ def _text(x: str, digits: int) -> str:
     return f"CASE WHEN {x} IS NULL THEN 'NA' ELSE regexp_replace({number}, '[.]?0+$', '') END"
 
 
-query(
-    "comparison_table",
-    f"""SELECT var, cat, max(cell) FILTER (grp = 'NEG') AS "NEG", max(cell) FILTER (grp = 'PEND') AS "PEND",
+_REPORT = f"""SELECT var, cat, max(cell) FILTER (grp = 'NEG') AS "NEG", max(cell) FILTER (grp = 'PEND') AS "PEND",
                max(cell) FILTER (grp = 'POS') AS "POS"
         FROM (SELECT 'n' AS var, '' AS cat, grp, cast(n AS varchar) AS cell FROM $w_num
               UNION SELECT var, 'mean(sd) [miss]', grp,
@@ -621,14 +654,29 @@ query(
               UNION SELECT var, val || ',n(%) [miss]', grp,
                 cast(n AS varchar) || ' (' || {_text("(prop * 100)", 1)} || '%) ['
                 || {_text("(val_miss / tot)", 2)} || ']' FROM $w_cat)
-        GROUP BY var, cat""",
-)(lambda v: cm.comparison_table(demo(v), "patient_num", "pos_confirmed", NUMERIC, CATEGORICAL, GROUPS, with_p=False))
+        GROUP BY var, cat"""
+query("comparison_table", _REPORT)(
+    lambda v: cm.comparison_table(demo(v), "patient_num", "pos_confirmed", NUMERIC, CATEGORICAL, GROUPS, with_p=False)
+)
 
 
-@query("comparison_report")
+@query(
+    "comparison_report",
+    f"""SELECT r.*, p.p_value, s.agrees FROM ({_REPORT}) r
+        LEFT JOIN (SELECT var, round_even(p_value, 4) AS p_value FROM ({_ANOVA_P})) p ON p.var = r.var
+        LEFT JOIN (SELECT var, CASE WHEN least >= 5 THEN true END AS agrees FROM ({_CHISQ})) s ON s.var = r.var""",
+)
 def _(v):
+    """The report; the simulated p of a category is checked against its limit, as it has no closed form."""
     stay = v("fx_stay")
-    return cl.cohort_report(stay.where("pos_confirmed > 0"), stay.where("pos_confirmed = 0"))
+    report = cl.cohort_report(stay.where("pos_confirmed > 0"), stay.where("pos_confirmed = 0"))
+    p = F.col("`p.value`")
+    half, tail = F.col("chisq") / 2, F.col("tail")
+    found = simulated(v).withColumn("tail", F.exp(-half) * F.when(F.col("df") == 2, F.lit(1.0)).otherwise(1 + half))
+    near = F.abs(p - tail) <= 4 * F.sqrt(tail * (1 - tail) / 2000) + 2.0 / 2000
+    return report.join(found, "var", "left").select(
+        "var", "cat", *GROUPS, F.when(F.col("df").isNull(), p).alias("p_value"), F.when(F.col("agrees").isNotNull(), near).alias("agrees")
+    )
 
 
 query(
@@ -679,7 +727,7 @@ def _roc_sql(kind: str) -> str:
                     FROM (SELECT x.pred, x.real,
                                  ((n_total - p_total) - (n_cum - p_cum) + (n - p) / 2) / (n_total - p_total) AS v10,
                                  (p_cum - p + p / 2) / p_total AS v01
-                          FROM $fx_{'pred' if kind == 'pred' else 'label_pred'} x
+                          FROM $fx_{kind if kind == 'pred' else kind + '_pred'} x
                           JOIN $w_{kind}_counts c ON x.pred = c.score)))"""
 
 
@@ -726,15 +774,16 @@ query("operating_point", _rounded_sql(_points_sql("pred")))(
 query("cutoff_means", _rounded_sql(_means_sql("pred")))(
     lambda v: r6(ev.cutoff_means(ev.threshold_sweep(counts(v))))
 )
-query(
-    "perf_summary",
-    "SELECT overall_meas, round(meas_val, 6) AS meas_val FROM ("
-    + " UNION ALL ".join(
-        f"FROM (UNPIVOT ({part('label')}) ON COLUMNS(*) INTO NAME overall_meas VALUE meas_val)"
+
+def _summary_sql(kind: str, digits: int) -> str:
+    parts = " UNION ALL ".join(
+        f"FROM (UNPIVOT ({part(kind)}) ON COLUMNS(*) INTO NAME overall_meas VALUE meas_val)"
         for part in (_roc_sql, _points_sql, _pr_sql, _means_sql)
     )
-    + ")",
-)(lambda v: r6(ev.perf_summary(v("fx_label_pred"))))
+    return f"SELECT overall_meas, round(meas_val, {digits}) AS meas_val FROM ({parts})"
+
+
+query("perf_summary", _summary_sql("label", 6))(lambda v: r6(ev.perf_summary(v("fx_label_pred"))))
 
 
 def _calibration_sql(view: str) -> str:
@@ -812,14 +861,17 @@ query(
 
 # ------------------------------------------------------------------- models
 
+_COEFFICIENTS = """SELECT term, round(estimate, 4) AS estimate, round(std_error, 4) AS std_error,
+    round(statistic, 4) AS statistic, round(p_value, 4) AS p_value FROM $w_"""
+
 
-@query("glm_logistic")
+@query("glm_logistic", _COEFFICIENTS + "logistic")
 def _(v):
     fit = fit_glm(initial(v), "hosdead", ["pos_confirmed", "age_at_admit", "sofa_init"])
     return r6(fit.coefficients, 4)
 
 
-@query("glm_logistic_factor")
+@query("glm_logistic_factor", _COEFFICIENTS + "factor")
 def _(v):
     fit = fit_glm(
         initial(v), "hosdead", ["pos_confirmed", "sofa_init"], categorical=["pos_confirmed"]
@@ -827,7 +879,7 @@ def _(v):
     return r6(fit.coefficients, 4)
 
 
-@query("glm_poisson")
+@query("glm_poisson", _COEFFICIENTS + "poisson")
 def _(v):
     # a record may end before it starts; a count model takes no negative hours
     rows = initial(v).where("mv_dur_hour >= 0")
@@ -835,7 +887,7 @@ def _(v):
     return r6(fit.coefficients, 4)
 
 
-@query("glm_performance")
+@query("glm_performance", _summary_sql("fit", 4))
 def _(v):
     rows = checkpointed(initial(v))
     fit = fit_glm(rows, "hosdead", ["pos_confirmed", "sofa_init"])

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from cohortspark.session import tune
 from cohortspark.sources import refdata
 from workload.adapters import Views, duckdb_sql
+from workload.newton import glm_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -267,7 +268,7 @@ ORACLE_VIEWS = {
                sum(p) OVER () AS p_total
         FROM (SELECT pred AS score, count(*) AS n, sum(real) AS p FROM $fx_{view} GROUP BY pred)
         WINDOW w AS (ORDER BY score DESC)"""
-        for kind, view in (("pred", "pred"), ("label", "label_pred"))
+        for kind, view in (("pred", "pred"), ("label", "label_pred"), ("fit", "fit_pred"))
     },
     **{
         f"w_{kind}_sweep": f"""
@@ -283,6 +284,18 @@ ORACLE_VIEWS = {
                      cast(p_total - p_cum AS double) AS fn,
                      cast(n_total - n_cum - p_total + p_cum AS double) AS tn FROM $w_{kind}_counts)
         WHERE tp > 0 AND tn > 0"""
-        for kind in ("pred", "label")
+        for kind in ("pred", "label", "fit")
     },
+    **glm_views("logistic", "$w_initial", "hosdead", {c: c for c in ("pos_confirmed", "age_at_admit", "sofa_init")}),
+    **glm_views("factor", "$w_initial", "hosdead", {
+        "pos_confirmed_2": "pos_confirmed = 2", "pos_confirmed_1": "pos_confirmed = 1", "sofa_init": "sofa_init",
+    }),
+    **glm_views(
+        "poisson", "(FROM $w_initial WHERE mv_dur_hour >= 0)", "mv_dur_hour",
+        {c: c for c in ("pos_confirmed", "age_at_admit", "sofa_init")}, "poisson",
+    ),
+    **glm_views("status", "$w_initial", "hosdead", {c: c for c in ("pos_confirmed", "sofa_init")}),
+    "fx_fit_pred": """
+        SELECT 1 / (1 + exp(-(b0 + b1 * pos_confirmed + b2 * sofa_init))) AS pred, hosdead AS real
+        FROM $w_initial, $w_status_b WHERE hosdead IS NOT NULL AND pos_confirmed IS NOT NULL""",
 }
