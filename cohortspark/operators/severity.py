@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortspark.functions.scalars import (
@@ -256,6 +257,26 @@ def scored_observations(
     return scores_from(coded_facts(facts, stays, code_map, since), stays, bands, grain)
 
 
+# an observation's day picks one of so many parts of its patient
+_PARTS = 8
+
+
+def banded(
+    coded: DataFrame,
+    bands: DataFrame,
+    pressure: DataFrame | None = None,
+    pressure_codes: Sequence[str] = ("SBP", "DBP", "MAP"),
+) -> DataFrame:
+    """Organ scores of the named facts, the pressures of one moment taken together."""
+    pressure = map_from(coded, *pressure_codes) if pressure is None else pressure
+    columns = [*STAY, "code", "start_date", "nval_num"]
+    direct = coded.where(~F.col("code").isin(*pressure_codes)).select(*columns)
+    mean = pressure.select(
+        *STAY, F.lit("MAP").alias("code"), "start_date", F.col("map").alias("nval_num")
+    )
+    return band_score(direct.unionByName(mean), bands).select(*columns, "organ", "pat_score")
+
+
 def scores_from(
     coded: DataFrame,
     stays: DataFrame,
@@ -265,6 +286,7 @@ def scores_from(
     exposure: DataFrame | None = None,
     pressure_codes: Sequence[str] = ("SBP", "DBP", "MAP"),
     admission_hours: int | None = None,
+    worst: bool = False,
 ) -> DataFrame:
     """:func:`scored_observations` of facts that :func:`coded_facts` has named.
 
@@ -272,16 +294,15 @@ def scores_from(
     :func:`exposure_duration` and are derived here if not given. With
     ``admission_hours`` nothing later than that after admission is scored; the
     observations then meet a stay by patient and day, so that a patient with
-    very many of both does not have every pair of them compared.
+    very many of both does not have every pair of them compared. ``worst`` keeps
+    the worst score of an organ at a moment before the join, which is all that
+    :func:`worst_by_horizon` needs. Else observations meet stays by patient and
+    a part of the days, so one patient's pairs are spread over tasks.
     """
-    pressure = map_from(coded, *pressure_codes) if pressure is None else pressure
     exposure = exposure_from(coded, stays) if exposure is None else exposure
-    columns = [*STAY, "code", "start_date", "nval_num"]
-    direct = coded.where(~F.col("code").isin(*pressure_codes)).select(*columns)
-    mean = pressure.select(
-        *STAY, F.lit("MAP").alias("code"), "start_date", F.col("map").alias("nval_num")
-    )
-    scored = band_score(direct.unionByName(mean), bands).select(*columns, "organ", "pat_score")
+    scored = banded(coded, bands, pressure, pressure_codes)
+    if worst:
+        scored = scored.groupBy(*STAY, "organ", "start_date").agg(F.max("pat_score").alias("pat_score"))
     keys = ["patient_num"] if grain == "patient" else STAY
     clocks = stays.select(
         *keys,
@@ -300,17 +321,13 @@ def scores_from(
         scored = scored.withColumn("_day", moment.cast("date"))
         met = scored.join(clocks, [*keys, "_day"]).where(moment <= last).drop("_day")
     else:
-        met = scored.join(clocks, keys)
+        part = F.pmod(F.unix_date(moment.cast("date")), F.lit(_PARTS))
+        parts = F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1)))
+        met = scored.withColumn("_part", part).join(clocks.withColumn("_part", parts), [*keys, "_part"]).drop("_part")
     return (
         met.where(moment >= shifted_hours(admitted, -72))
         .withColumn("hr_since_admin", hours_between(admitted, moment))
-        .withColumn(
-            "hr_since_icu",
-            clamped(
-                hours_between(F.col("icu_stay_start_dttm"), moment),
-                F.bround(F.col("icu_length_of_stay_days") * 24),
-            ),
-        )
+        .withColumn("hr_since_icu", _icu_hours())
         .join(exposure, "patient_num", "left")
         .where(
             F.col("mv_init").isNull() | (F.col("mv_init") >= shifted_hours(moment, -24))
@@ -322,6 +339,64 @@ def scores_from(
     )
 
 
+def _icu_hours() -> Column:
+    return clamped(
+        hours_between(F.col("icu_stay_start_dttm"), F.col("start_date")),
+        F.bround(F.col("icu_length_of_stay_days") * 24),
+    )
+
+
+def initial_from(
+    coded: DataFrame,
+    stays: DataFrame,
+    bands: DataFrame,
+    pressure: DataFrame | None = None,
+    exposure: DataFrame | None = None,
+    pressure_codes: Sequence[str] = ("SBP", "DBP", "MAP"),
+) -> DataFrame:
+    """:func:`initial_score` of the patient's observations, without setting them against every stay.
+
+    An observation is scored if it is so against the patient's first stay, and if the patient has no
+    exposure or the last one starts late enough: two numbers for each patient. Of each organ the first
+    such observation is kept. Only these meet the patient's first stay, and the shortest exposure that
+    starts late enough, which a running minimum over exposures and observations in the order of time
+    finds.
+    """
+    exposure = exposure_from(coded, stays) if exposure is None else exposure
+    moment = F.col("start_date")
+    admitted = stays.groupBy("patient_num").agg(F.min("hosp_admsn_dttm").alias("_admitted"))
+    exposed = exposure.groupBy("patient_num").agg(F.max("mv_init").alias("_exposed"))
+    scored = (
+        banded(coded, bands, pressure, pressure_codes)
+        .join(admitted, "patient_num")
+        .join(exposed, "patient_num", "left")
+        .where(moment >= shifted_hours(F.col("_admitted"), -72))
+        .where(F.col("_exposed").isNull() | (F.col("_exposed") >= shifted_hours(moment, -24)))
+    )
+    first = first_per(scored, [*STAY, "organ"], [moment, F.col("pat_score").desc()]).select(
+        *STAY, "organ", "start_date", "pat_score", "_admitted"
+    )
+    # an exposure at the same time as the bound of an observation comes before it
+    events = first.withColumn("_at", shifted_hours(moment, -24)).unionByName(
+        exposure.select("patient_num", F.col("mv_init").alias("_at"), F.col("mv_dur_hour").alias("_hours")),
+        allowMissingColumns=True,
+    )
+    later = W.partitionBy("patient_num").orderBy(F.col("_at").desc(), F.col("_hours").isNull())
+    first = events.withColumn("mv_dur_hour", F.min("_hours").over(later.rowsBetween(W.unboundedPreceding, 0)))
+    first = first.where("organ IS NOT NULL").drop("_hours", "_at")
+    opening = stays.select(
+        "patient_num", *PATIENT_ATTRS, "hosp_admsn_dttm", "icu_stay_start_dttm", "icu_length_of_stay_days"
+    ).withColumnRenamed("hosp_admsn_dttm", "_admitted")
+    met = (
+        first.join(opening, ["patient_num", "_admitted"])
+        .withColumn("hosp_admsn_dttm", F.col("_admitted"))
+        .withColumn("hr_since_admin", hours_between(F.col("_admitted"), moment))
+        .withColumn("hr_since_icu", _icu_hours())
+        .withColumn("hr_since_mv", F.lit(None).cast("double"))
+    )
+    return initial_score(met)
+
+
 def worst_by_horizon(
     scored: DataFrame, clock: str = "admit", horizons: int = 12, cumulative: bool = False
 ) -> DataFrame:

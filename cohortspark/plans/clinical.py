@@ -23,10 +23,10 @@ from cohortspark.sources.tables import save_snapshot, save_table, stack
 
 def extract_cohort(
     tables: Mapping[str, DataFrame],
+    code_map: DataFrame,
     since: str = "2020-01-01",
     steps: Sequence[co.StatusStep] | None = None,
     prefixes: DataFrame | None = None,
-    code_map: DataFrame | None = None,
     types: Sequence[str] = refdata.STAY_TYPES,
     status: DataFrame | None = None,
     eligible: DataFrame | None = None,
@@ -37,12 +37,12 @@ def extract_cohort(
     each is materialised once, unless its stored table is given as ``status`` or
     ``eligible``. The extracts themselves are lazy. ``tables`` holds ``observation_fact``, ``concept_dimension``, ``encounter``,
     ``diagnosis``, ``demographic``, ``death`` and whichever of the event tables
-    ``lab``, ``px``, ``vital``, ``pmed``, ``dmed``, ``amed`` there are.
+    ``lab``, ``px``, ``vital``, ``pmed``, ``dmed``, ``amed`` there are. ``code_map`` names the site's
+    own observation codes.
     """
     spark = tables["observation_fact"].sparkSession
     steps = steps or [co.StatusStep(*s) for s in refdata.STATUS_STEPS]
     prefixes = refdata.respiratory_prefixes(spark) if prefixes is None else prefixes
-    code_map = refdata.observation_codes(spark) if code_map is None else code_map
     facts = tables["observation_fact"]
     if status is None:
         status = checkpointed(
@@ -68,9 +68,11 @@ def extract_cohort(
     return out
 
 
-def store_cohort(tables: Mapping[str, DataFrame], schema: str, **options) -> dict[str, DataFrame]:
+def store_cohort(
+    tables: Mapping[str, DataFrame], code_map: DataFrame, schema: str, **options
+) -> dict[str, DataFrame]:
     """Run :func:`extract_cohort` into catalog tables of ``schema``."""
-    frames = extract_cohort(tables, **options)
+    frames = extract_cohort(tables, code_map, **options)
     return {name: save_table(frame, f"{schema}.{name}") for name, frame in frames.items()}
 
 
@@ -97,12 +99,14 @@ def score_severity(
     bands = refdata.severity_bands(facts.sparkSession) if bands is None else bands
     coded = checkpointed(sv.coded_facts(facts, stays, code_map, since))
     scored = sv.scores_from(coded, stays, bands, grain)
-    near = sv.scores_from(coded, stays, bands, grain, admission_hours=hours)
+    near = sv.scores_from(coded, stays, bands, grain, admission_hours=hours, worst=True)
+    worst = sv.scores_from(coded, stays, bands, grain, worst=True)
     horizons = {
-        clock: sv.worst_by_horizon(near if clock == "admit" else scored, clock, hours)
+        clock: sv.worst_by_horizon(near if clock == "admit" else worst, clock, hours)
         for clock in sv.CLOCKS
     }
-    return SeverityResult(scored, sv.initial_score(scored), horizons)
+    initial = sv.initial_from(coded, stays, bands) if grain == "patient" else sv.initial_score(scored)
+    return SeverityResult(scored, initial, horizons)
 
 
 class ModelResult(NamedTuple):
@@ -120,10 +124,14 @@ LOGISTIC_MODELS = [
 ]
 
 
-def severity_models(initial: DataFrame, long_hours: int = 96) -> dict[str, ModelResult]:
+def severity_models(
+    initial: DataFrame, long_hours: int = 96, drop_negative: bool = False
+) -> dict[str, ModelResult]:
     """The five logistic models and the Poisson model of the first scores, each evaluated.
 
-    Every fit reads the scores several times, so they are materialised once.
+    Every fit reads the scores several times, so they are materialised once. A record may end before
+    it starts, and a count model takes no negative hours: they are an error that says how many there
+    are, unless ``drop_negative`` leaves them out of the count model.
     """
     rows = initial.withColumn("mv_long", (F.col("mv_dur_hour") >= long_hours).cast("int"))
     rows = checkpointed(rows)
@@ -132,14 +140,23 @@ def severity_models(initial: DataFrame, long_hours: int = 96) -> dict[str, Model
         part = rows.where(only) if only else rows
         fit = fit_glm(part, label, features)
         out[name] = ModelResult(fit, perf_summary(fitted(fit, part, label)))
-    # a record may end before it starts; a count model takes no negative hours
-    counted = rows.where("mv_dur_hour >= 0")
+    counted = counted_hours(rows, drop_negative)
     fit = fit_glm(counted, "mv_dur_hour", ["pos_confirmed", "age_at_admit", "sofa_init"], "poisson")
     reached = fitted(fit, counted, "mv_dur_hour", f"mv_dur_hour >= {long_hours}")
     out["exposure_hours"] = ModelResult(fit, perf_summary(reached))
     return out
 
 
+def counted_hours(rows: DataFrame, drop_negative: bool = False) -> DataFrame:
+    """``rows`` for a model of ``mv_dur_hour`` as a count; negative hours are an error or left out."""
+    if drop_negative:
+        return rows.where("mv_dur_hour >= 0 OR mv_dur_hour IS NULL")
+    negative = rows.where("mv_dur_hour < 0").count()
+    if negative:
+        raise ValueError(f"{negative} rows have negative hours; drop_negative=True leaves them out")
+    return rows
+
+
 def demographic_stack(cases: DataFrame, controls: DataFrame) -> DataFrame:
     """One row per inpatient stay with its status label and derived groups.
 

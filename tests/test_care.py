@@ -159,11 +159,11 @@ def test_plans_store_and_model(spark, rows):
     }
     spark.sql("CREATE DATABASE IF NOT EXISTS study")
     done = cl.store_cohort(
-        tables, "study", since=SINCE, steps=WATERFALL, prefixes=v("fx_keys"), code_map=v("fx_obs_codes")
+        tables, v("fx_obs_codes"), "study", since=SINCE, steps=WATERFALL, prefixes=v("fx_keys")
     )
     assert set(done) == {"covid_enc", "covid_eligible_enc", "covid_demo", "covid_dx", "covid_lab", "covid_obsclin"}
     assert spark.table("study.covid_lab").count() == done["covid_lab"].count() > 0
-    models = cl.severity_models(initial(Views(spark, "/root/testdata/sf0.01")))
+    models = cl.severity_models(initial(Views(spark, "/root/testdata/sf0.01")), drop_negative=True)
     assert len(models) == 6
     for result in models.values():
         assert result.fit.coefficients.count() >= 2 and result.performance.count() == 21

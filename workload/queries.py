@@ -881,8 +881,7 @@ def _(v):
 
 @query("glm_poisson", _COEFFICIENTS + "poisson")
 def _(v):
-    # a record may end before it starts; a count model takes no negative hours
-    rows = initial(v).where("mv_dur_hour >= 0")
+    rows = cl.counted_hours(initial(v), drop_negative=True)
     fit = fit_glm(rows, "mv_dur_hour", ["pos_confirmed", "age_at_admit", "sofa_init"], "poisson")
     return r6(fit.coefficients, 4)
 
