@@ -78,8 +78,13 @@ def anova_p(statistics: DataFrame) -> DataFrame:
     return statistics.withColumn("p_value", f_tail("f_value", "df1", "df2"))
 
 
-def numeric_profile(df: DataFrame, id: str, grp: str, variables: Sequence[str]) -> DataFrame:
-    """Distinct ids, missing values and spread of each variable in each group, with a label."""
+def numeric_profile(
+    df: DataFrame, id: str, grp: str, variables: Sequence[str], with_p: bool = False
+) -> DataFrame:
+    """Distinct ids, missing values and spread of each variable in each group, with a label.
+
+    ``with_p`` adds the p-value of the variable's analysis of variance.
+    """
     long = _long(df, grp, variables, "double")
     keys = ["var", "grp"]
     out = null_safe_join(group_moments(long), group_sizes(df, id, grp), ["grp"])
@@ -93,9 +98,12 @@ def numeric_profile(df: DataFrame, id: str, grp: str, variables: Sequence[str])
         F.lit("); "), text("val_med", 6), F.lit("("), text("val_q1", 6), F.lit(","),
         text("val_q3", 6), F.lit(")"),
     )
-    return out.withColumn("label", label).select(
+    out = out.withColumn("label", label).select(
         *keys, "n", "val_miss", "val_mean", "val_sd", *QUARTILES, "val_min", "val_max", "label"
     )
+    if with_p:
+        out = out.join(anova_p(anova(group_moments(long))).select("var", "p_value"), "var", "left")
+    return out
 
 
 # --------------------------------------------------------------- categories
@@ -218,12 +226,19 @@ def _sorted_margin(level: str, size: str) -> Column:
 
 
 def categorical_profile(
-    df: DataFrame, id: str, grp: str, variables: Sequence[str], miss_scope: str = "variable"
+    df: DataFrame,
+    id: str,
+    grp: str,
+    variables: Sequence[str],
+    miss_scope: str = "variable",
+    with_p: bool = False,
+    **draws,
 ) -> DataFrame:
     """Distinct ids per level and group, their share of the group, and missing values.
 
     Missing values are counted per variable, or per variable and group with
-    ``miss_scope='group'``.
+    ``miss_scope='group'``. ``with_p`` adds the simulated p-value of the variable, for which ``draws``
+    are options of :func:`chi_square_p`.
     """
     long = gather(df.withColumn("grp", F.col(grp)).withColumn("_id", F.col(id)), ["_id", "grp"], variables, "string")
     totals = group_sizes(df, id, grp).withColumnRenamed("n", "tot")
@@ -237,9 +252,13 @@ def categorical_profile(
     label = F.concat(
         F.col("n").cast("string"), F.lit("; ("), number_text(prop * 100, 2), F.lit("%)")
     )
-    return out.select(
+    out = out.select(
         "var", "grp", "val", "tot", "val_miss", "n", prop.alias("prop"), label.alias("label")
     )
+    if with_p:
+        p = chi_square_p(contingency(_long(df, grp, variables, "string")), **draws)
+        out = out.join(p, "var", "left")
+    return out
 
 
 # ------------------------------------------------------------------- report

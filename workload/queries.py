@@ -417,6 +417,43 @@ query(
 )
 
 
+query(
+    "score_quantiles_icu",
+    """SELECT round(quantile_cont(sofa_init_since_icu, 0.5), 6) AS q50,
+              round(quantile_cont(sofa_init_since_icu, 0.9), 6) AS q90 FROM $w_initial
+       WHERE sofa_init_since_icu IS NOT NULL""",
+)(lambda v: r6(rk.exact_quantiles(initial(v), "sofa_init_since_icu", {"q50": 0.5, "q90": 0.9})))
+query(
+    "crosstab_status",
+    """SELECT r.row, c.col, coalesce(n, 0) AS n,
+              round(cast(coalesce(n, 0) AS double) / sum(coalesce(n, 0)) OVER (PARTITION BY c.col), 6) AS prop
+       FROM (SELECT DISTINCT hosdead AS row FROM $w_initial) r
+       CROSS JOIN (SELECT DISTINCT pos_confirmed AS col FROM $w_initial) c
+       LEFT JOIN (SELECT hosdead AS row, pos_confirmed AS col, count(*) AS n FROM $w_initial GROUP BY ALL) x
+         ON x.row = r.row AND x.col = c.col""",
+)(lambda v: r6(rs.crosstab(initial(v), "hosdead", "pos_confirmed", "col")))
+query(
+    "band_issues",
+    """SELECT p.code, value, CASE WHEN hits = 0 THEN 'gap' ELSE 'overlap' END AS issue, n AS n_obs
+       FROM (SELECT p.code, value, count(*) FILTER (
+                      CASE WHEN direction = 'l' THEN value < ub WHEN direction = 'le' THEN value <= ub
+                           WHEN direction = 'g' THEN value > lb
+                           WHEN scale_type = 'c' THEN value >= lb AND value < ub
+                           ELSE value >= lb AND value <= ub END) AS hits
+             FROM (SELECT DISTINCT code, value FROM (
+                     SELECT code, edge AS value FROM $w_band_edges
+                     UNION ALL SELECT code, (edge + lead(edge) OVER (PARTITION BY code ORDER BY edge)) / 2
+                     FROM $w_band_edges) WHERE value IS NOT NULL) p
+             JOIN $w_bands b ON b.code = p.code GROUP BY p.code, value) p
+       JOIN (SELECT code, count(*) AS n FROM $w_coded GROUP BY code) o ON o.code = p.code
+       WHERE hits <> 1""",
+)(
+    lambda v: sv.band_lint(refdata.severity_bands(v.spark)).join(
+        coded_obs(v).groupBy("code").agg(F.count("*").alias("n_obs")), "code"
+    )
+)
+
+
 # --------------------------------------------------------------------- labs
 
 
@@ -660,6 +697,30 @@ query("comparison_table", _REPORT)(
 )
 
 
+query(
+    "numeric_profile_report",
+    f"""SELECT n.var, grp, round(p_value, 6) AS p_value,
+               cast(n AS varchar) || '; ' || {_text("val_mean", 2)} || '(' || {_text("val_sd", 3)} || '); '
+               || {_text("val_med", 6)} || '(' || {_text("val_q1", 6)} || ',' || {_text("val_q3", 6)} || ')' AS label
+        FROM $w_num n LEFT JOIN (FROM ({_ANOVA_P})) p ON p.var = n.var""",
+)(
+    lambda v: r6(
+        cm.numeric_profile(demo(v), "patient_num", "pos_confirmed", NUMERIC, with_p=True).select(
+            "var", "grp", "p_value", "label"
+        )
+    )
+)
+query(
+    "categorical_profile_report",
+    f"""SELECT var, grp, val, cast(n AS varchar) || '; (' || {_text("(prop * 100)", 2)} || '%)' AS label,
+               true AS has_p FROM $w_cat""",
+)(
+    lambda v: cm.categorical_profile(demo(v), "patient_num", "pos_confirmed", CATEGORICAL, with_p=True).select(
+        "var", "grp", "val", "label", F.col("p_value").between(0, 1).alias("has_p")
+    )
+)
+
+
 @query(
     "comparison_report",
     f"""SELECT r.*, p.p_value, s.agrees FROM ({_REPORT}) r
@@ -701,6 +762,29 @@ query(
 )(lambda v: r6(rs.sparse_coo(v("fx_obs"), "patient_num", "concept_cd", "nval_num"), 4))
 
 
+query(
+    "sparse_binary",
+    """SELECT DISTINCT dense_rank() OVER (ORDER BY patient_num) AS i, dense_rank() OVER (ORDER BY concept_cd) AS j,
+              cast(1 AS double) AS x, patient_num, concept_cd FROM $fx_obs
+       WHERE patient_num IS NOT NULL AND concept_cd IS NOT NULL""",
+)(lambda v: rs.sparse_coo(v("fx_obs"), "patient_num", "concept_cd", binary=True, sum_duplicates=False))
+query(
+    "sparse_row_lists",
+    """SELECT i, string_agg(cast(j AS varchar), ' ' ORDER BY j) AS indices,
+              string_agg(cast(cast(n AS bigint) AS varchar), ' ' ORDER BY j) AS x
+       FROM (SELECT i, j, count(*) AS n
+             FROM (SELECT dense_rank() OVER (ORDER BY patient_num) AS i, dense_rank() OVER (ORDER BY concept_cd) AS j
+                   FROM $fx_obs WHERE patient_num IS NOT NULL AND concept_cd IS NOT NULL)
+             GROUP BY ALL)
+       GROUP BY i""",
+)(
+    lambda v: rs.sparse_rows(rs.sparse_coo(v("fx_obs"), "patient_num", "concept_cd", binary=True)).select(
+        "i",
+        F.array_join("indices", " ").alias("indices"),
+        F.array_join(F.transform("values", lambda x: x.cast("long")), " ").alias("x"),
+    )
+)
+
 # --------------------------------------------------------------- evaluation
 
 _ROUNDED_SWEEP = ", ".join(
@@ -862,7 +946,7 @@ query(
 # ------------------------------------------------------------------- models
 
 _COEFFICIENTS = """SELECT term, round(estimate, 4) AS estimate, round(std_error, 4) AS std_error,
-    round(statistic, 4) AS statistic, round(p_value, 4) AS p_value FROM $w_"""
+    round(statistic, 4) AS statistic, round(p_value, 4) AS p_value FROM $w_glm_"""
 
 
 @query("glm_logistic", _COEFFICIENTS + "logistic")
@@ -893,6 +977,30 @@ def _(v):
     return r6(ev.perf_summary(fitted(fit, rows, "hosdead")), 4)
 
 
+for _name, _only in (("positive", 2), ("negative", 0)):
+    query(f"glm_score_{_name}", _COEFFICIENTS + _name)(
+        lambda v, only=_only: r6(
+            fit_glm(initial(v).where(F.col("pos_confirmed") == only), "hosdead", ["sofa_init"]).coefficients, 4
+        )
+    )
+
+
+def long_exposure(v: Views) -> DataFrame:
+    return initial(v).withColumn("mv_long", (F.col("mv_dur_hour") >= 96).cast("int"))
+
+
+query("glm_long_exposure", _COEFFICIENTS + "long")(
+    lambda v: r6(fit_glm(long_exposure(v), "mv_long", ["pos_confirmed", "sofa_init"]).coefficients, 4)
+)
+
+
+@query("glm_poisson_performance", _summary_sql("hours", 4))
+def _(v):
+    rows = checkpointed(cl.counted_hours(initial(v), drop_negative=True))
+    fit = fit_glm(rows, "mv_dur_hour", ["pos_confirmed", "age_at_admit", "sofa_init"], "poisson")
+    return r6(ev.perf_summary(fitted(fit, rows, "mv_dur_hour", "mv_dur_hour >= 96")), 4)
+
+
 # the closed form of a logistic model with one 0/1 predictor
 query(
     "glm_binary_closed",

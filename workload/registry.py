@@ -133,6 +133,8 @@ ORACLE_VIEWS = {
                      max(start_date) FILTER (code = 'Vent_mode') AS x
               FROM $w_mv_rows GROUP BY ALL)
         WHERE coalesce(x, icu_end) IS NOT NULL AND coalesce(i, m) IS NOT NULL""",
+    "w_band_edges": """
+        SELECT DISTINCT code, edge FROM (SELECT code, unnest([lb, ub]) AS edge FROM $w_bands) WHERE edge IS NOT NULL""",
     "w_banded": """
         SELECT c.patient_num, c.encounter_num, c.code, c.start_date, c.nval_num, b.organ,
                b.score AS pat_score
@@ -268,7 +270,7 @@ ORACLE_VIEWS = {
                sum(p) OVER () AS p_total
         FROM (SELECT pred AS score, count(*) AS n, sum(real) AS p FROM $fx_{view} GROUP BY pred)
         WINDOW w AS (ORDER BY score DESC)"""
-        for kind, view in (("pred", "pred"), ("label", "label_pred"), ("fit", "fit_pred"))
+        for kind, view in (("pred", "pred"), ("label", "label_pred"), ("fit", "fit_pred"), ("hours", "hours_pred"))
     },
     **{
         f"w_{kind}_sweep": f"""
@@ -284,18 +286,28 @@ ORACLE_VIEWS = {
                      cast(p_total - p_cum AS double) AS fn,
                      cast(n_total - n_cum - p_total + p_cum AS double) AS tn FROM $w_{kind}_counts)
         WHERE tp > 0 AND tn > 0"""
-        for kind in ("pred", "label", "fit")
+        for kind in ("pred", "label", "fit", "hours")
     },
-    **glm_views("logistic", "$w_initial", "hosdead", {c: c for c in ("pos_confirmed", "age_at_admit", "sofa_init")}),
-    **glm_views("factor", "$w_initial", "hosdead", {
+    **glm_views("glm_logistic", "$w_initial", "hosdead", {c: c for c in ("pos_confirmed", "age_at_admit", "sofa_init")}),
+    **glm_views("glm_factor", "$w_initial", "hosdead", {
         "pos_confirmed_2": "pos_confirmed = 2", "pos_confirmed_1": "pos_confirmed = 1", "sofa_init": "sofa_init",
     }),
     **glm_views(
-        "poisson", "(FROM $w_initial WHERE mv_dur_hour >= 0)", "mv_dur_hour",
+        "glm_poisson", "(FROM $w_initial WHERE mv_dur_hour >= 0)", "mv_dur_hour",
         {c: c for c in ("pos_confirmed", "age_at_admit", "sofa_init")}, "poisson",
     ),
-    **glm_views("status", "$w_initial", "hosdead", {c: c for c in ("pos_confirmed", "sofa_init")}),
+    **glm_views("glm_positive", "(FROM $w_initial WHERE pos_confirmed = 2)", "hosdead", {"sofa_init": "sofa_init"}),
+    **glm_views("glm_negative", "(FROM $w_initial WHERE pos_confirmed = 0)", "hosdead", {"sofa_init": "sofa_init"}),
+    **glm_views(
+        "glm_long", "(FROM $w_initial WHERE mv_dur_hour IS NOT NULL)", "cast(mv_dur_hour >= 96 AS int)",
+        {c: c for c in ("pos_confirmed", "sofa_init")},
+    ),
+    "fx_hours_pred": """
+        SELECT exp(b0 + b1 * pos_confirmed + b2 * age_at_admit + b3 * sofa_init) AS pred,
+               cast(mv_dur_hour >= 96 AS int) AS real
+        FROM $w_initial, $w_glm_poisson_b WHERE mv_dur_hour >= 0""",
+    **glm_views("glm_status", "$w_initial", "hosdead", {c: c for c in ("pos_confirmed", "sofa_init")}),
     "fx_fit_pred": """
         SELECT 1 / (1 + exp(-(b0 + b1 * pos_confirmed + b2 * sofa_init))) AS pred, hosdead AS real
-        FROM $w_initial, $w_status_b WHERE hosdead IS NOT NULL AND pos_confirmed IS NOT NULL""",
+        FROM $w_initial, $w_glm_status_b WHERE hosdead IS NOT NULL AND pos_confirmed IS NOT NULL""",
 }
