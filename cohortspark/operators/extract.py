@@ -202,11 +202,11 @@ def demographics(
     return in_cohort(rows, cohort, ["patid"])
 
 
-def diagnosis_history(cohort: DataFrame, diagnoses: DataFrame, per_stay: bool = True) -> DataFrame:
+def diagnosis_history(cohort: DataFrame, diagnoses: DataFrame, per_stay: bool = False) -> DataFrame:
     """All diagnoses of the cohort's patients, whatever their date.
 
-    The rows hold nothing of the stay itself, so a patient's stays only repeat
-    them; ``per_stay=False`` gives each diagnosis once.
+    Each once: the rows hold nothing of the stay itself, so a patient's stays
+    would only repeat them, as ``per_stay=True`` does.
     """
     rows = diagnoses.select(
         "patid", "encounterid", "diagnosisid", "dx", "dx_date", "pdx", "dx_type", "dx_source",

@@ -41,10 +41,10 @@ OBS_SINCE = "2024-01-01"
 
 
 def _event(date: str, kind: int, columns: str) -> str:
-    """Event table made of the facts with one instance number."""
+    """Event table made of a sixth of the facts; the six tables hold them all."""
     return f"""
         SELECT patient_num AS patid, cast(start_date AS date) AS {date}, {columns}
-        FROM $fx_fact WHERE instance_num = {kind}"""
+        FROM $fx_fact WHERE instance_num % 6 = {kind % 6}"""
 
 
 @cache
@@ -144,7 +144,7 @@ def view_texts(d: Dialect) -> dict[str, str]:
         "fx_obs_codes": f"""
             SELECT concept_cd AS i2b2_code, dx_code AS raw_obsclin_name, concept_cd AS obsclin_code,
                    'LC' AS obsclin_type, concept_path AS i2b2_label
-            FROM $fx_concept WHERE concept_path LIKE '%SMALL%'""",
+            FROM $fx_concept""",
         "fx_obs": f"""
             SELECT user_id AS patient_num,
                    user_id * 10 + cast(floor((day(ts) - 1) / 10) AS bigint) AS encounter_num,
@@ -195,12 +195,11 @@ def view_texts(d: Dialect) -> dict[str, str]:
             SELECT o_custkey AS patient_num, l_orderkey AS encounter_num,
                    'BP|' || cast(l_linenumber AS {text}) AS concept_cd, 1 AS instance_num,
                    o_orderdate AS start_date, l_quantity + 60 AS nval_num
-            FROM $lineitem JOIN $orders ON l_orderkey = o_orderkey WHERE l_linenumber <= 3""",
+            FROM $lineitem JOIN $orders ON l_orderkey = o_orderkey""",
         "fx_bp_codes": """
             SELECT * FROM (VALUES ('BP|1', 'SBP'), ('BP|2', 'DBP'), ('BP|3', 'MAP')) AS t(i2b2_code, code)""",
         "fx_bp_stay": """
-            SELECT DISTINCT o_custkey AS patient_num, o_orderkey AS encounter_num FROM $orders
-            WHERE o_orderstatus <> 'P'""",
+            SELECT DISTINCT o_custkey AS patient_num, o_orderkey AS encounter_num FROM $orders""",
         "fx_wbc": """
             SELECT o_custkey AS patient_num, l_orderkey AS encounter_num,
                    'LAB|COMPONENT_ID:' || CASE l_linenumber WHEN 1 THEN '3009' WHEN 2 THEN '3012'
@@ -221,7 +220,7 @@ def view_texts(d: Dialect) -> dict[str, str]:
         "fx_pred": """
             SELECT (cast(floor(o_totalprice) AS bigint) % 1000) / 1e3 AS pred,
                    CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS real
-            FROM $orders WHERE o_orderstatus <> 'P'""",
+            FROM $orders""",
         "fx_label_pred": """
             SELECT n_chars / 1e5 AS pred, toxic AS real
             FROM $labels l JOIN $documents d ON l.doc_id = d.doc_id""",
@@ -230,7 +229,7 @@ def view_texts(d: Dialect) -> dict[str, str]:
                    '<h3 class="r"><a href="/url?q=' || url || '&sa=U&ved=' || '0">hit</a></h3>'
                    || '<h3><a href="/url?q=' || replace(url, 'http://', 'https://mirror.')
                    || '&sa=U&ved=1">mirror</a></h3>' || html AS html
-            FROM $pages WHERE url IS NOT NULL""",
+            FROM $pages""",
     }
 
 

@@ -155,11 +155,11 @@ _DX = "patid, d.encounterid, diagnosisid, dx, dx_date, pdx, dx_type, dx_source,
 query(
     "dx_history",
     f"SELECT e.{_DX} FROM $w_eligible e JOIN $fx_dx d ON d.patid = e.patid",
-)(lambda v: ex.diagnosis_history(cohort(v), v("fx_dx")))
+)(lambda v: ex.diagnosis_history(cohort(v), v("fx_dx"), per_stay=True))
 query(
     "dx_history_once",
     f"SELECT d.{_DX} FROM $fx_dx d WHERE patid IN (SELECT patid FROM $w_eligible)",
-)(lambda v: ex.diagnosis_history(cohort(v), v("fx_dx"), per_stay=False))
+)(lambda v: ex.diagnosis_history(cohort(v), v("fx_dx")))
 
 
 @query(
@@ -1051,21 +1051,20 @@ query(
 query(
     "state_layer",
     """SELECT lower(n_name) AS region, n_regionkey, s.state_pos
-       FROM $nation LEFT JOIN (SELECT DISTINCT state, state_pos FROM $fx_site WHERE pos > 3) s
+       FROM $nation LEFT JOIN (SELECT DISTINCT state, state_pos FROM $fx_site) s
          ON lower(n_name) = s.state""",
 )(
     lambda v: si.state_layer(
-        v("nation").select(F.lower("n_name").alias("region"), "n_regionkey"), v("fx_site").where("pos > 3")
+        v("nation").select(F.lower("n_name").alias("region"), "n_regionkey"), v("fx_site")
     ).select("region", "n_regionkey", "state_pos")
 )
 query(
     "small_cell_label",
     """SELECT concept_cd, CASE WHEN n < 11 THEN '< 11' ELSE cast(n AS varchar) END AS shown
        FROM (SELECT concept_cd, count(DISTINCT patient_num) AS n FROM $fx_fact
-             WHERE tval_char = 'E' GROUP BY concept_cd)""",
+             GROUP BY concept_cd)""",
 )(
     lambda v: v("fx_fact")
-    .where("tval_char = 'E'")
     .groupBy("concept_cd")
     .agg(F.count_distinct("patient_num").alias("n"))
     .select("concept_cd", sc.suppressed(F.col("n")).alias("shown"))
@@ -1110,15 +1109,15 @@ query(
     "code_name_lookup",
     """SELECT l_orderkey, l_linenumber, l_suppkey AS code, CASE WHEN k > 1
               THEN 'https://ndclist.com/?s=' || cast(l_suppkey AS varchar) ELSE nm END AS name
-       FROM $lineitem LEFT JOIN (SELECT p_size AS code, count(p_name) AS k, min(p_name) AS nm
-                                 FROM $part WHERE p_type = 'SMALL' AND p_brand = 'Brand#7' GROUP BY p_size) d
+       FROM $lineitem LEFT JOIN (SELECT p_partkey - CASE WHEN p_partkey % 3 = 2 THEN 1 ELSE 0 END AS code,
+                                        count(p_name) AS k, min(p_name) AS nm FROM $part GROUP BY ALL) d
          ON l_suppkey = d.code""",
 )(
     lambda v: lo.code_names(
         v("lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("code")),
-        v("part")
-        .where("p_type = 'SMALL' AND p_brand = 'Brand#7'")
-        .select(F.col("p_size").cast("long").alias("code"), F.col("p_name").alias("name")),
+        v("part").selectExpr(
+            "p_partkey - CASE WHEN p_partkey % 3 = 2 THEN 1 ELSE 0 END AS code", "p_name AS name"
+        ),
         F.concat(F.lit("https://ndclist.com/?s="), F.col("code").cast("string")),
     )
 )
