@@ -193,8 +193,19 @@ def row_pages(df: DataFrame, keys: Sequence[str], size: int = 1000) -> DataFrame
 
 
 def row_page(df: DataFrame, keys: Sequence[str], page: int, size: int = 1000) -> DataFrame:
-    """The rows of one page, half-open, so that no row falls between two pages."""
-    return row_pages(df, keys, size).where(F.col("page") == page).drop("page", "row_index")
+    """The rows of one page, half-open, so that no row falls between two pages.
+
+    Only the keys are numbered. The page's first and last key then bound the scan of ``df``, which
+    can skip what lies outside.
+    """
+    indexed = with_row_index(df.select(*keys), keys)
+    whole = F.struct(*keys)
+    own = indexed.where((F.col("row_index") >= page * size) & (F.col("row_index") < (page + 1) * size))
+    edges = own.agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
+    low, high = edges.select("low").scalar(), edges.select("high").scalar()
+    first = F.col(keys[0])
+    near = first.between(edges.select(f"low.{keys[0]}").scalar(), edges.select(f"high.{keys[0]}").scalar())
+    return df.where(near | first.isNull()).where((whole >= low) & (whole <= high))
 
 
 def key_digit_chunk(df: DataFrame, key: str, chunk: int, digits: int = 1) -> DataFrame:
