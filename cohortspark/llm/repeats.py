@@ -28,6 +28,7 @@ SAMPLED = np.uint64((1 << 64) // 16)  # grams with a smaller hash are counted
 HOT = 200
 BLOCK = 20  # bytes of a symbol
 SHARD_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 18  # of a shard that are hashed at once, or one text
 VERDICT = "__repeats_"  # begins the names of inner columns beside those of the caller
 BASE = np.uint64(0xD1342543DE82EF95)
 OTHER = np.uint64(0x9E3779B97F4A7C15)
@@ -40,56 +41,89 @@ def _power(base: np.uint64, n: int) -> np.uint64:
 def rolled(data: np.ndarray, width: int, base: np.uint64 = BASE) -> np.ndarray:
     """Hash of the ``width`` bytes from each place on (fewer at the end count as if zeros followed)."""
     part = data.astype(np.uint64) + np.uint64(1)
-    out, have = np.zeros(len(data), np.uint64), 0
+    out, have = None, 0
     size = 1
     while True:
         if width & size:
             # the bytes from have to have + size go behind what there is
-            out[: len(out) - have] += part[have:] * _power(base, have)
+            if out is None:
+                out = part if 2 * size > width else part.copy()
+            else:
+                out[: len(out) - have] += part[have:] * _power(base, have)
             have += size
         size *= 2
         if size > width:
-            return mixed(out)
+            return _mix(out)
         half = size // 2
-        wider = part.copy()
-        wider[:-half] += part[half:] * _power(base, half)
-        part = wider
+        part[:-half] += part[half:] * _power(base, half)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """:func:`mixed` in place."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     """``pick`` (minimum or maximum) over the ``width`` values from each place on; shorter at the end."""
     out, size = values.copy(), 1
     while 2 * size <= width:
-        out[:-size] = pick(out[:-size], out[size:])
+        pick(out[:-size], out[size:].copy(), out=out[:-size])
         size *= 2
     if width > size:
-        out[: size - width] = pick(out[: size - width], out[width - size :])
+        pick(out[: size - width], out[width - size :].copy(), out=out[: size - width])
     return out
 
 
 class Grams:
-    """Gram hashes of a shard's texts, and the least one of each window."""
+    """Gram hashes of some texts, and the least one of each window."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int):
         n = len(data)
+        self.data = data
         self.grams = width - GRAM + 1  # in a window
         self.hash = rolled(data, GRAM)
-        ends = np.repeat(offsets[1:], np.diff(offsets))
-        place = np.arange(n)
-        self.window = place + width <= ends  # a whole window starts here
+        self.window = _inner(offsets, n, width)  # a whole window starts here
         self.least = _sliding(self.hash, self.grams, np.minimum) if n >= width else self.hash
+        whole = _inner(offsets, n, GRAM)
+        self.sampled = whole & (self.hash < SAMPLED)
         # the least gram of a window without a sampled one is counted as well
-        whole = place + GRAM <= ends
-        lone = self.window & (self.least >= SAMPLED)
-        counted = whole & (self.hash < SAMPLED)
-        if lone.any():
-            # does a window from grams - 1 places before on have this gram as its least
-            reach = np.where(lone, self.least, np.uint64(0))
-            reach = _sliding(reach[::-1], self.grams, np.maximum)[::-1]
-            counted |= whole & (self.hash >= SAMPLED) & (reach >= self.hash)
+        lone = np.flatnonzero(self.window & (self.least >= SAMPLED))
+        counted = self.sampled
+        if len(lone):
+            counted = counted.copy()
+            # each such window, gram by gram, is few against the text
+            for begin in range(0, len(lone), 4096):
+                part = lone[begin : begin + 4096]
+                near = self.hash[part[:, None] + np.arange(self.grams)]
+                at, k = np.nonzero(near == self.least[part][:, None])
+                counted[part[at] + k] = True
         self.counted = np.flatnonzero(counted)
 
 
+def _inner(offsets: np.ndarray, n: int, width: int) -> np.ndarray:
+    """Whether ``width`` bytes from a place on lie within its text."""
+    out = np.ones(n, bool)
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        out[max(a, b - width + 1) : b] = False
+    return out
+
+
+def _blocks(shard: "Shard", width: int):
+    """The shard's texts some at a time: where they begin, and their grams. Bounds memory."""
+    first = 0
+    ends = shard.offsets[1:]
+    while first < len(ends):
+        last = max(first + 1, int(np.searchsorted(ends, shard.offsets[first] + BLOCK_BYTES, "right")))
+        begin, end = int(shard.offsets[first]), int(ends[last - 1])
+        yield begin, Grams(shard.data[begin:end], shard.offsets[first : last + 1] - begin, width)
+        first = last
+
+
 def _by_part(values: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """An order by part (value modulo parts) and where each part begins in it."""
     part = (values % np.uint64(parts)).astype(np.int64)
@@ -216,8 +250,7 @@ def _counted(docs: pa.Table, firsts: pa.Table, width: int, parts: int) -> pa.Tab
     shard = _shard(docs, firsts)
     out: list[tuple] = []
     if shard is not None and len(shard.data):
-        grams = Grams(shard.data, shard.offsets, width)
-        values, times = np.unique(grams.hash[grams.counted], return_counts=True)
+        values, times = np.unique(np.concatenate([g.hash[g.counted] for _, g in _blocks(shard, width)]), return_counts=True)
         order, edges = _by_part(values, parts)
         values, times = values[order], np.minimum(times, 255).astype(np.uint8)[order]
         name = docs.column("shard")[0].as_py()
@@ -271,30 +304,17 @@ def _segments(docs: pa.Table, side: pa.Table, width: int, parts: int) -> pa.Tabl
     name = docs.column("shard")[0].as_py()
     told = side.filter(pa.compute.is_valid(side.column("part")))
     replies = dict(zip(told.column("part").to_pylist(), told.column("flags").to_pylist(), strict=True))
-    grams = Grams(shard.data, shard.offsets, width)
-    values = np.unique(grams.hash[grams.counted])
+    blocks = list(_blocks(shard, width))
+    values = np.unique(np.concatenate([g.hash[g.counted] for _, g in blocks]))
     order, edges = _by_part(values, parts)
     flags = np.zeros(len(values), np.uint8)
     flags[order] = np.frombuffer(b"".join(replies[p] for p in np.flatnonzero(np.diff(edges)).tolist()), np.uint8)
-    at = np.searchsorted(values, grams.hash[grams.counted])
-    once = np.zeros(len(shard.data) + 1, np.int64)
-    sampled = grams.hash[grams.counted] < SAMPLED
-    once[grams.counted[sampled & (flags[at] == 0)] + 1] = 1
-    once = np.cumsum(once)
-    window = np.flatnonzero(grams.window)
-    stop = once[np.minimum(window + grams.grams, len(shard.data))]
-    window = window[once[window] == stop]
-    if not len(values) or not len(window):
+    found = [_candidates(g, begin, values, flags, width) for begin, g in blocks]
+    del blocks
+    window, key, whole = (np.concatenate(c) for c in zip(*found, strict=True))
+    if not len(window):
         return _segment_table([])
-    at = np.minimum(np.searchsorted(values, grams.least[window]), len(values) - 1)
-    window, at = window[flags[at] > 0], at[flags[at] > 0]
-    key = grams.least[window]
-    hot = flags[at] == 2
-    if hot.any():
-        most = _sliding(grams.hash, grams.grams, np.maximum)
-        key = np.where(hot, mixed(key + most[window]), key)
     # the first of equal windows in the shard stays
-    whole = mixed(rolled(shard.data, width)[window] + OTHER)
     doc = np.searchsorted(shard.offsets, window, "right") - 1
     first = np.zeros(len(window), bool)
     first[np.unique(whole, return_index=True)[1]] = True
@@ -324,6 +344,32 @@ def _segments(docs: pa.Table, side: pa.Table, width: int, parts: int) -> pa.Tabl
     return _segment_table(rows)
 
 
+def _candidates(grams: Grams, begin: int, values: np.ndarray, flags: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Windows whose counted grams all occur again: places, keys to deal them out by, and hashes."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    if not len(grams.counted):
+        return none
+    flag = flags[np.searchsorted(values, grams.hash[grams.counted])]
+    once = np.zeros(len(grams.data) + 1, np.int32)
+    alone = grams.counted[(flag == 0) & grams.sampled[grams.counted]]
+    once[alone + 1] = 1
+    np.cumsum(once, out=once)
+    window = np.flatnonzero(grams.window)
+    window = window[once[window] == once[np.minimum(window + grams.grams, len(grams.data))]]
+    if not len(window):
+        return none
+    key = grams.least[window]
+    # the least gram of a window is a counted one
+    flag = flags[np.minimum(np.searchsorted(values, key), len(values) - 1)]
+    window, key, flag = window[flag > 0], key[flag > 0], flag[flag > 0]
+    hot = flag == 2
+    if hot.any():
+        most = _sliding(grams.hash, grams.grams, np.maximum)
+        key = np.where(hot, mixed(key + most[window]), key)
+    whole = mixed(rolled(grams.data, width)[window] + OTHER) if len(window) else none[2]
+    return window + begin, key, whole
+
+
 def _span_rows(doc: np.ndarray, start: np.ndarray, classes: list[bytes], width: int) -> list[dict]:
     doc, begin, end = _spans(doc, start, width)
     edges = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1], [True]])) if len(doc) else np.zeros(1, int)
