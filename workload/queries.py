@@ -665,7 +665,7 @@ def simulated(v: Views) -> DataFrame:
         .join(groups, "var")
         .withColumn("tail", tail)
         .withColumn("agrees", F.when(F.col("r") * F.col("c") / F.col("total") >= 5, F.abs(F.col("p_value") - F.col("tail")) <= slack))
-        .select("var", "chisq", "df", "agrees")
+        .select("var", "chisq", "df", "tail", "agrees")
     )
 
 
@@ -673,7 +673,7 @@ query(
     "chisq_mc",
     f"""SELECT var, round(chisq, 6) AS chisq, df, CASE WHEN least >= 5 THEN true END AS agrees
         FROM ({_CHISQ}) WHERE df > 0 AND df % 2 = 0""",
-)(lambda v: r6(simulated(v)))
+)(lambda v: r6(simulated(v).drop("tail")))
 
 
 def _text(x: str, digits: int) -> str:
@@ -713,10 +713,10 @@ query(
 query(
     "categorical_profile_report",
     f"""SELECT var, grp, val, cast(n AS varchar) || '; (' || {_text("(prop * 100)", 2)} || '%)' AS label,
-               true AS has_p FROM $w_cat""",
+               true AS p_fits FROM $w_cat""",
 )(
     lambda v: cm.categorical_profile(demo(v), "patient_num", "pos_confirmed", CATEGORICAL, with_p=True).select(
-        "var", "grp", "val", "label", F.col("p_value").between(0, 1).alias("has_p")
+        "var", "grp", "val", "label", (F.col("p_value").isNull() | F.col("p_value").between(0, 1)).alias("p_fits")
     )
 )
 
@@ -725,15 +725,14 @@ query(
     "comparison_report",
     f"""SELECT r.*, p.p_value, s.agrees FROM ({_REPORT}) r
         LEFT JOIN (SELECT var, round_even(p_value, 4) AS p_value FROM ({_ANOVA_P})) p ON p.var = r.var
-        LEFT JOIN (SELECT var, CASE WHEN least >= 5 THEN true END AS agrees FROM ({_CHISQ})) s ON s.var = r.var""",
+        LEFT JOIN (SELECT var, CASE WHEN least >= 5 THEN true END AS agrees FROM ({_CHISQ}) WHERE df > 0) s ON s.var = r.var""",
 )
 def _(v):
     """The report; the simulated p of a category is checked against its limit, as it has no closed form."""
     stay = v("fx_stay")
     report = cl.cohort_report(stay.where("pos_confirmed > 0"), stay.where("pos_confirmed = 0"))
     p = F.col("`p.value`")
-    half, tail = F.col("chisq") / 2, F.col("tail")
-    found = simulated(v).withColumn("tail", F.exp(-half) * F.when(F.col("df") == 2, F.lit(1.0)).otherwise(1 + half))
+    tail, found = F.col("tail"), simulated(v)
     near = F.abs(p - tail) <= 4 * F.sqrt(tail * (1 - tail) / 2000) + 2.0 / 2000
     return report.join(found, "var", "left").select(
         "var", "cat", *GROUPS, F.when(F.col("df").isNull(), p).alias("p_value"), F.when(F.col("agrees").isNotNull(), near).alias("agrees")
