@@ -47,6 +47,7 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        self.tables: list[str] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -56,6 +57,18 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def keep_by(self, df: DataFrame, key: str) -> DataFrame:
+        """Like ``keep``, in buckets of ``key``: joins on it leave this table where it is."""
+        self.count += 1
+        name = f"scratch_{uuid.uuid4().hex}"
+        n = parallelism(self.spark)
+        path = f"{self.folder}/{self.count}"
+        df.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(name)
+        out = self.spark.table(name)
+        out._scratch_path = path
+        self.tables.append(name)
+        return out
+
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)

@@ -21,7 +21,8 @@ from cohortspark.llm.common import Scratch, mixed, parallelism, pieces, text_byt
 from cohortspark.llm.graph import components
 from cohortspark.llm.words import hashed_words, shingles
 
-PIECE = 1 << 22  # bytes of text that a task works on at once
+PIECE = 1 << 22  # bytes of text whose tokens a task deals out together
+BLOCK = 1 << 19  # bytes of text that are hashed at once, or one text
 #: from this many sets on a token is frequent
 FREQUENT = 64
 
@@ -48,8 +49,15 @@ class Rule:
 
 
 def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    words, places = hashed_words(*text_bytes(texts))
-    return shingles(words, places, width)
+    """Sorted distinct shingles of each text and where texts begin; hashes some texts at a time."""
+    rows = pa.RecordBatch.from_arrays([texts], ["text"])
+    tokens, places = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for part in pieces(rows, 0, BLOCK):
+        words, at = hashed_words(*text_bytes(part.column(0)))
+        own, at = shingles(words, at, width)
+        tokens.append(own)
+        places.append(at[1:] + places[-1][-1])
+    return np.concatenate(tokens), np.concatenate(places)
 
 
 def _name(tokens: np.ndarray) -> bytes:
@@ -67,34 +75,24 @@ def _slices(sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return at + np.repeat(starts, sizes)
 
 
-def _packed(part: np.ndarray, owner: np.ndarray, token: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """For each part its owners, their numbers of tokens, and the tokens, as bytes; rows come sorted by owner."""
+def _part_of(token: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of tokens by part, and where each part begins in it."""
+    part = (token % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part.astype(np.uint16) if parts < 65536 else part, kind="stable")
-    part, owner, token = part[order], owner[order], token[order]
-    edges = np.searchsorted(part, np.arange(parts + 1))
-    for p in np.flatnonzero(np.diff(edges)):
-        own, tok = owner[edges[p] : edges[p + 1]], token[edges[p] : edges[p + 1]]
-        new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        count = np.diff(np.append(new, len(own)))
-        yield int(p), own[new].tobytes(), count.astype(np.uint32).tobytes(), tok.tobytes()
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owners, numbers and tokens of a part; of equal owners the first stays."""
-    join = lambda name, kind: np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x), kind)
-    owner, count, token = join("owners", np.int64), join("counts", np.uint32).astype(np.int64), join("tokens", np.uint32)
-    first = np.zeros(len(owner), bool)
-    first[np.unique(owner, return_index=True)[1]] = True
-    first |= owner == 0
-    if first.all():
-        return owner, count, token
-    keep = np.repeat(first, count)
-    return owner[first], count[first], token[keep]
+def _cut(token: np.ndarray) -> np.ndarray:
+    """The bits of tokens that are compared within a part: a clash only makes a token look more common."""
+    return (token >> np.uint64(24)).astype(np.uint32)
 
 
-PACKED = "part int, doc_id bigint, name binary, short bigint, n bigint, owners binary, counts binary, tokens binary"
-_KINDS = [pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-_NAMES = ["part", "doc_id", "name", "short", "n", "owners", "counts", "tokens"]
+# What goes to a part: a row of the survey (n is set), or tokens of a piece. Of these, ``owners`` are the
+# places in the piece of the sets that hold them, with ``counts`` tokens each; or, without owners,
+# ``counts`` says how many sets of the piece hold each token.
+SENT = "part int, piece bigint, place int, doc_id bigint, name binary, short bigint, n bigint, shared bigint, owners binary, counts binary, tokens binary"
+_NAMES = [c.split()[0] for c in SENT.split(", ")]
+_KINDS = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -102,11 +100,28 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], _NAMES)
 
 
+def _piece_name(parts: list) -> int:
+    """A number for a piece that depends on its rows alone, so that a task run again gives it again."""
+    digest = hashlib.blake2b(repr(parts).encode(), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
+
+def _repeated(token: np.ndarray) -> np.ndarray:
+    """Which tokens occur again in the list."""
+    order = np.argsort(token, kind="stable")
+    same = token[order][1:] == token[order][:-1]
+    out = np.zeros(len(token), bool)
+    out[order[1:]] |= same
+    out[order[:-1]] |= same
+    return out
+
+
 def _survey(docs: DataFrame, width: int, rule: Rule, parts: int, work: Scratch) -> DataFrame:
     """Names and sizes of all sets, and how many tokens of a set's hash-ordered prefix others have too.
 
-    Tokens go to parts by hash. One that several sets of a piece hold is counted there for all of them
-    and sent once without an owner, so a token of very many texts stays small.
+    Tokens go to parts by hash, piece by piece. One that several sets of a piece hold is counted
+    there for all of them and sent once without an owner, so a token of very many texts stays small.
+    A part answers each piece in one row. Equal sets of two pieces count as two here.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,91 +130,93 @@ def _survey(docs: DataFrame, width: int, rule: Rule, parts: int, work: Scratch)
                 tokens, at = _sets(piece.column(1), width)
                 sizes = np.diff(at)
                 names = [_name(tokens[a:b]) if b > a else None for a, b in zip(at[:-1], at[1:], strict=True)]
-                out = []
+                ids = piece.column(0).to_pylist()
+                whole = _piece_name([ids, names])
+                out, local = [], np.zeros(len(sizes), np.int64)
                 full = np.flatnonzero(sizes > 0)
-                short = np.zeros(len(sizes), np.int64)
                 if len(full):
-                    short[full] = _short([names[i] for i in full])
-                    _, once = np.unique(short[full], return_index=True)
-                    once = np.sort(full[once])
+                    once = np.sort(full[np.unique(_short([names[i] for i in full]), return_index=True)[1]])
                     length = np.minimum(rule.spare(sizes[once]) + rule.sample(sizes[once]), sizes[once])
                     token = tokens[_slices(length, at[:-1][once])]
-                    owner = np.repeat(np.arange(len(once)), length)
-                    order = np.argsort(token, kind="stable")
-                    same = token[order][1:] == token[order][:-1]
-                    here = np.zeros(len(token), bool)  # held by another set of the piece
-                    here[order[1:]] |= same
-                    here[order[:-1]] |= same
-                    local = np.bincount(owner[here], minlength=len(once))
-                    common = np.unique(token[here])
-                    token, owner = token[~here], short[once][owner[~here]]
-                    token = np.concatenate([common, token])
-                    owner = np.concatenate([np.zeros(len(common), np.int64), owner])
-                    for part, a, b, c in _packed((token % np.uint64(parts)).astype(np.int64), owner, (token >> np.uint64(24)).astype(np.uint32), parts):
-                        out.append((part, None, None, None, None, a, b, c))
-                    known = {int(short[i]): int(c) for i, c in zip(once, local, strict=True)}
-                else:
-                    known = {}
-                for doc, name, s, n in zip(piece.column(0).to_pylist(), names, short.tolist(), sizes.tolist(), strict=True):
-                    # the piece's own count goes with the first row of the set
-                    own = np.array([known.pop(s, 0)], np.uint32)
-                    out.append((abs(s) % parts, doc, name, s, n, None, own.tobytes(), None))
+                    owner = np.repeat(once, length)
+                    here = _repeated(token)  # held by another set of the piece
+                    local = np.bincount(owner[here], minlength=len(sizes))
+                    for alone in (True, False):
+                        own = token[~here] if alone else np.unique(token[here])
+                        order, edges = _part_of(own, parts)
+                        own, who = own[order], owner[~here][order] if alone else None
+                        for p in np.flatnonzero(np.diff(edges)).tolist():
+                            a, b = edges[p], edges[p + 1]
+                            owners = counts = None
+                            if alone:
+                                new = np.flatnonzero(np.concatenate([[True], who[a + 1 : b] != who[a : b - 1]]))
+                                owners = who[a:b][new].astype(np.uint32).tobytes()
+                                counts = np.diff(np.append(new, b - a)).astype(np.uint32).tobytes()
+                            out.append((p, whole, None, None, None, None, None, None, owners, counts, _cut(own[a:b]).tobytes()))
+                short = iter(_short([n for n in names if n]).tolist()) if len(full) else iter(())
+                for place, (doc, name, n, c) in enumerate(zip(ids, names, sizes.tolist(), local.tolist(), strict=True)):
+                    out.append((whole % parts, whole, place, doc, name, next(short) if name else None, n, c, None, None, None))
                 yield _batch(out)
 
     def count(table: pa.Table) -> pa.Table:
         rows = table.filter(pa.compute.is_valid(table.column("n")))
         sent = table.filter(pa.compute.is_null(table.column("n")))
-        owner, size, token = _unpacked(sent)
-        who = np.repeat(np.arange(len(owner)), size)
-        order = np.argsort(token, kind="stable")
-        same = token[order][1:] == token[order][:-1]
-        shared = np.zeros(len(token), bool)
-        shared[order[1:]] |= same
-        shared[order[:-1]] |= same
-        hits = np.bincount(who[shared], minlength=len(owner))
-        told = np.flatnonzero((hits > 0) & (owner != 0))
-        own = [int.from_bytes(x, "little") for x in rows.column("counts").to_pylist()]
-        return pa.table(
-            {
-                "doc_id": pa.concat_arrays([pa.array(rows.column("doc_id").to_pylist(), pa.int64()), pa.nulls(len(told), pa.int64())]),
-                "name": pa.concat_arrays([pa.array(rows.column("name").to_pylist(), pa.binary()), pa.nulls(len(told), pa.binary())]),
-                "short": pa.array(rows.column("short").to_pylist() + owner[told].tolist(), pa.int64()),
-                "n": pa.concat_arrays([pa.array(rows.column("n").to_pylist(), pa.int64()), pa.nulls(len(told), pa.int64())]),
-                "shared": pa.array(own + hits[told].tolist(), pa.int64()),
-            }
-        )
-
-    sent = docs.mapInArrow(send, PACKED)
-    return work.keep(sent.groupBy("part").applyInArrow(count, "doc_id bigint, name binary, short bigint, n bigint, shared bigint"))
-
-
-def _frequencies(sets: DataFrame, parts: int) -> DataFrame:
-    """short and, for each part, the frequencies (255 at most) of the set's tokens in that part."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch, batch.schema.get_field_index("tokens"), PIECE):
-                lists = [np.frombuffer(x, np.uint64) for x in piece.column("tokens").to_pylist()]
-                token = np.concatenate([np.zeros(0, np.uint64), *lists])
-                owner = np.repeat(np.array(piece.column("short").to_pylist(), np.int64), [len(x) for x in lists])
-                rows = [(p, None, None, None, None, a, b, c) for p, a, b, c in _packed((token % np.uint64(parts)).astype(np.int64), owner, (token >> np.uint64(24)).astype(np.uint32), parts)]
-                yield _batch(rows)
-
-    def answer(table: pa.Table) -> pa.Table:
-        owner, size, token = _unpacked(table)
-        _, back, times = np.unique(token, return_inverse=True, return_counts=True)
-        value = np.minimum(times, 255).astype(np.uint8)[back].tobytes()
-        ends = np.cumsum(size)
-        part = table.column("part")[0].as_py()
-        return pa.table(
-            {
-                "short": pa.array(owner, pa.int64()),
-                "part": pa.array(np.full(len(owner), part), pa.int32()),
-                "times": pa.array([value[a:b] for a, b in zip((ends - size).tolist(), ends.tolist(), strict=True)], pa.binary()),
-            }
-        )
-
-    return sets.select("short", "tokens").mapInArrow(send, PACKED).groupBy("part").applyInArrow(answer, "short bigint, part int, times binary")
+        token = np.frombuffer(b"".join(sent.column("tokens").to_pylist()), np.uint32)
+        shared, out, at = _repeated(token), [], 0
+        for whole, owners, counts, raw in zip(*(sent.column(c).to_pylist() for c in ("piece", "owners", "counts", "tokens")), strict=True):
+            mine = shared[at : at + len(raw) // 4]
+            at += len(mine)
+            if owners is not None:
+                who = np.repeat(np.frombuffer(owners, np.uint32), np.frombuffer(counts, np.uint32))[mine]
+                places, hits = np.unique(who, return_counts=True)
+                out.append((None, whole, None, None, None, None, None, None, places.astype(np.uint32).tobytes(), hits.astype(np.uint32).tobytes(), None))
+        return pa.concat_tables([pa.Table.from_batches([_batch(out)]), rows.cast(pa.schema(list(zip(_NAMES, _KINDS, strict=True))))])
+
+    def total(table: pa.Table) -> pa.Table:
+        rows = table.filter(pa.compute.is_valid(table.column("n")))
+        told = table.filter(pa.compute.is_null(table.column("n")))
+        places = np.frombuffer(b"".join(told.column("owners").to_pylist()), np.uint32)
+        hits = np.frombuffer(b"".join(told.column("counts").to_pylist()), np.uint32)
+        place = rows.column("place").to_numpy()
+        shared = np.bincount(places, hits, minlength=int(place.max()) + 1 if len(place) else 0)[place] if len(place) else np.zeros(0)
+        shared = shared.astype(np.int64) + rows.column("shared").to_numpy()
+        return rows.select(["doc_id", "name", "short", "n"]).append_column("shared", pa.array(shared, pa.int64()))
+
+    answers = docs.mapInArrow(send, SENT).groupBy("part").applyInArrow(count, SENT)
+    return work.keep(answers.groupBy("piece").applyInArrow(total, "doc_id bigint, name binary, short bigint, n bigint, shared bigint"))
+
+
+def _packed_sets(piece: pa.RecordBatch, width: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a piece's sets (those named), and each of its tokens once with the number of sets that hold it."""
+    tokens, at = _sets(piece.column("text"), width)
+    keep, out = {}, []
+    for name, a, b in zip(piece.column("name").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+        if name not in keep and _name(tokens[a:b]) == name:
+            keep[name] = tokens[a:b]
+    if not keep:
+        return
+    whole = _piece_name(list(keep))
+    for name, own in keep.items():
+        out.append((None, whole, None, None, name, None, len(own), None, None, None, own.tobytes()))
+    token, times = np.unique(np.concatenate(list(keep.values())), return_counts=True)
+    order, edges = _part_of(token, parts)
+    token, times = _cut(token[order]), np.minimum(times, 255).astype(np.uint8)[order]
+    for p in np.flatnonzero(np.diff(edges)).tolist():
+        a, b = edges[p], edges[p + 1]
+        out.append((p, whole, None, None, None, None, None, None, None, times[a:b].tobytes(), token[a:b].tobytes()))
+    yield _batch(out)
+
+
+def _frequencies(table: pa.Table) -> pa.Table:
+    """For the tokens of a part, to each piece: in how many sets they are (255 at most)."""
+    lists = table.column("tokens").to_pylist()
+    token = np.frombuffer(b"".join(lists), np.uint32)
+    times = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8)
+    back = np.unique(token, return_inverse=True)[1]
+    raw = np.minimum(np.bincount(back, times)[back], 255).astype(np.uint8).tobytes()
+    ends = np.cumsum([len(x) // 4 for x in lists]).tolist()
+    answer = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    return pa.table({"piece": table.column("piece"), "part": table.column("part"), "counts": pa.array(answer, pa.binary())})
 
 
 def keys_of(tokens: np.ndarray, times: np.ndarray, rule: Rule) -> np.ndarray:
@@ -233,27 +250,50 @@ def keys_of(tokens: np.ndarray, times: np.ndarray, rule: Rule) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
-def _keys(sets: DataFrame, times: DataFrame, parts: int, rule: Rule) -> DataFrame:
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, n, raw, replies in zip(*(batch.column(c).to_pylist() for c in ("name", "n", "tokens", "replies")), strict=True):
-                tokens = np.frombuffer(raw, np.uint64)
-                often = np.zeros(len(tokens), np.uint8)
-                part = (tokens % np.uint64(parts)).astype(np.int64)
-                by = np.argsort(part, kind="stable")
-                answered = np.frombuffer(b"".join(r["times"] for r in sorted({r["part"]: r for r in replies}.values(), key=lambda r: r["part"])), np.uint8)
-                often[by] = answered
-                keys = keys_of(tokens, often, rule).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array([name] * len(keys), pa.binary()), pa.array(np.full(len(keys), n))], ["key", "name", "n"]
-                )
+def _keys(sets: pa.Table, replies: pa.Table, parts: int, rule: Rule) -> pa.Table:
+    """Keys of the sets of a piece, which has an answer for each part; ``held``: tokens other sets have too."""
+    lists = [np.frombuffer(x, np.uint64) for x in sets.column("tokens").to_pylist()]
+    names = sets.column("name").to_pylist()
+    token = np.unique(np.concatenate([np.zeros(0, np.uint64), *lists]))
+    order, _ = _part_of(token, parts)
+    told = dict(zip(replies.column("part").to_pylist(), replies.column("counts").to_pylist(), strict=True))
+    often = np.empty(len(token), np.uint8)
+    often[order] = np.frombuffer(b"".join(told[p] for p in sorted(told)), np.uint8)
+    times = [often[np.searchsorted(token, x)] for x in lists]
+    keys = [keys_of(x, t, rule) for x, t in zip(lists, times, strict=True)]
+    shared = np.array([int((t > 1).sum()) for t in times], np.int64)
+    sizes = [len(k) for k in keys]
+    who = np.repeat(np.arange(len(lists)), sizes)
+    return pa.table(
+        {
+            "key": pa.array(np.concatenate([np.zeros(0, np.uint64), *keys]).astype(np.int64)),
+            "name": pa.array(names, pa.binary()).take(pa.array(who)),
+            "n": pa.array(np.array([len(x) for x in lists], np.int64)[who]),
+            "held": pa.array(shared[who]),
+        }
+    )
 
-    replies = times.groupBy("short").agg(F.collect_list(F.struct("part", "times")).alias("replies"))
-    return sets.join(replies, "short").select("name", "n", "tokens", "replies").mapInArrow(make, "key bigint, name binary, n bigint")
 
+#: bits of a set's sketch; each token flips one
+SKETCH = 512
+_WORDS = [f"s{i}" for i in range(SKETCH // 64)]
 
-def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """A set's tokens folded to few bits; sets differ in at least as many tokens as sketches in bits."""
+    bits = np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [sketch(np.frombuffer(x, np.uint64)) for x in batch.column("tokens").to_pylist()]
+        words = np.array(found, np.int64).reshape(-1, len(_WORDS)).T
+        yield pa.RecordBatch.from_arrays([batch.column("name"), *map(pa.array, words)], ["name", *_WORDS])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule, work: Scratch) -> DataFrame:
+    """The pairs (a, b) whose sets are similar; many pairs may have the same b."""
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,9 +307,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                 keep.append(rule.similar(len(x), len(y), int((y[at] == x).sum())))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("name").alias("a"), F.col("tokens").alias("x"))
-    two = sets.select(F.col("name").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(test, "a binary, b binary")
+    # the many sets stay in their buckets; the few hubs are written, so that adaptive execution can split
+    # the pairs of a hub
+    one = pairs.join(sets.select(F.col("name").alias("a"), F.col("tokens").alias("x")), "a")
+    hubs = work.keep(sets.join(pairs.select(F.col("b").alias("name")).distinct(), "name").select(F.col("name").alias("b"), F.col("tokens").alias("y")))
+    return one.join(hubs, "b").select("a", "b", "x", "y").mapInArrow(test, "a binary, b binary")
 
 
 def similar_groups(
@@ -287,66 +329,75 @@ def similar_groups(
     1. Sets are named and surveyed: of its least spare + n/10 hashes, a set must share a known part
        with others to have a similar one at all. Sets that do not are done.
     2. The others' tokens get their exact frequencies among them; keys follow from prefixes.
-    3. The sets of a key are first compared with one of them, the least by hash, in ``stars`` rounds
-       with components in between; then every two of different components that share a key. So a
-       group of many copies costs as many comparisons as it has members, and no pair goes untested
-       unless a chain of links joins it already.
+    3. The sets of a key are first compared with one of them, in ``stars`` rounds with components in
+       between; then every two of different components that share a key. So a group of many copies
+       costs as many comparisons as it has members, and no pair goes untested unless a chain of links
+       joins it already, or a bound on the overlap rules it out: the tokens that nobody else has, and
+       the bits in which folded sets differ.
     """
     spark = docs.sparkSession
     work, rule, parts = Scratch(spark, "jaccard"), Rule(percent), parallelism(spark)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     survey = _survey(docs, width, rule, parts, work)
     work.release()
-    rows = survey.where("n is not null").select("doc_id", "name", "n")
-    shared = survey.where("name is not null or n is null").groupBy("short").agg(
-        F.sum("shared").alias("shared"), F.max("n").alias("n"), F.min("doc_id").alias("doc_id"), F.min("name").alias("name")
-    )
+    rows = survey.select("doc_id", "name", "n")
+    shared = survey.where("name is not null").groupBy("name").agg(F.max("shared").alias("shared"), F.max("n").alias("n"), F.min("doc_id").alias("of"))
     least = F.ceil(F.ceil(F.col("n") * percent / 100) / 10)
-    active = work.keep(shared.where(F.col("name").isNotNull() & (F.col("n") > 3) & (F.col("shared") >= least)).select(F.col("doc_id").alias("of"), "name"))
+    active = work.keep(shared.where((F.col("n") > 3) & (F.col("shared") >= least)).select("of", "name"))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, 1, PIECE):
-                tokens, at = _sets(piece.column(1), width)
-                out = []
-                for name, a, b in zip(piece.column("name").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-                    if _name(tokens[a:b]) == name:
-                        out.append((name, int(_short([name])[0]), b - a, tokens[a:b].tobytes()))
-                names = ["name", "short", "n", "tokens"]
-                kinds = [pa.binary(), pa.int64(), pa.int64(), pa.binary()]
-                columns = list(zip(*out, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-    chosen = docs.join(active, F.col("doc_id").eqNullSafe(F.col("of"))).select("doc_id", "text", "name")
-    sets = work.keep(chosen.mapInArrow(again, "name binary, short bigint, n bigint, tokens binary"))
+            for piece in pieces(batch, 0, PIECE):
+                yield from _packed_sets(piece, width, parts)
+
+    chosen = docs.join(active, F.col("doc_id").eqNullSafe(F.col("of"))).select("text", "name")
+    packed = work.keep(chosen.mapInArrow(again, SENT).select("part", "piece", "name", "n", "counts", "tokens"))
     work.drop(active)
     work.release()
-    keys = work.keep(_keys(sets, _frequencies(sets, parts), parts, rule).distinct())
+    sets = packed.where("part is null").select("piece", "name", "n", "tokens")
+    times = packed.where("part is not null").groupBy("part").applyInArrow(_frequencies, "piece bigint, part int, counts binary")
+    keys = sets.groupBy("piece").cogroup(times.groupBy("piece")).applyInArrow(
+        lambda a, b: _keys(a, b, parts, rule), "key bigint, name binary, n bigint, held bigint"
+    )
+    keys = work.keep(keys.distinct())
+    sets = work.keep_by(sets.select("name", "tokens"), "name")
+    work.drop(packed)
     work.release()
     links, roots, tested = None, None, None
-    near = F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)")
-    lists = keys.select("key", "name", "n", F.col("name").alias("root"))
+    # sets share at most what the one with less held by others has; that alone rules out most pairs
+    # of copies of one text that have each been changed a lot
+    near = F.expr(f"{100 + percent} * least(held, theirs) >= {percent} * (n + m)")
+    lists = keys.withColumn("root", F.col("name"))
     for k in range(stars + 1):
         if k < stars:
-            order = F.xxhash64("name", F.lit(k))
-            hubs = lists.groupBy("key").agg(F.min(F.struct(order.alias("o"), "name", "n", "root")).alias("h"), (F.min("root") != F.max("root")).alias("open"))
-            hubs = hubs.where("open").select("key", F.col("h.name").alias("hub"), F.col("h.n").alias("m"), F.col("h.root").alias("to"))
-            pairs = lists.join(hubs, "key").where((F.col("root") != F.col("to")) & near).select(F.least("name", "hub").alias("a"), F.greatest("name", "hub").alias("b"))
+            # first the set with the least of its own, like the original among its changed copies
+            own = F.lit(0) if k else 1 - F.col("held") / F.col("n")
+            order = F.struct(own.alias("own"), F.xxhash64("name", F.lit(k)).alias("o"), "name", "n", "held", "root")
+            hubs = lists.groupBy("key").agg(F.min(order).alias("h"), (F.min("root") != F.max("root")).alias("open"))
+            hubs = hubs.where("open").select("key", F.col("h.name").alias("hub"), F.col("h.n").alias("m"), F.col("h.held").alias("theirs"), F.col("h.root").alias("to"))
+            pairs = lists.join(hubs, "key").where((F.col("root") != F.col("to")) & near).select(F.col("name").alias("a"), F.col("hub").alias("b"))
         else:
             still = lists.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-            left = lists.join(still, "key", "left_semi")
-            right = left.select("key", F.col("name").alias("hub"), F.col("n").alias("m"), F.col("root").alias("to"))
+            folded = sets.select("name", "tokens").mapInArrow(_sketches, "name binary, " + ", ".join(f"{w} bigint" for w in _WORDS))
+            left = work.keep(lists.join(still, "key", "left_semi").join(folded, "name"))
+            right = left.select(
+                "key", F.col("name").alias("hub"), F.col("n").alias("m"), F.col("held").alias("theirs"), F.col("root").alias("to"),
+                *(F.col(w).alias("t" + w) for w in _WORDS),
+            )
+            apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col("t" + w))) for w in _WORDS), F.lit(0))
+            near &= (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("m"))
             pairs = left.join(right, "key").where((F.col("name") < F.col("hub")) & (F.col("root") != F.col("to")) & near).select(F.col("name").alias("a"), F.col("hub").alias("b"))
         pairs = pairs.distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            known = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
         pairs = work.keep(pairs)
-        found = work.keep(_verified(pairs, sets, rule))
+        found = work.keep(_verified(pairs, sets, rule, work))
         work.release()
         links = found if links is None else links.union(found)
         tested = pairs if tested is None else tested.union(pairs)
         roots = components(links, work)
-        lists = keys.join(roots.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "n", F.coalesce("root", "name").alias("root"))
+        lists = keys.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     named = work.keep(rows.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name")))
     # written: adaptive execution splits a large group's rows only in a join without an aggregate
     first = work.keep(named.where("name is not null").groupBy("root").agg(F.min("doc_id").alias("first")))

@@ -102,6 +102,15 @@ def test_similar_sets_share_a_key():
                 assert keys[0] & keys[1]
 
 
+def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
+    rng = np.random.default_rng(5)
+    for n, m in ((10, 3), (300, 40), (2000, 700)):
+        a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        b = np.concatenate([a[m:], np.unique(rng.integers(0, 1 << 62, m // 2 + 1, dtype=np.uint64))])
+        bits = sum(int(x).bit_count() for x in (jaccard.sketch(a) ^ jaccard.sketch(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b))
+
+
 def brute_repeats(rows, width=100):
     seen, out = set(), {}
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
