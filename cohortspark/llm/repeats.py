@@ -1,8 +1,8 @@
 """Passages of many bytes that repeat anywhere in a corpus, from merged Burrows-Wheeler transforms.
 
 A window (``width`` bytes, 100) is repeated if the same bytes also start earlier. Repeats are found in
-shards, and the shards' transforms are merged by refining their interleave: symbols are blocks of 20
-bytes, and after k rounds the merged suffixes stand in the order of their first k blocks, with the
+shards, and the shards' transforms are merged by refining their interleave: symbols are names of blocks of
+20 bytes, and after k rounds the merged suffixes stand in the order of their first k blocks, with the
 places known at which the common prefix ends. After the last round the intervals of equal windows are
 left. No suffix is sorted again in a merge; a round only deals out the shards' own orders by symbol.
 
@@ -158,6 +158,8 @@ def _spans(doc: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray,
 
 def _radix(symbol: np.ndarray) -> np.ndarray:
     """A stable order by non-negative symbols below 2^32."""
+    if symbol.dtype == np.uint16:
+        return np.argsort(symbol, kind="stable")
     order = np.argsort((symbol & 0xFFFF).astype(np.uint16), kind="stable")
     if len(symbol) and symbol.max() > 0xFFFF:
         order = order[np.argsort((symbol[order] >> 16).astype(np.uint16), kind="stable")]
@@ -184,17 +186,18 @@ def merge(transforms: list[np.ndarray], rounds: int) -> tuple[np.ndarray, list[n
     they differ in the symbol just read, or if what came after it differed in the round before.
     """
     sizes = [len(t) for t in transforms]
-    interleave = np.repeat(np.arange(len(sizes)), sizes)
+    kind = np.uint16 if len(sizes) < 65536 else np.int64
+    interleave = np.repeat(np.arange(len(sizes), dtype=kind), sizes)
     symbols = np.concatenate(transforms)
-    interval = np.zeros(len(symbols), np.int64)
+    interval = np.zeros(len(symbols), np.int32)
     for _ in range(rounds):
-        read = np.empty(len(symbols), np.int64)  # symbol at each merged place
+        read = np.empty(len(symbols), symbols.dtype)  # symbol at each merged place
         read[_radix(interleave)] = symbols
         deal = _radix(read)
         read, interleave, interval = read[deal], interleave[deal], interval[deal]
-        differs = np.zeros(len(read), np.int64)
+        differs = np.zeros(len(read), np.int32)
         differs[1:] = (read[1:] != read[:-1]) | (interval[1:] != interval[:-1])
-        interval = np.cumsum(differs)
+        interval = np.cumsum(differs, dtype=np.int32)
     own = interval[_radix(interleave)]
     return interleave, np.split(own, np.cumsum(sizes)[:-1])
 
@@ -207,7 +210,7 @@ def repeated_windows(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], wi
     the corpus; ranks of the run follow.
     """
     rounds = width // BLOCK
-    hashes, befores, windows, ranks, checks = [], [], [], [], []
+    symbols, befores, windows, ranks, checks = [], [], [], [], []
     for data, runs, rank in shards:
         sizes = runs + width - 1
         starts = np.cumsum(sizes) - sizes
@@ -215,32 +218,30 @@ def repeated_windows(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]], wi
         padded = sizes + BLOCK
         at = np.cumsum(padded) - padded
         place = np.arange(sizes.sum()) + np.repeat(at - starts, sizes)
-        symbol = np.zeros(padded.sum(), np.uint64)
-        symbol[place] = rolled(data, BLOCK) | np.uint64(1)
+        symbol = np.zeros(padded.sum(), np.uint16)
+        symbol[place] = rolled(data, BLOCK) % np.uint64(0xFFFF) + np.uint64(1)
         ends = (np.arange(BLOCK) + (at + sizes)[:, None]).ravel()
         symbol[ends] = 0
         before = np.arange(len(symbol)) - BLOCK
         head = (np.arange(BLOCK) + at[:, None]).ravel()
         before[head] = ends
         local = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
-        hashes.append(symbol)
+        symbols.append(symbol)
         befores.append(before)
         windows.append(local + np.repeat(at, runs))
         ranks.append(local + np.repeat(rank, runs))
         checks.append(rolled(data, width, OTHER)[local + np.repeat(starts, runs)])
-    names = np.unique(np.concatenate(hashes), return_inverse=True)[1]
-    symbols = np.split(names, np.cumsum([len(h) for h in hashes])[:-1])
     orders = [transform(s, b, rounds) for s, b in zip(symbols, befores, strict=True)]
     _, intervals = merge([s[b[o]] for s, b, o in zip(symbols, befores, orders, strict=True)], rounds)
     found = []
     for order, interval, window in zip(orders, intervals, windows, strict=True):
-        of = np.empty(len(order), np.int64)
+        of = np.empty(len(order), interval.dtype)
         of[order] = interval
         found.append(of[window])
     interval, rank, check = np.concatenate(found), np.concatenate(ranks), np.concatenate(checks)
     order = np.lexsort((rank, check, interval))
     again = np.zeros(len(order), bool)
-    # equal intervals say equal bytes; a second hash of the whole window guards against a clash of symbols
+    # five equal symbols of 16 bits, and 64 bits of the whole window to guard against a clash of them
     again[order[1:]] = (interval[order][1:] == interval[order][:-1]) & (check[order][1:] == check[order][:-1])
     return np.split(again, np.cumsum([len(w) for w in windows])[:-1])
 
