@@ -144,17 +144,24 @@ def learn(
     text and a language that ``held_out`` does not mark. The driver gets these pieces alone. No
     labelled row: a model without languages.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), (held_out if held_out is not None else F.lit(False)).alias("held"))
+    held = held_out if held_out is not None else F.lit(False)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), held.alias("held"))
     rows = rows.where("text is not null and lang is not null and not coalesce(held, false)").drop("held")
-    share = rows.groupBy("lang").agg((F.lit(4.0 * pieces) / F.count("*")).alias("share"))
+    # texts stay where they are until the rows are chosen by id and language alone
+    named = rows.select("doc_id", "lang")
+    share = named.groupBy("lang").agg((F.lit(4.0 * pieces) / F.count("*")).alias("share"))
     chosen = hash_order("doc_id", F.lit("language"))
-    rows = rows.join(share, "lang").where(chosen < F.col("share"))
+    first = Window.partitionBy("lang").orderBy("u", "doc_id")
+    named = named.join(share, "lang").where(chosen < F.col("share")).select("lang", "doc_id", chosen.alias("u")).distinct()
+    named = named.withColumn("n", F.row_number().over(first)).where(F.col("n") <= pieces)
+    named = named.select(F.col("lang").alias("of"), F.col("doc_id").alias("id"), "n")
     at = F.floor(hash_order("doc_id", F.lit("place")) * F.greatest(F.length("text") - piece_chars, F.lit(0))) + 1
     piece = F.substring(F.col("text"), at.cast("int"), F.lit(piece_chars))
-    rows = rows.select("lang", "doc_id", chosen.alias("u"), piece.alias("piece"))
-    first = Window.partitionBy("lang").orderBy("u", "doc_id", "piece")
+    same = (F.col("lang") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    # at most ``pieces`` rows a language
+    rows = rows.join(F.broadcast(named), same).groupBy("lang", "n").agg(F.min(piece).alias("piece"))
     sample: dict[str, list[str]] = {}
-    for row in rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= pieces).orderBy("lang", "n").collect():
+    for row in sorted(rows.collect(), key=lambda r: (r["lang"], r["n"])):
         sample.setdefault(row["lang"], []).append(row["piece"].lower())
     return model_of(sample)
 
