@@ -22,8 +22,8 @@ def range_shards(
     """Every row of ``docs`` in one of ``shards`` shards of near equal bytes.
 
     The key of a row is (hash of its text, doc_id), so equal texts are neighbours and share a shard
-    unless a border falls between them. ``samples`` keys are drawn with weights in proportion to
-    size; their quantiles cut the keys into ``ranges`` ranges a shard (more where a range would hold
+    unless a border falls between them. About ``samples`` keys are drawn with chances in proportion
+    to size; their quantiles cut the keys into ``ranges`` ranges a shard (more where a range would hold
     over a million rows). Ranges with over twice the mean size get splitters of their own from a new
     sample, so a text with a third of all rows is cut by doc_id. Sizes of ranges are then counted
     exactly, and a row's shard follows from the bytes before it. Driver and tasks hold the sampled
@@ -50,14 +50,15 @@ def range_shards(
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     count = max(ranges * shards, math.ceil(n / RANGE_ROWS))
 
-    def sample(frame: DataFrame) -> list[tuple[int, int]]:
-        weight = -F.log(1 - hash_order("tie", "key", F.lit("sample"))) / F.col("size")
-        return sorted((r[0], r[1]) for r in frame.select("key", "tie").orderBy(weight, "key", "tie").limit(samples).collect())
+    def sample(frame: DataFrame, size: int) -> list[tuple[int, int]]:
+        """Keys drawn with the chance ``samples * own size / size``: about ``samples`` of them, all if there are fewer."""
+        drawn = hash_order("tie", "key", F.lit(f"sample {size}")) < F.col("size") * samples / size
+        return sorted(tuple(r) for r in frame.where(drawn).select("key", "tie").distinct().collect())
 
     def cut(keys: list[tuple[int, int]], parts: int) -> set[tuple[int, int]]:
         return {keys[len(keys) * i // parts] for i in range(1, parts)} if keys else set()
 
-    borders = sorted(cut(sample(rows), count))
+    borders = sorted(cut(sample(rows, total), count))
     for _ in range(rounds):
         placed = rows.withColumn("range", _range_of(borders)(F.col("key"), F.col("tie")))
         sizes = placed.groupBy("range").agg(F.sum("size"), F.count("*"), F.min(F.struct("key", "tie")) != F.max(F.struct("key", "tie")))
@@ -66,7 +67,7 @@ def range_shards(
         if not full:
             break
         inside = sorted(full)
-        more = sample(placed.where(F.col("range").isin(inside)))
+        more = sample(placed.where(F.col("range").isin(inside)), sum(sizes[k][0] for k in inside))
         wanted = {k: math.ceil(sizes[k][0] * count / total) for k in inside}
         found = {k: [] for k in inside}
         for key in more:
