@@ -350,7 +350,8 @@ def similar_groups(
             for piece in pieces(batch, 0, PIECE):
                 yield from _packed_sets(piece, width, parts)
 
-    chosen = docs.join(active, F.col("doc_id").eqNullSafe(F.col("of"))).select("text", "name")
+    # one plan at every size: the sets to read again grow with the corpus
+    chosen = docs.join(active.hint("merge"), F.col("doc_id").eqNullSafe(F.col("of"))).select("text", "name")
     packed = work.keep(chosen.mapInArrow(again, SENT).select("part", "piece", "name", "n", "counts", "tokens"))
     work.drop(active)
     work.release()
