@@ -23,15 +23,62 @@ ROOT = 1  # state 0 means: no such transition
 BLOCK = 512
 
 
+class Table(NamedTuple):
+    """Transitions, packed: that of a state by a symbol is in slot base[state] + symbol, if it owns the slot."""
+
+    base: np.ndarray
+    owner: np.ndarray
+    to: np.ndarray
+
+    def next(self, state: np.ndarray | int, symbol: np.ndarray) -> np.ndarray:
+        slot = self.base[state] + symbol
+        return np.where(self.owner[slot] == state, self.to[slot], 0)
+
+
 class Model(NamedTuple):
     languages: list[str]
-    letters: str  # the letter with symbol 2, 3, ...
-    tables: list[np.ndarray]  # transitions[state, symbol] of each language
+    letters: str  # the letter with symbol 2, 3, ...: every letter of the samples
+    tables: list[Table]  # of each language
     bits: list[float]  # to name a place in the sample
 
 
-def _automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Dense transitions of the suffix automaton of a sample; the root is state 1."""
+def _packed(moves: list[dict[int, int]], width: int) -> Table:
+    """Rows laid over each other so that no two take a slot: long ones first, those of one move in what is free."""
+    base = np.zeros(len(moves), np.int32)
+    taken = bytearray(2 * width + 4 * sum(map(len, moves)))
+    begin = width  # slots below stay free, so that no base is negative
+    order = sorted((i for i, m in enumerate(moves) if len(m) > 1), key=lambda i: -len(moves[i]))
+    for i in order:
+        symbols = sorted(moves[i])
+        low = symbols[0]
+        at, tries = begin, 0
+        while any(taken[at + s - low] for s in symbols):
+            at, tries = at + 1, tries + 1
+            if at + symbols[-1] - low >= len(taken):
+                taken.extend(bytes(len(taken)))
+        if tries > 64:
+            begin += tries // 2
+        for s in symbols:
+            taken[at + s - low] = 1
+        base[i] = at - low
+    slot = width - 1
+    for i, m in enumerate(moves):
+        if len(m) == 1:
+            slot = taken.find(0, slot + 1)
+            if slot < 0:
+                slot = len(taken)
+                taken.extend(bytes(len(taken)))
+            base[i] = slot - next(iter(m))
+    size = int(base.max()) + width
+    owner, to = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    for i, m in enumerate(moves):
+        for s, j in m.items():
+            owner[base[i] + s], to[base[i] + s] = i, j
+    return Table(base, owner, to)
+
+
+def _automaton(symbols: list[int], width: int) -> Table:
+    """Transitions of the suffix automaton of a sample; the root is state 1."""
     moves: list[dict[int, int]] = [{}, {}]
     link, length, last = [0, 0], [-1, 0], ROOT
     for s in symbols:
@@ -68,11 +115,7 @@ def _automaton(symbols: list[int], width: int) -> np.ndarray:
                 continue
             link[new] = to
         last = new
-    out = np.zeros((len(moves), width), np.int32)
-    for i, m in enumerate(moves):
-        for s, to in m.items():
-            out[i, s] = to
-    return out
+    return _packed(moves, width)
 
 
 class Parser:
@@ -82,7 +125,7 @@ class Parser:
         self.model = model
         points = np.arange(0x110000)
         letter = np.fromiter(map(str.isalpha, map(chr, points)), bool, len(points))
-        self.symbol = np.where(letter, UNKNOWN, GAP).astype(np.uint8)
+        self.symbol = np.where(letter, UNKNOWN, GAP).astype(np.int32)
         for i, c in enumerate(model.letters):
             self.symbol[ord(c)] = i + 2
         self.letter = letter
@@ -110,17 +153,16 @@ class Parser:
         size = np.minimum(sizes[owner] - place * BLOCK, BLOCK)
         order = np.argsort(-size, kind="stable")
         begin, size, owner = begin[order], size[order], owner[order]
-        joined = np.concatenate([joined, np.zeros(BLOCK, np.uint8)])
+        joined = np.concatenate([joined, np.zeros(BLOCK, np.int32)])
         active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")
         for k, table in enumerate(self.model.tables):
-            flat, width = table.ravel(), table.shape[1]
-            first = np.ascontiguousarray(table[ROOT])
+            first = table.next(ROOT, np.arange(len(self.model.letters) + 2, dtype=np.int32))
             state = np.full(len(owner), ROOT, np.int32)
             count = np.zeros(len(owner), np.int32)
             for t, n in enumerate(active.tolist()):
                 symbol = joined[begin[:n] + t]
                 now = state[:n]
-                to = flat[now * np.int32(width) + symbol]
+                to = table.next(now, symbol)
                 ended = np.flatnonzero(to == 0)
                 count[ended] += now[ended] != ROOT
                 again = first[symbol[ended]]
@@ -168,7 +210,7 @@ def learn(
 
 def model_of(sample: dict[str, list[str]]) -> Model:
     """A model of the pieces of each language."""
-    letters = sorted({c for pieces in sample.values() for p in pieces for c in p if c.isalpha()})[:253]
+    letters = sorted({c for pieces in sample.values() for p in pieces for c in p.lower() if c.isalpha()})
     model = Model(sorted(sample), "".join(letters), [], [])
     parser = Parser(model)
     for name in model.languages:

@@ -50,6 +50,24 @@ def test_long_texts_are_parsed_whole(spark):
     assert many[0, 0] == sum(plain_phrases("abcabc", b) for b in blocks)
 
 
+def test_every_letter_of_large_alphabets_counts(documents):
+    """Two Han languages of some thousand letters each, half of them shared, beside one in Latin script."""
+    rng = random.Random(5)
+    han = [chr(0x4E00 + i) for i in range(6000)]
+    words = {"h1": ["".join(rng.choices(han[:4000], k=2)) for _ in range(1500)], "h2": ["".join(rng.choices(han[2000:], k=2)) for _ in range(1500)], "aa": SYLLABLES["aa"]}
+    say = lambda lang, n: "".join(rng.choices(words[lang], k=n))
+    rows = [(i, say(lang := sorted(words)[i % 3], rng.randint(100, 200)), lang) for i in range(360)]
+    model = language.learn(documents(rows), held_out=language.fold())
+    assert len(model.letters) > 3000
+    held = [r for r in language.predict(documents(rows).withColumn("held", language.fold()), model).collect() if r["held"]]
+    assert len(held) > 40 and all(r["lang_pred"] == r["lang"] for r in held)
+    # counts are those of a plain parser, with letters beyond the sample as well
+    sample = say("h1", 300)
+    parser = language.Parser(language.model_of({"x": [sample], "y": ["abc"]}))
+    texts = [say(lang, 120) for lang in ("h1", "h2", "aa")] + [sample[40:400]]
+    assert parser.phrases([parser.symbols(t)[0] for t in texts])[0].tolist() == [plain_phrases(sample, t) for t in texts]
+
+
 def test_held_out_accuracy_and_odd_rows(documents):
     rng = random.Random(3)
     rows = [(i, invented(rng, lang := rng.choice(sorted(SYLLABLES)), rng.randint(5, 60)), lang) for i in range(400)]
