@@ -1,10 +1,11 @@
 """Nearest neighbours by inner product with a navigable small-world graph for each shard.
 
 A shard's graph has layers: every vector is in layer 0, and each layer holds a hashed part of the
-one below. A layer is a flat array with a fixed number of neighbours for each vector. Vectors get one
-more component that makes their lengths equal, so that the nearest by distance has the largest inner
-product. A search goes down greedily from the top layer and widens in layer 0. Shards are searched
-one by one, and their results merged.
+one below. A layer is a flat array with a fixed number of neighbours for each vector. A shard holds
+vectors of near equal lengths: among very unequal ones the longest, which every query wants, lie
+scattered in the graph and are missed. Vectors get one more component that makes their lengths equal,
+so that the nearest by distance has the largest inner product. A search goes down greedily from the
+top layer and widens in layer 0. Shards are searched one by one, and their results merged.
 """
 
 from __future__ import annotations
@@ -21,6 +22,10 @@ from cohortspark.llm.common import Scratch, mixed
 from cohortspark.llm.lattice import usable
 
 
+#: vectors whose lengths' logarithms round to the same multiple of this share shards
+BAND = 0.05
+
+
 class Layer:
     """Nodes of a layer, and neighbours[place of a node, slot] as nodes of layer 0 (-1: none)."""
 
@@ -39,27 +44,37 @@ class Graph:
             self.place.append(at)
 
 
+def bands(vectors: np.ndarray) -> np.ndarray:
+    """Which range of lengths each vector is in; no length overflows."""
+    most = np.abs(vectors).max(1)
+    length = np.log(most) + np.log(((vectors / most[:, None]) ** 2).sum(1)) / 2
+    return np.floor(length / BAND + 0.5).astype(np.int64)
+
+
 def evened(vectors: np.ndarray) -> np.ndarray:
+    """Vectors over the largest component of all, with the one that evens lengths."""
+    vectors = vectors / max(np.abs(vectors).max(initial=0), np.finfo(float).tiny)
     squares = (vectors**2).sum(1)
-    last = np.sqrt(np.maximum(squares.max() - squares, 0))
-    return np.column_stack([vectors, last]).astype(np.float32)
+    last = np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))
+    return np.column_stack([vectors, last])
 
 
 def build(vectors: np.ndarray, degree: int = 16, wide: int = 64) -> Graph:
     """The graph of a shard's vectors (in rows).
 
     A node's candidates are the ``wide`` nearest of its layer, found by blocks of products within the
-    shard; a candidate nearer to a chosen neighbour than to the node is passed over while others are
+    shard, in double precision around the middle, so that close vectors far from zero do not tie; a candidate nearer to a chosen neighbour than to the node is passed over while others are
     left. Links are made in both directions and cut to the nearest again.
     """
     x = evened(vectors)
     n = len(x)
+    centred = x - x.mean(0)
     chance = (mixed(np.arange(n, dtype=np.uint64) + np.uint64(1)) >> np.uint64(11)).astype(float) / (1 << 53)
     level = np.floor(-np.log(np.maximum(chance, 1e-300)) / math.log(degree)).astype(np.int64)
     layers = []
     for k in range(int(level.max()) + 1 if n else 0):
         nodes = np.flatnonzero(level >= k)
-        layers.append(Layer(nodes, nodes_or_none(nodes, _links(x[nodes], 2 * degree if k == 0 else degree, wide))))
+        layers.append(Layer(nodes, nodes_or_none(nodes, _links(centred[nodes], 2 * degree if k == 0 else degree, wide))))
     return Graph(x, layers)
 
 
@@ -73,17 +88,18 @@ def _links(x: np.ndarray, degree: int, wide: int) -> np.ndarray:
     if take < 1:
         return np.full((n, degree), -1)
     chosen = np.full((n, degree), -1)
+    half = (x**2).sum(1) / 2  # likeness: a product less both halves, so less half the squared distance
     for begin in range(0, n, 512):
         rows = np.arange(begin, min(begin + 512, n))
-        near = x[rows] @ x.T
+        near = x[rows] @ x.T - half[rows, None] - half
         near[np.arange(len(rows)), rows] = -np.inf
         part = np.argpartition(-near, take - 1, axis=1)[:, :take]
         value = np.take_along_axis(near, part, 1)
         order = np.argsort(-value, axis=1, kind="stable")
         part, value = np.take_along_axis(part, order, 1), np.take_along_axis(value, order, 1)
-        among = np.einsum("rad,rbd->rab", x[part], x[part], optimize=True)
+        among = np.matmul(x[part], x[part].transpose(0, 2, 1)) - half[part][:, :, None] - half[part][:, None]
         picked = np.zeros(part.shape, bool)
-        blocked = np.full(part.shape, -np.inf, np.float32)  # likeness to the nearest chosen one
+        blocked = np.full(part.shape, -np.inf)  # likeness to the nearest chosen one
         for c in range(take):
             ok = (value[:, c] >= blocked[:, c]) & (picked.sum(1) < degree // 2)
             picked[:, c] = ok
@@ -103,7 +119,7 @@ def _links(x: np.ndarray, degree: int, wide: int) -> np.ndarray:
     pairs, first = np.unique(pairs, return_index=True)
     own = own[first]
     a, b = pairs // n, pairs % n
-    like = np.concatenate([np.einsum("rd,rd->r", x[a[i : i + 65536]], x[b[i : i + 65536]]) for i in range(0, len(a), 65536)])
+    like = np.concatenate([np.einsum("rd,rd->r", x[a[i : i + 65536]], x[b[i : i + 65536]]) for i in range(0, len(a), 65536)]) - half[a] - half[b]
     order = np.lexsort((-like, own, a))
     a, b = a[order], b[order]
     slot = np.arange(len(a)) - np.searchsorted(a, a)
@@ -116,7 +132,7 @@ def _links(x: np.ndarray, degree: int, wide: int) -> np.ndarray:
 def search(graph: Graph, queries: np.ndarray, count: int, beam: int = 128, step: int = 4) -> np.ndarray:
     """Nodes with the largest inner products found for each query, best first (-1: none)."""
     n = len(graph.vectors)
-    q = np.column_stack([queries, np.zeros(len(queries))]).astype(np.float32)
+    q = np.column_stack([queries / np.maximum(np.abs(queries).max(1, keepdims=True, initial=0), np.finfo(float).tiny), np.zeros(len(queries))])
     if not n or not len(q):
         return np.full((len(q), count), -1)
     at = np.full(len(q), graph.layers[-1].nodes[0])
@@ -143,7 +159,7 @@ def _widen(graph: Graph, q: np.ndarray, start: np.ndarray, beam: int, step: int)
     seen[:, n] = True  # stands for "no neighbour"
     seen[rows, start] = True
     found = np.full((len(q), beam), n)
-    like = np.full((len(q), beam), -np.inf, np.float32)
+    like = np.full((len(q), beam), -np.inf)
     open_ = np.zeros((len(q), beam), bool)
     found[:, 0], like[:, 0], open_[:, 0] = start, np.einsum("rd,rd->r", q, x[start]), True
     while len(live := np.flatnonzero(open_.any(1))):
@@ -210,7 +226,33 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 INDEX = "shard int, dim int, vectors binary, sizes array<int>, ids array<bigint>, nodes array<binary>, neighbours array<binary>"
 
 
-def build_index(classes: DataFrame, shards: int, degree: int, wide: int) -> DataFrame:
+def _banded(classes: DataFrame) -> DataFrame:
+    """``classes`` with the number of components and the range of lengths."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vec = batch.column("vec").to_pylist()
+            dim = np.array([len(v) // 8 for v in vec], np.int32)
+            band = np.zeros(len(vec), np.int64)
+            for d in np.unique(dim).tolist():
+                at = np.flatnonzero(dim == d)
+                band[at] = bands(np.frombuffer(b"".join(vec[i] for i in at)).reshape(len(at), d))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(dim), pa.array(band.astype(np.int32))], [*batch.schema.names, "dim", "band"])
+
+    return classes.mapInArrow(run, "vec binary, ids array<bigint>, dim int, band int")
+
+
+def _ranges(classes: DataFrame, shard_rows: int) -> DataFrame:
+    """The shards of each length and range of lengths: their number and the first one's."""
+    sizes = sorted(map(tuple, classes.groupBy("dim", "band").count().collect()))
+    rows, first = [], 0
+    for dim, band, n in sizes:
+        rows.append((dim, band, first, math.ceil(n / shard_rows)))
+        first += rows[-1][-1]
+    return classes.sparkSession.createDataFrame(rows, "dim int, band int, first int, shards int")
+
+
+def build_index(classes: DataFrame, ranges: DataFrame, degree: int, wide: int) -> DataFrame:
     """One row for each shard: vectors, ids, and the layers as flat arrays."""
 
     def one(table: pa.Table) -> pa.Table:
@@ -230,8 +272,9 @@ def build_index(classes: DataFrame, shards: int, degree: int, wide: int) -> Data
         kinds = [pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.list_(pa.binary())]
         return pa.table({k: pa.array([v], t) for (k, v), t in zip(row.items(), kinds, strict=True)})
 
-    placed = classes.select("vec", "ids", F.pmod(F.xxhash64("vec"), F.lit(shards)).cast("int").alias("shard"), (F.octet_length("vec") / 8).cast("int").alias("dim"))
-    return placed.groupBy("shard", "dim").applyInArrow(one, INDEX)
+    placed = classes.join(F.broadcast(ranges), ["dim", "band"])
+    shard = F.col("first") + F.pmod(F.xxhash64("vec"), F.col("shards")).cast("int")
+    return placed.select("vec", "ids", "dim", shard.alias("shard")).groupBy("shard", "dim").applyInArrow(one, INDEX)
 
 
 def load_index(row: dict) -> tuple[np.ndarray, list[np.ndarray], Graph]:
@@ -256,23 +299,22 @@ def nearest(
     compared with those of the same length only. Equal vectors are one node that knows its smallest
     ids, more than any result needs; a vec_id with several vectors is found by the nearest.
 
-    All rows are indexed, hashed to shards of about ``shard_rows`` distinct vectors, so there are the
-    more shards the more data. Distinct query vectors go in blocks of ``query_rows`` to each shard.
+    All rows are indexed: ranges of lengths, 5 hundredths wide, are hashed to shards of about
+    ``shard_rows`` distinct vectors, so there are the more shards the more data. Distinct query vectors go in blocks of ``query_rows`` to each shard.
     """
     spark = vectors.sparkSession
     work = Scratch(spark, "search")
     rows = work.keep(_rows(vectors, vec_id, vector).withColumn("query", F.unhex(F.md5("vec"))))
-    classes = work.keep(_classes(rows.select("vec_id", "vec"), count + 1))
-    shards = max(1, math.ceil(classes.count() / shard_rows))
-    index = work.keep(build_index(classes, shards, degree, wide))
+    classes = work.keep(_banded(_classes(rows.select("vec_id", "vec"), count + 1)))
+    ranges = _ranges(classes, shard_rows)
+    index = work.keep(build_index(classes, ranges, degree, wide))
     asked = rows.where(queries)
     wanted = work.keep(asked.select("query", "vec").distinct())
     blocks = max(1, math.ceil(wanted.count() / query_rows))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    sent = wanted.select(
-        "query", "vec", (F.octet_length("vec") / 8).cast("int").alias("dim"),
-        F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block"), every(shards).alias("shard"),
-    )
+    shards = ranges.select("dim", F.explode(F.sequence("first", F.col("first") + F.col("shards") - 1)).alias("shard"))
+    block = F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block")
+    sent = wanted.select("query", "vec", (F.octet_length("vec") / 8).cast("int").alias("dim"), block).join(F.broadcast(shards), "dim")
 
     def answer(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []

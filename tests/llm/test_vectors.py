@@ -110,6 +110,47 @@ def test_recall_and_scores(vectors, shard_rows):
     assert [i for _, i, _ in by[0][:19]] == list(range(2000, 2019))
 
 
+def true_nearest(x, queries, count=20):
+    near = x[queries] @ x.T
+    near[np.arange(len(queries)), queries] = -np.inf
+    return np.argsort(-near, axis=1)[:, :count]
+
+
+def recall(vectors, x):
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)]
+    got = {}
+    for r in graphs_search.nearest(vectors(rows), F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    queries = np.arange(0, len(x), 50)
+    want = true_nearest(x.astype(np.float32).astype(float), queries)
+    return np.mean([len(got[q] & set(w)) / 20 for q, w in zip(queries.tolist(), want.tolist(), strict=True)])
+
+
+@pytest.mark.parametrize("case", ["equal", "unequal", "very unequal", "one far longer"])
+def test_recall_on_a_whole_shard(vectors, case):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((8192, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    spread = {"equal": 0, "unequal": 0.5, "very unequal": 1, "one far longer": 0}[case]
+    x *= np.exp(spread * rng.standard_normal(len(x)))[:, None]
+    if case == "one far longer":
+        x[7] *= 10_000
+    assert recall(vectors, x) >= 0.97
+
+
+def test_links_of_close_vectors_far_from_zero():
+    rng = np.random.default_rng(4)
+    x = 1e-5 * rng.standard_normal((500, 16)) + 1
+    graph = graphs_search.build(x, 20, 64)
+    squares = (x**2).sum(1)
+    x = np.column_stack([x, np.sqrt(squares.max() - squares)])
+    squares = (x**2).sum(1)
+    x = np.column_stack([x, np.sqrt(squares.max() - squares)])
+    gap = ((x[:, None] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(gap, np.inf)
+    assert np.mean([gap[i].argmin() in graph.layers[0].neighbours[i] for i in range(len(x))]) >= 0.99
+
+
 def test_few_candidates(vectors):
     rows = [(20, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [3.0, 0.0], 0), (40, [0.0, 0.0], 0), (60, None, 0)]
     out = [tuple(r) for r in graphs_search.nearest(vectors(rows), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()]
