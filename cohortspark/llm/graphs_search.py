@@ -287,6 +287,20 @@ def load_index(row: dict) -> tuple[np.ndarray, list[np.ndarray], Graph]:
     return x, ids, Graph(evened(x), layers)
 
 
+def _best(x: np.ndarray, ids: list[np.ndarray], query: np.ndarray, nodes: np.ndarray, count: int) -> dict[int, float]:
+    """The best score of each id, from as few of the nodes (best first) as give ``count`` ids."""
+    take = count
+    while True:
+        some, best = nodes[:take], {}
+        for node, score in zip(some.tolist(), (x[some] @ query).tolist(), strict=True):
+            for i in ids[node].tolist():
+                if i not in best or score > best[i]:
+                    best[i] = score
+        if len(best) >= count or take >= len(nodes):
+            return best
+        take *= 2
+
+
 def nearest(
     vectors: DataFrame, queries: F.Column, vec_id: str = "vec_id", vector: str = "embedding", count: int = 20,
     shard_rows: int = 8192, query_rows: int = 4096, degree: int = 20, wide: int = 64, beam: int = 128,
@@ -322,12 +336,18 @@ def nearest(
             x, ids, graph = load_index(right.to_pylist()[0])
             names, q = left.column("query").to_pylist(), _matrix(left.column("vec"))
             for begin in range(0, len(q), 256):
-                part = q[begin : begin + 256]
-                for name, one, nodes in zip(names[begin : begin + 256], part, search(graph, part, count + 1, beam), strict=True):
-                    nodes = nodes[nodes >= 0]
-                    scores = x[nodes] @ one
-                    near = sorted((-s, i) for node, s in zip(nodes.tolist(), scores.tolist(), strict=True) for i in ids[node].tolist())
-                    out += [(name, i, -s) for s, i in near[: count + 1]]
+                waiting, width = list(range(begin, min(begin + 256, len(q)))), max(beam, count + 1)
+                while waiting:
+                    short = []
+                    for k, nodes in zip(waiting, search(graph, q[waiting], width, width), strict=True):
+                        nodes = nodes[nodes >= 0]
+                        best = _best(x, ids, q[k], nodes, count + 1)
+                        if len(best) <= count and len(nodes) == width:
+                            short.append(k)  # ids of many vectors fill the beam
+                            continue
+                        near = sorted((-s, i) for i, s in best.items())
+                        out += [(names[k], i, -s) for s, i in near[: count + 1]]
+                    waiting, width = short, 2 * width
         columns = list(zip(*out, strict=True)) or [[], [], []]
         kinds = {"query": pa.binary(), "vec_id": pa.int64(), "score": pa.float64()}
         return pa.table({k: pa.array(c, t) for (k, t), c in zip(kinds.items(), columns, strict=True)})
@@ -335,8 +355,9 @@ def nearest(
     keys = ["shard", "dim", "block"]
     found = sent.groupBy(*keys).cogroup(index.withColumn("block", every(blocks)).groupBy(*keys)).applyInArrow(answer, "query binary, vec_id bigint, score double")
     order = [F.col("score").desc(), F.col("vec_id")]
-    best = found.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(*order))).where(F.col("n") <= count + 1)
-    best = work.keep(best.groupBy("query", "vec_id").agg(F.max("score").alias("score")))
+    # one more than asked for, as the query's own id may be among them; each id counts once
+    best = found.repartition("query").groupBy("query", "vec_id").agg(F.max("score").alias("score"))
+    best = work.keep(best.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(*order))).where(F.col("n") <= count + 1).drop("n"))
     asked = asked.select(F.col("vec_id").alias("query_id"), "query").distinct()
     own = asked.join(best, "query").where("query_id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(*order))

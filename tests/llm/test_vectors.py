@@ -144,8 +144,6 @@ def test_links_of_close_vectors_far_from_zero():
     graph = graphs_search.build(x, 20, 64)
     squares = (x**2).sum(1)
     x = np.column_stack([x, np.sqrt(squares.max() - squares)])
-    squares = (x**2).sum(1)
-    x = np.column_stack([x, np.sqrt(squares.max() - squares)])
     gap = ((x[:, None] - x[None]) ** 2).sum(2)
     np.fill_diagonal(gap, np.inf)
     assert np.mean([gap[i].argmin() in graph.layers[0].neighbours[i] for i in range(len(x))]) >= 0.99
@@ -155,3 +153,16 @@ def test_few_candidates(vectors):
     rows = [(20, [1.0, 0.0], 0), (1, [0.5, 0.5], 0), (2, [3.0, 0.0], 0), (40, [0.0, 0.0], 0), (60, None, 0)]
     out = [tuple(r) for r in graphs_search.nearest(vectors(rows), F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()]
     assert out == [(20, 1, 2, 3.0), (20, 2, 1, 0.5)]
+
+
+@pytest.mark.parametrize("shard_rows", [40, 5000])
+def test_ids_of_many_vectors_take_one_place(vectors, shard_rows):
+    rng = np.random.default_rng(12)
+    turn = lambda a: [float(np.cos(a)), float(np.sin(a))]
+    rows = [(20, turn(0), 0)] + [(i, turn(a), 0) for i in (20, 1, 2) for a in rng.uniform(0.001, 0.3, 150)]
+    rows += [(100 + i, turn(0.4 + i / 100), 0) for i in range(41, 79)]
+    out = graphs_search.nearest(vectors(rows), F.col("vec_id") == 20, shard_rows=shard_rows).where("score is not null")
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(got[20]) == 20 * 151 and {i for i in got[20]} >= {1, 2, 141}
