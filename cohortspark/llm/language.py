@@ -220,12 +220,15 @@ def model_of(sample: dict[str, list[str]]) -> Model:
     return model
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", fields: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, text: str = "text", fields: tuple[str, str] = ("lang_pred", "score"), lettered: str | None = None
+) -> DataFrame:
     """``docs`` with the language of each whole text and a score; all rows and columns stay.
 
     Score: how much fewer bits the language needs than the next one, 0 to 1 (1 if there is no other).
     Ties go to the smaller name. A null text, one without a letter, and any text under a model
-    without languages is ``und`` with score 0. Equal texts get equal results.
+    without languages is ``und`` with score 0. Equal texts get equal results. ``lettered`` names one
+    more column: whether the text has a letter, under any model.
     """
 
     def make():
@@ -234,9 +237,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text", fields: tuple[str
 
         def call(texts):
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
-            read = [(i, *parser.symbols(t)) for i, t in enumerate(texts) if t] if model.languages else []
+            read = [(i, *parser.symbols(t)) for i, t in enumerate(texts) if t]
             read = [(i, s) for i, s, has in read if has]
-            if read:
+            has = [False] * len(texts)
+            for i, _ in read:
+                has[i] = True
+            if read and model.languages:
                 need = parser.phrases([s for _, s in read]) * bits
                 best = np.argmin(need, axis=0)
                 least = need[best, np.arange(len(read))]
@@ -247,11 +253,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", fields: tuple[str
                     score = np.ones(len(read))
                 for (i, _), b, s in zip(read, best.tolist(), score.tolist(), strict=True):
                     names[i], scores[i] = model.languages[b], s
-            return names, scores
+            return (names, scores, has) if lettered else (names, scores)
 
         return call
 
-    return appended(docs, text, [(fields[0], T.StringType()), (fields[1], T.DoubleType())], make, 1 << 22)
+    kinds = [(fields[0], T.StringType()), (fields[1], T.DoubleType())]
+    if lettered:
+        kinds.append((lettered, T.BooleanType()))
+    return appended(docs, text, kinds, make, 1 << 22)
 
 
 def fold(doc_id: str = "doc_id") -> F.Column:

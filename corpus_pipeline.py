@@ -20,10 +20,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any language: null texts, texts without a letter."""
+    """Drops documents without any language: null texts, texts without a letter.
+
+    What the labels are, or that there are none, drops nothing.
+    """
     model = language.learn(docs, held_out=language.fold())
-    fields = unique_name(docs, "lang_pred"), unique_name(docs, "lang_score")
-    return language.predict(docs, model, fields=fields).where(F.col(fields[0]) != "und").drop(*fields)
+    fields, has = (unique_name(docs, "lang_pred"), unique_name(docs, "lang_score")), unique_name(docs, "lettered")
+    return language.predict(docs, model, fields=fields, lettered=has).where(F.col(has)).drop(*fields, has)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,6 +58,13 @@ def test_stages(spark, docs):
         assert r["decoded_sha256"] == hashlib.sha256(cut[r["doc_id"]]["text"].encode()).hexdigest()
 
 
+@pytest.mark.parametrize("label", [None, "und"])
+def test_language_stage_without_usable_labels(spark, documents, label):
+    rows = [(i, f"ka to mi {i}", label) for i in range(30)] + [(100, None, label), (101, "", label), (102, "12 34", label)]
+    now = dict(corpus_pipeline.STAGES)["language"](spark, documents(rows, extra=True), "")
+    assert sorted(r["doc_id"] for r in now.collect()) == list(range(30))
+
+
 def test_stages_on_nothing(spark, documents):
     now = documents([], extra=True)
     for _, stage in corpus_pipeline.STAGES:
