@@ -28,9 +28,14 @@ FREQUENT = 64
 
 
 class Rule:
-    """Jaccard similarity of at least ``percent`` / 100, in whole numbers."""
+    """Jaccard similarity of at least ``percent`` / 100, in whole numbers.
+
+    From 51 on, different sets that are similar share two tokens or more, as the keys need it.
+    """
 
     def __init__(self, percent: int):
+        if not 50 < percent <= 100:
+            raise ValueError(f"percent must be from 51 to 100, not {percent}")
         self.percent = percent
 
     def overlap(self, n):
@@ -222,15 +227,15 @@ def _frequencies(table: pa.Table) -> pa.Table:
 def keys_of(tokens: np.ndarray, times: np.ndarray, rule: Rule) -> np.ndarray:
     """Keys of a set of sorted tokens with their frequencies.
 
-    Sizes fall in bands from a power of two to 2.5 times it. Similar sizes always have a band in
-    common, and a band has one number of classes. Tokens of one set alone are never shared.
+    Sizes fall in bands from a power of two to 200 / percent times it. Similar sizes always have a
+    band in common, and a band has one number of classes. Tokens of one set alone are never shared.
     """
     n = len(tokens)
     band = n.bit_length() - 1
     order = np.lexsort((tokens, times))
     out = [np.zeros(0, np.uint64)]
     for j in (band, band - 1):
-        if j < 0 or 2 * n >= 5 << j:
+        if j < 0 or rule.percent * n >= 200 << j:
             continue
         classes = max(1, (1 << j) // 16)
         prefix = order[: rule.spare(n) + classes + 1]
@@ -321,7 +326,7 @@ def similar_groups(
 
     A text's set: its distinct shingles of ``width`` words (A-Z in lower case, words between white
     space); with fewer words, all of them as one; a null text or one without words has an empty set
-    and links with nothing. Texts link from ``percent`` hundredths of Jaccard similarity on.
+    and links with nothing. Texts link from ``percent`` (51 to 100) hundredths of Jaccard similarity on.
     component_id is the smallest doc_id in reach (nulls are passed over; a row that reaches none
     keeps its own). Rows that share a doc_id each have a row; equal sets are one and never compared.
     Tokens are 64-bit hashes of whole shingles.
@@ -343,7 +348,9 @@ def similar_groups(
     rows = survey.select("doc_id", "name", "n")
     shared = survey.where("name is not null").groupBy("name").agg(F.max("shared").alias("shared"), F.max("n").alias("n"), F.min("doc_id").alias("of"))
     least = F.ceil(F.ceil(F.col("n") * percent / 100) / 10)
-    active = work.keep(shared.where((F.col("n") > 3) & (F.col("shared") >= least)).select("of", "name"))
+    # a set of n tokens is similar to no other one if not to one with a token more
+    large = 100 * F.col("n") >= percent * (F.col("n") + 1)
+    active = work.keep(shared.where(large & (F.col("shared") >= least)).select("of", "name"))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

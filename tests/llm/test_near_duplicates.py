@@ -203,3 +203,12 @@ def test_components_of_chains_and_stars(spark):
     got = {r["node"]: r["root"] for r in out.collect()}
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)} | {201: 200}
     assert local_roots(6, np.array([5, 4, 1]), np.array([4, 2, 0])).tolist() == [0, 0, 2, 3, 2, 2]
+
+
+def test_lower_similarities_find_small_sets_and_sets_of_unequal_sizes(documents):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, "a b"), (2, "a b c"), (3, " ".join(words[:31])), (4, " ".join(words[:50])), (5, "d e"), (6, "e f g")]
+    out = jaccard.similar_groups(documents(rows), width=1, percent=60)
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5, 6: 6}
+    with pytest.raises(ValueError):
+        jaccard.Rule(50)
