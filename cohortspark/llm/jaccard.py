@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortspark.llm.common import Scratch, mixed, parallelism, pieces, text_bytes
+from cohortspark.llm.common import Scratch, appended, mixed, parallelism, pieces, text_bytes
 from cohortspark.llm.graph import components
 from cohortspark.llm.words import hashed_words, shingles
 
@@ -319,9 +320,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule, work: Scratch) -> D
     return one.join(hubs, "b").select("a", "b", "x", "y").mapInArrow(test, "a binary, b binary")
 
 
+def named(docs: DataFrame, field: str, text: str = "text", width: int = 5) -> DataFrame:
+    """``docs`` with the name of each text's set of shingles: null for an empty set."""
+
+    def make():
+        def call(texts):
+            tokens, at = _sets(pa.array(texts, pa.string()), width)
+            return ([_name(tokens[a:b]) if b > a else None for a, b in zip(at[:-1], at[1:], strict=True)],)
+
+        return call
+
+    return appended(docs, text, [(field, T.BinaryType())], make, PIECE)
+
+
 def similar_groups(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, stars: int = 2
-) -> DataFrame:
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80, stars: int = 2,
+    name: str | None = None,
+) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id.
 
     A text's set: its distinct shingles of ``width`` words (A-Z in lower case, words between white
@@ -329,7 +344,8 @@ def similar_groups(
     and links with nothing. Texts link from ``percent`` (51 to 100) hundredths of Jaccard similarity on.
     component_id is the smallest doc_id in reach (nulls are passed over; a row that reaches none
     keeps its own). Rows that share a doc_id each have a row; equal sets are one and never compared.
-    Tokens are 64-bit hashes of whole shingles.
+    Tokens are 64-bit hashes of whole shingles. ``name`` adds a column of the sets' names, as ``named``
+    gives them.
 
     1. Sets are named and surveyed: of its least spare + n/10 hashes, a set must share a known part
        with others to have a similar one at all. Sets that do not are done.
@@ -410,4 +426,6 @@ def similar_groups(
     # written: adaptive execution splits a large group's rows only in a join without an aggregate
     first = work.keep(named.where("name is not null").groupBy("root").agg(F.min("doc_id").alias("first")))
     out = named.join(first, "root", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.coalesce("first", "doc_id")).alias("component_id"))
+    component = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.coalesce("first", "doc_id"))
+    more = [F.col("name").alias(name)] if name else []
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), *more)

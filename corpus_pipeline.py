@@ -1,8 +1,8 @@
 """From raw documents to an encoded training mix, in stages.
 
 Every stage takes the documents that the one before it kept, and is written as Parquet and read
-again before the next one starts. Rows with the same doc_id count as one document. All stages but
-the last return the columns they were given.
+again before the next one starts. Rows with the same doc_id count as one document, but the Jaccard
+stage tells those of different texts apart. All stages but the last return the columns they were given.
 """
 
 from __future__ import annotations
@@ -30,10 +30,26 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near duplicates; rows without a doc_id stay."""
-    groups = jaccard.similar_groups(docs)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone"), "left_anti")
+    """Keeps the smallest doc_id of each group of near duplicates; rows without a doc_id stay.
+
+    Of rows that share a doc_id, those go whose text is in a group with a smaller one.
+    """
+    work = Scratch(spark, "near")
+    gone, of, its = (unique_name(docs, n) for n in ("gone", "of", "its"))
+    groups = work.keep(jaccard.similar_groups(docs, name="name").select("doc_id", "name", (F.col("doc_id") != F.col("component_id")).alias("goes")))
+    ids = groups.groupBy(F.col("doc_id").alias(gone)).agg(F.bool_or("goes").alias("some"), F.bool_and("goes").alias("all"))
+    ids = work.keep(ids.where("some"))
+    own = docs["doc_id"].cast("long")
+    kept = docs.join(ids.where("all"), own == F.col(gone), "left_anti")
+    if ids.where("not all").isEmpty():
+        return kept
+    # ids with a text that goes and one that stays: the texts of these alone are named
+    split, probe, name = ids.where("not all").select(gone), unique_name(docs, "probe"), unique_name(docs, "set_name")
+    kept = kept.join(split, own == F.col(gone), "left")
+    kept = kept.withColumn(probe, F.when(F.col(gone).isNotNull(), F.col("text"))).drop(gone)
+    kept = jaccard.named(kept, name, probe)
+    texts = groups.where("goes").join(split, F.col("doc_id") == F.col(gone), "left_semi").select(F.col("doc_id").alias(of), F.col("name").alias(its)).distinct()
+    return kept.join(texts, (kept["doc_id"].cast("long") == F.col(of)) & (kept[name] == F.col(its)), "left_anti").select(docs.columns)
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

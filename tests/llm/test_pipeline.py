@@ -65,6 +65,15 @@ def test_language_stage_without_usable_labels(spark, documents, label):
     assert sorted(r["doc_id"] for r in now.collect()) == list(range(30))
 
 
+def test_jaccard_stage_tells_texts_of_one_id_apart(spark, documents):
+    first, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, first), (2, first + " end"), (2, other), (2, None), (3, first), (3, first), (None, first)]
+    docs = documents(rows, extra=True)
+    now = dict(corpus_pipeline.STAGES)["jaccard"](spark, docs, "")
+    assert now.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in now.collect()), key=str) == sorted([rows[0], rows[2], rows[3], rows[6]], key=str)
+
+
 def test_stages_on_nothing(spark, documents):
     now = documents([], extra=True)
     for _, stage in corpus_pipeline.STAGES:
