@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortspark.llm import graphs_search, jaccard, language, lattice, licenses, mixing, pieces_encoding, repeats, sharding, toxicity
+from cohortspark.llm import graphs_search, jaccard, language, lattice, licenses, merkle, mixing, pieces_encoding, repeats, sharding, toxicity
 from cohortspark.llm.common import table
+from cohortspark.llm.oracles import OP12_MERKLE_MANIFEST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,11 +103,27 @@ def op10_graph_search(spark: SparkSession, folder: str) -> DataFrame:
     return graphs_search.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest, roots and proof of each row, and whether it still leads to the root after tampering."""
+    docs = table(spark, folder, "documents")
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    changed = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    tampered = merkle.leaf_of(*(F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns))
+    rows = docs.select("doc_id", "lang", merkle.leaf_of(*map(F.col, columns)).alias("leaf"), F.when(changed, tampered).alias("tampered"))
+    out = merkle.manifest(rows, F.col("leaf"), F.col("lang"), F.col("doc_id"))
+    proof = F.col("merkle.proof")
+    folded = merkle.fold(F.coalesce("tampered", "merkle.leaf"), proof)
+    out = out.select("doc_id", "merkle.leaf", "merkle.subroot", "merkle.root", merkle.digest(merkle.beside(proof)).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline."""
     return corpus_pipeline.run(spark, folder)
 
 
+ORACLES["op12_merkle_manifest"] = OP12_MERKLE_MANIFEST
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
