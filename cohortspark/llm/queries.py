@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortspark.llm import graphs_search, jaccard, language, lattice, licenses, merkle, mixing, pieces_encoding, repeats, sharding, toxicity
+from cohortspark.llm import graphs_search, jaccard, language, lattice, licenses, merkle, mixing, pieces_encoding, quality, repeats, runs, sharding, toxicity
 from cohortspark.llm.common import table
 from cohortspark.llm.oracles import OP12_MERKLE_MANIFEST
 
@@ -103,6 +103,15 @@ def op10_graph_search(spark: SparkSession, folder: str) -> DataFrame:
     return graphs_search.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability of good quality for each text; one document in four is held out of learning."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, folder, "labels"), held_out=quality.fold())
+    out = quality.predict(docs.select("doc_id", quality.fold().alias("held_out"), "text"), model).drop("text")
+    return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Digest, roots and proof of each row, and whether it still leads to the root after tampering."""
@@ -118,6 +127,40 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def with_planted_run(doc_id: F.Column, text: F.Column) -> F.Column:
+    """The text, but for one id in ten with a tail that repeats its own first words."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: F.Column) -> F.Column:
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(words, (a + F.pmod(i - a, p)).cast("int")))
+        joined = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), tail), " ")
+        return F.when(n > 0, joined).otherwise("")
+
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # one element long, so that the words are split once
+    return F.when(F.pmod(h, F.lit(10)) == 0, F.transform(F.array(words), repeated)[0]).otherwise(text)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The longest periodic run of each text, and digests of all runs and of the text without repetitions."""
+    docs = table(spark, folder, "documents")
+    docs = docs.select("doc_id", with_planted_run(F.col("doc_id"), F.col("text")).alias("text"))
+    out = runs.periodic_runs(docs).drop("text")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    out = out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), sha256("collapsed").alias("collapsed_sha256"))
+    period = -F.col("best.period")
+    return out.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"), period.alias("period"),
+        F.floor(1000 * F.col("best.length") / period).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The corpus pipeline."""
