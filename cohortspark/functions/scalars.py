@@ -221,19 +221,57 @@ def text_or_na(column: Column) -> Column:
 # ---------------------------------------------------------------- web pages
 
 
+# parts of a start tag: what stands in quotes may hold anything but that quote
+_QUOTED = r"""(?:"[^"]*+"|'[^']*+')"""
+_ANCHOR = rf"""(?is)<a(?=[\s/>])(?:[^>"']++|{_QUOTED})*+>"""
+# the attributes before the wanted one are passed over whole, so that its name in a value is not taken for it
+_HREF = rf"""(?is)^<a(?:[\s/]++(?!href[\s=])[^\s"'>/=]++(?:\s*+=\s*+(?:{_QUOTED}|[^\s"'>]++))?+)*+[\s/]++href\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
+# The named characters of addresses.
+_NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
+
+
+def decoded_entities(text: Column) -> Column:
+    """Named and numbered characters of markup as themselves, each decoded once.
+
+    A number that names no character stands for the replacement character; a reference without its
+    semicolon, or with an unknown name, stays as it is.
+    """
+    pieces = F.split(text, "(?=&)")
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, r"^&(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z]+);", 1)
+        rest = F.substring(piece, F.length(name) + 3, F.length(piece))
+        digits = F.regexp_replace(name, "^#[xX]?", "")
+        # more digits than any character has are cut before they overflow
+        short = F.regexp_replace(digits, "^0+(?=.)", "")
+        value = F.when(name.rlike("^#[xX]"), F.conv(short, 16, 10)).otherwise(F.conv(short, 10, 10))
+        number = F.when((F.length(short) > 7) | (short == ""), F.lit(0)).otherwise(value.cast("long"))
+        valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        code = F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0")
+        out = F.when(name.startswith("#"), F.concat(F.decode(F.unhex(code), "UTF-32"), rest))
+        for known, character in _NAMED.items():
+            out = out.when(name == known, F.concat(F.lit(character), rest))
+        return out.otherwise(piece)
+
+    return F.array_join(F.transform(pieces, decoded), "")
+
+
 def first_secure_link(html: Column) -> Column:
     """First https address among the anchors inside level-three headings.
 
-    Tracking parameters behind ``&sa=U`` are cut, and a redirect address is
-    reduced to the target it holds. NULL where no such link exists.
+    Start tags are read as such: an address may stand in double quotes, in single quotes or bare, a
+    quoted value may hold brackets or look like an attribute, comments count for nothing, and
+    characters given by name or number are decoded. Tracking parameters behind ``&sa=U`` are cut, and
+    a redirect address is reduced to the target it holds. NULL where no such link exists.
     """
-    headings = F.regexp_extract_all(html, F.lit(r"(?is)<h3\b[^>]*>(.*?)</h3>"), 1)
-    links = F.flatten(
-        F.transform(
-            headings,
-            lambda h: F.regexp_extract_all(h, F.lit(r'(?is)<a\b[^>]*?href="([^"]*)"'), 1),
-        )
-    )
-    secure = F.filter(links, lambda u: u.contains("https:"))
+    shown = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
+    headings = F.regexp_extract_all(shown, F.lit(r"(?is)<h3(?=[\s/>])[^>]*+>(.*?)</h3\s*+>"), 1)
+    anchors = F.flatten(F.transform(headings, lambda h: F.regexp_extract_all(h, F.lit(_ANCHOR), 0)))
+
+    def address(tag: Column) -> Column:
+        # an attribute that does not match gives an empty text
+        return decoded_entities(F.concat(*(F.regexp_extract(tag, _HREF, i) for i in (1, 2, 3))))
+
+    secure = F.filter(F.transform(anchors, address), lambda u: u.contains("https:"))
     first = F.try_element_at(secure, F.lit(1))
     return F.regexp_replace(F.regexp_replace(first, r"(?s)&sa=U.*$", ""), r"(?s)^.*https://", "https://")

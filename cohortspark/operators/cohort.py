@@ -34,21 +34,14 @@ def concepts_matching(
 def prefix_matches(codes: DataFrame, code: str, keys: DataFrame, key: str = "icd_key") -> DataFrame:
     """Join rows to every key that their code starts with.
 
-    A LIKE join would compare each code to each key. Here the distinct codes are cut to the
-    few lengths that keys have, and the pieces are joined by equality; the rows then join the
-    codes that have a key, each of them once for each key.
+    A LIKE join would compare each code to each key. Here codes are cut to the few lengths that keys
+    have, and the pieces joined by equality, each row once for each key. Rows are read once, and stay
+    where they are if the keys are few enough to be sent to them, which the optimizer knows of literal
+    tables and adaptive execution of others.
     """
     lengths = keys.where(F.col(key).isNotNull()).agg(F.collect_set(F.length(key))).scalar()
-    cut = (
-        codes.where(F.col(code).isNotNull())
-        .select(code)
-        .distinct()
-        .withColumn("_length", F.explode(lengths))
-        .where(F.col("_length") <= F.length(code))
-        .withColumn(key, F.left(F.col(code), F.col("_length")))
-        .drop("_length")
-    )
-    return codes.join(cut.join(keys, key), code)
+    cut = codes.withColumn("_length", F.explode(lengths)).where(F.col("_length") <= F.length(code))
+    return cut.withColumn(key, F.left(F.col(code), F.col("_length"))).drop("_length").join(keys, key)
 
 
 def _tagged(

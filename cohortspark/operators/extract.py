@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortspark.operators.cohort import in_cohort
@@ -73,15 +73,41 @@ EVENT_TABLES = {
 }
 
 _BIN_DAYS = 90
+#: quarters after the latest window's first day that are told apart; all that is later is one
+_LATER = 40
+#: column that an event store is laid out in folders by, and bucketed by beside the patient
+QUARTER, BIN = "_quarter", "_bin"
 
 
 def _bin(day) -> F.Column:
     return F.floor(F.unix_date(day) / F.lit(_BIN_DAYS))
 
 
+def store_events(
+    events: DataFrame, name: str, date: str, patient: str = "patid", buckets: int = 200
+) -> DataFrame:
+    """Catalog table ``name`` of the events: a folder for each quarter, bucketed by patient and quarter.
+
+    Windowed extracts of it read only the folders of the cohort's windows, and join them without an
+    exchange of the events; a patient with very many events is in as many buckets as quarters. The
+    table has two columns more, :data:`QUARTER` and :data:`BIN`. It replaces one of the same name.
+    """
+    rows = events.withColumn(BIN, _bin(F.col(date).cast("date"))).withColumn(QUARTER, F.col(BIN))
+    (
+        rows.repartition(buckets, patient, BIN)
+        .write.mode("overwrite")
+        .format("parquet")
+        .partitionBy(QUARTER)
+        .bucketBy(buckets, patient, BIN)
+        .sortBy(patient, BIN)
+        .saveAsTable(name)
+    )
+    return events.sparkSession.table(name)
+
+
 def windowed_extract(
     cohort: DataFrame,
-    events: DataFrame,
+    events: DataFrame | str,
     date: str,
     columns: Sequence[str],
     before: int = 365,
@@ -94,13 +120,14 @@ def windowed_extract(
 
     An event is repeated for every stay whose window holds it, with the ``keep``
     columns of that stay; ``per_stay=False`` gives each event once and keeps none.
-    Open stays have no window.
+    Open stays have no window. ``events`` is a frame, or the name of a table that :func:`store_events` wrote.
 
     The join runs on patient and quarter of a year, not on the patient alone: a
     patient with very many events is spread over many keys, and only pairs whose
     quarters meet are ever compared. The earliest and the latest window bound the
-    dates that are scanned, and windows list no quarter beyond the events' own
-    dates, so a discharge far in the future costs nothing.
+    dates that are scanned, which is done once; of a stored table they bound the
+    folders. Quarters long after all admissions count as one,
+    so a discharge far in the future costs little.
     """
     windows = cohort.select(
         patient,
@@ -108,24 +135,30 @@ def windowed_extract(
         F.date_sub("admit_date", before).alias("_from"),
         F.date_add("discharge_date", after).alias("_to"),
     ).where(F.col("_to") >= F.col("_from"))
+    name = events if isinstance(events, str) else None
+    events = cohort.sparkSession.table(name) if name else events
     kind = events.schema[date].dataType
     # a time of the last day is before the next one
-    first = windows.agg(F.min("_from").cast(kind)).scalar()
-    last = windows.agg(F.date_add(F.max("_to"), 1).cast(kind)).scalar()
-    near = events.where((F.col(date) >= first) & (F.col(date) <= last))
-    day = F.col(date).cast("date")
-    known = events.agg(F.min(date).cast("date").alias("a"), F.max(date).cast("date").alias("b"))
-    bounds = (
-        windows.withColumn("_first", F.greatest("_from", known.select("a").scalar()))
-        .withColumn("_last", F.least("_to", known.select("b").scalar()))
-        .where(F.col("_last") >= F.col("_first"))
-        .withColumn("_bin", F.explode(F.sequence(_bin("_first"), _bin("_last"))))
+    edges = windows.agg(
+        F.min("_from").alias("a"), F.max("_to").alias("b"), (_bin(F.max("_from")) + _LATER).alias("cap")
     )
-    binned = near.withColumn("_bin", _bin(day))
-    e, b = binned.alias("e"), bounds.alias("b")
+    first, last = edges.select(F.col("a").cast(kind)).scalar(), edges.select(F.date_add("b", 1).cast(kind)).scalar()
+    near = events.where((F.col(date) >= first) & (F.col(date) <= last))
+    if name:
+        low, high = edges.select(_bin("a")).scalar(), edges.select(_bin("b")).scalar()
+        near = near.where(F.col(QUARTER).between(low, high))
+        # no window lists a quarter beyond the folders there are
+        capped = F.least(_bin("_to"), F.lit(_last_quarter(cohort.sparkSession, name)))
+    else:
+        cap = edges.select("cap").scalar()
+        near = near.withColumn(BIN, F.least(_bin(F.col(date).cast("date")), cap))
+        capped = F.least(_bin("_to"), cap)
+    bounds = windows.withColumn("_until", capped).where(F.col("_until") >= _bin("_from"))
+    bounds = bounds.withColumn(BIN, F.explode(F.sequence(_bin("_from"), F.col("_until"))))
+    e, b = near.alias("e"), bounds.alias("b")
     condition = (
         (F.col(f"e.{patient}") == F.col(f"b.{patient}"))
-        & (F.col("e._bin") == F.col("b._bin"))
+        & (F.col(f"e.{BIN}") == F.col(f"b.{BIN}"))
         & F.col(f"e.{date}").between(F.col("b._from"), F.col("b._to"))
     )
     joined = e.join(b, condition, "inner" if per_stay else "left_semi")
@@ -133,9 +166,16 @@ def windowed_extract(
     return joined.select(F.col(f"e.{patient}"), *(F.col(f"e.{c}") for c in columns), *carried)
 
 
+def _last_quarter(spark: SparkSession, name: str) -> int:
+    """The latest quarter among the folders of a stored table, which the catalog lists."""
+    folders = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name})
+    quarter = F.regexp_extract("partition", rf"{QUARTER}=(-?\d+)", 1)
+    return folders.where(quarter != "").agg(F.max(quarter.cast("int"))).first()[0] or 0
+
+
 def extract_events(
     cohort: DataFrame,
-    events: DataFrame,
+    events: DataFrame | str,
     table: str,
     date: str | None = None,
     per_stay: bool = True,

@@ -82,75 +82,93 @@ def running_totals(
     return joined.drop("_bucket", *(f"_off_{c}" for c in sums))
 
 
+def ordered_bits(value: Column) -> Column:
+    """A whole number for each double, in the same order: its sign, exponent and mantissa.
+
+    Adding and dividing by powers of two is exact, so equal values alone get equal numbers (both zeros
+    get 0). Infinities come after all other numbers, not-a-number after them.
+    """
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("int")
+
+    def power(exponent: Column) -> Column:
+        return F.pow(F.lit(2.0), exponent)
+
+    # the logarithm is rounded, so the exponent may be one off
+    exponent = guess + (power(guess + 1) <= size).cast("int") - (power(guess) > size).cast("int")
+    least = power(F.lit(-1022))
+    whole = ((size / power(exponent) - 1) * float(1 << 52)).cast("long")
+    bits = (
+        F.when(size == 0, F.lit(0).cast("long"))
+        .when(F.isnan(size), F.lit((2047 << 52) + 1))
+        .when(size == float("inf"), F.lit(2047 << 52))
+        .when(size < least, (size / power(F.lit(-1074))).cast("long"))
+        .otherwise(F.shiftleft((exponent + 1023).cast("long"), 52) + whole)
+    )
+    return F.when(value < 0, -bits).otherwise(bits)
+
+
+# the low bits that each pass of a selection leaves open
+_OPEN_BITS = (42, 21, 0)
+
+
 def exact_quantiles(
     df: DataFrame, value: str, probs: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` per group, one column per name in ``probs``.
 
-    Equal values are counted first, and the counts dealt into ranges of group and value. The sums
-    of a group's ranges then tell which ranges hold the wanted ranks, and only those are read
-    further. Neither a group nor the table is ever held by one task, and the result is exact.
+    Distributed selection: the wanted ranks are found by counting, in three passes over ``df``. The
+    first one counts the values by their upper bits, the second, of those values whose upper bits hold
+    a wanted rank, by the next bits, the third by all bits. Each pass is a partial aggregate of two
+    million numbers a group and bracket at most, whatever the data; nothing is sorted but these counts,
+    nothing is written, and the result is exact. What ``df`` shuffles itself is reused by the passes.
     """
-    counts = _in_ranges(
-        df.select(*by, F.col(value).cast("double").alias("_v"))
-        .where("_v IS NOT NULL")
-        .groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n")),
-        by,
-        "_v",
-    )
-    keys = [*by, "_bucket"]
-    before = W.partitionBy(*by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    histogram = (
-        counts.groupBy(*keys)
-        .agg(F.sum("_n").alias("_in"))
-        .select(
-            *keys,
-            "_in",
-            F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_off"),
-            F.sum("_in").over(W.partitionBy(*by)).alias("_all"),
-        )
-    )
-    # whole positions below and above each wanted one, in the order of probs
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    rows = rows.withColumn("_bits", ordered_bits(F.col("_v")))
     share = F.array(*(F.lit(float(p)) for p in probs.values()))
+    # whole positions below and above each wanted one, in the order of probs
     ranks = F.flatten(
         F.transform(
             share, lambda p: F.array(F.floor(p * (F.col("_all") - 1)), F.ceil(p * (F.col("_all") - 1)))
         )
     )
-
-    wanted = (
-        histogram.withColumn("_ranks", ranks)
-        .where(
-            F.exists(ranks, lambda r: (r >= F.col("_off")) & (r < F.col("_off") + F.col("_in")))
-        )
-        .drop("_in")
-    )
-    inside = W.partitionBy(*keys).orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = (
-        null_safe_join(counts, wanted, keys)
-        .withColumn("_end", F.sum("_n").over(inside) + F.col("_off"))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
-        .select(
-            *by,
-            "_v",
-            "_all",
-            F.posexplode(
-                F.transform("_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
-            ).alias("_i", "_held"),
-        )
-        .where("_held")
-    )
+    wanted, keys = None, list(by)
+    for bits in _OPEN_BITS:
+        level = f"_b{bits}"
+        rows = rows.withColumn(level, F.shiftright("_bits", bits))
+        inside = W.partitionBy(*keys)
+        end = F.sum("_n").over(inside.orderBy(level).rowsBetween(W.unboundedPreceding, 0))
+        sums = [F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_v")]
+        if wanted is None:
+            counts = rows.groupBy(*keys, level).agg(*sums)
+            counts = counts.withColumn("_end", end).withColumn("_all", F.sum("_n").over(inside))
+        else:
+            # two brackets for each quantile, if there are no groups
+            held = null_safe_join(rows, wanted if by else F.broadcast(wanted), keys)
+            counts = held.groupBy(*keys, level).agg(*sums, F.max("_off").alias("_off"), F.max("_all").alias("_all"))
+            counts = counts.withColumn("_end", end + F.col("_off"))
+        counts = counts.withColumn("_off", F.col("_end") - F.col("_n"))
+        keys = [*keys, level]
+        hit = F.transform(ranks, lambda r: (r >= F.col("_off")) & (r < F.col("_end")))
+        if bits:
+            wanted = counts.where(F.exists(hit, lambda h: h)).select(*keys, "_off", "_all")
     # two values per wanted quantile are all that is left of a group
-    picked = ranked.groupBy(*by).agg(
-        F.max("_all").alias("_all"),
-        F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_at"),
+    picked = (
+        counts.select(*by, "_v", "_all", F.posexplode(hit).alias("_i", "_held"))
+        .where("_held")
+        .groupBy(*by)
+        .agg(
+            F.max("_all").alias("_all"),
+            F.map_from_entries(F.collect_list(F.struct("_i", "_v"))).alias("_at"),
+        )
     )
 
     def between(i: int, p: float) -> Column:
         low, high = F.col("_at")[2 * i], F.col("_at")[2 * i + 1]
         position = F.lit(float(p)) * (F.col("_all") - 1)
-        return low + (high - low) * (position - F.floor(position))
+        part = position - F.floor(position)
+        # equal ends may be infinite
+        return F.when((part == 0) | (low == high), low).otherwise(low + (high - low) * part)
 
     return picked.select(
         *by, *(between(i, p).alias(name) for i, (name, p) in enumerate(probs.items()))

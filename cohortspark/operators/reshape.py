@@ -43,6 +43,31 @@ def repeat_rows(df: DataFrame, times: str, counter: str = "copy") -> DataFrame:
     return df.withColumn(counter, F.explode(F.sequence(F.lit(1), count)))
 
 
+#: levels of a block of a grid
+_GRID_LEVELS = 1000
+
+
+def _grid(rows: DataFrame, cols: DataFrame) -> DataFrame:
+    """All pairs of the levels in ``row`` and ``col``, made block by block.
+
+    Either side's levels are dealt by hash into blocks of about a thousand, and each level meets every
+    block of the other side once; so a task makes the cells of some pairs of blocks and holds the levels
+    of none whole.
+    """
+
+    def blocks(levels: DataFrame) -> Column:
+        return levels.agg(F.greatest(F.ceil(F.count(F.lit(1)) / _GRID_LEVELS), F.lit(1)).cast("long")).scalar()
+
+    down, across = blocks(rows), blocks(cols)
+
+    def dealt(levels: DataFrame, name: str, own: str, own_blocks: Column, other: str, other_blocks: Column) -> DataFrame:
+        part = F.pmod(F.xxhash64(name), own_blocks).alias(own)
+        return levels.select(name, part, F.explode(F.sequence(F.lit(0).cast("long"), other_blocks - 1)).alias(other))
+
+    left, right = dealt(rows, "row", "_down", down, "_across", across), dealt(cols, "col", "_across", across, "_down", down)
+    return left.join(right, ["_down", "_across"]).select("row", "col")
+
+
 def crosstab(df: DataFrame, row: str, col: str, margin: str = "col") -> DataFrame:
     """Counts and proportions of each pair of levels, empty pairs included.
 
@@ -55,8 +80,7 @@ def crosstab(df: DataFrame, row: str, col: str, margin: str = "col") -> DataFram
         .groupBy(F.col(row).alias("row"), F.col(col).alias("col"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    cols = counts.agg(F.collect_set("col")).scalar()
-    cells = counts.select("row").distinct().withColumn("col", F.explode(cols))
+    cells = _grid(counts.select("row").distinct(), counts.select("col").distinct())
     totals = counts.groupBy(margin).agg(F.sum("n").alias("_total"))
     return (
         cells.join(counts, ["row", "col"], "left")

@@ -42,6 +42,12 @@ def local_session(cores: str = "*", app: str = "cohortspark", **conf: str) -> Sp
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share: the checkpoint folder, or one in the session's warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder and cut its lineage.
 

@@ -7,15 +7,20 @@ from typing import Any, NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortspark.sources.tables import save_table
+from cohortspark.sources.tables import load_part, save_table
 
 
 class Stage(NamedTuple):
-    """One statement. ``write`` stages become a table, ``view`` and ``query`` stay lazy."""
+    """One statement. ``write`` stages become a table, ``view`` and ``query`` stay lazy.
+
+    ``load`` stages add to the table ``name``, under the column and value of ``part``: what an earlier
+    run of the stage added is replaced. The result is the whole table.
+    """
 
     name: str
     sql: str
     action: str = "view"
+    part: tuple[str, str | int] | None = None
 
 
 def run_batch(
@@ -31,6 +36,8 @@ def run_batch(
         frame = spark.sql(stage.sql, args=dict(params or {}))
         if stage.action == "write":
             frame = save_table(frame, stage.name)
+        elif stage.action == "load" and stage.part:
+            frame = load_part(frame, stage.name, *stage.part)
         elif stage.action == "view":
             frame.createOrReplaceTempView(stage.name)
         elif stage.action != "query":

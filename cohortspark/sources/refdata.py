@@ -235,7 +235,7 @@ def calendar(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> D
     """One row per day and scale: ``date``, ``date_scale`` and the rank ``date_rk``.
 
     Scales are days, ISO weeks, two-week spans and months. Weeks are ranked by
-    their number, so the span must lie within one ISO year.
+    ISO year and number, so a span may cross years; months keep their number.
     """
     days = spark.range(1).select(
         F.explode(
@@ -245,7 +245,7 @@ def calendar(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> D
     ranked = days.select(
         "date",
         F.dense_rank().over(W.orderBy("date")).cast("long").alias("date_daily"),
-        F.dense_rank().over(W.orderBy(F.weekofyear("date"))).cast("long").alias("date_week"),
+        F.dense_rank().over(W.orderBy(F.extract(F.lit("YEAROFWEEK"), F.col("date")), F.weekofyear("date"))).cast("long").alias("date_week"),
         F.month("date").cast("long").alias("date_month"),
     ).withColumn("date_biweek", biweek(F.col("date_week")).cast("long"))
     scales = ["date_daily", "date_week", "date_biweek", "date_month"]

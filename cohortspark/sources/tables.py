@@ -102,6 +102,33 @@ def append_table(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def load_part(df: DataFrame, name: str, key: str, value: str | int) -> DataFrame:
+    """Replace the rows of table ``name`` that were loaded under ``value``, and no others.
+
+    The table is laid out in folders by ``key``, a column of its own that says which load a row came
+    with. So a load that runs again, after a failure or by mistake, leaves what the first one left.
+    A table that is absent is made. ``df`` needs the table's columns, in any order, without ``key``.
+    """
+    spark = df.sparkSession
+    marked = df.withColumn(key, F.lit(value))
+    if not spark.catalog.tableExists(name):
+        marked.write.format("parquet").partitionBy(key).saveAsTable(name)
+        return spark.table(name)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    columns = [c for c in spark.table(name).columns if c != key]
+    empty = marked.isEmpty()
+    spark.conf.set(mode, "dynamic")
+    try:
+        if empty:  # no row names the folder that has to go
+            spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS PARTITION (`{key}` = :value)", args={"name": name, "value": value})
+        else:
+            marked.select(*columns, key).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+    return spark.table(name)
+
+
 def drop_tables(spark: SparkSession, *names: str) -> None:
     """Drop tables if they exist, without keeping them in a trash folder."""
     for name in names:
@@ -115,8 +142,13 @@ def require_tables(spark: SparkSession, *names: str) -> None:
         raise LookupError(f"tables not found: {', '.join(missing)}")
 
 
-def save_report(df: DataFrame, path: str) -> None:
-    """Write a small report as one CSV file with a header."""
+def save_report(df: DataFrame, path: str, most: int = 100_000) -> None:
+    """Write a small report as one CSV file with a header.
+
+    One task writes it, so a frame of more than ``most`` rows is refused; counting stops there.
+    """
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"a report has at most {most} rows; write a table instead")
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -146,6 +146,40 @@ def test_windows_agree_with_the_plain_join(spark, rows):
     assert got == want and len(got) > 1000
 
 
+def test_stored_events_are_pruned_and_stay_in_their_buckets(spark, rows):
+    cohort = spark.range(40).select(
+        (F.col("id") % 7).alias("patid"),
+        F.expr("date_add(date'2020-01-01', cast(id * 13 % 300 as int))").alias("admit_date"),
+    ).withColumn("discharge_date", F.when(F.col("patid") == 3, F.lit("9999-12-31").cast("date")).otherwise(F.expr("date_add(admit_date, 5)")))
+    events = spark.range(6000).select(
+        (F.col("id") % 9).alias("patid"), "id",
+        F.when(F.col("id") % 50 > 0, F.expr("date_add(date'2001-01-01', cast(id * 37 % 9000 as int))")).alias("day"),
+    )
+    ex.store_events(events, "stored_events", "day", buckets=4)
+    try:
+        near = cohort.where("patid <> 3")
+        for stays in (cohort, near):
+            assert rows(ex.windowed_extract(stays, "stored_events", "day", ["id"])) == rows(ex.windowed_extract(stays, events, "day", ["id"]))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with a large cohort
+        out = ex.windowed_extract(near, "stored_events", "day", ["id"])
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert text.count("FileScan parquet") == 1 and text.count("Bucketed: true") == 1
+        # the folders are bounded, and only the cohort's side is exchanged
+        assert "PartitionFilters: [isnotnull(_quarter" in text and text.count("Exchange hashpartitioning") == 1
+        assert out.count() > 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS stored_events")
+
+
+def test_windows_read_the_events_once(spark, tmp_path):
+    cohort = spark.createDataFrame([(1, D(2020, 2, 1), D(2020, 2, 9))], "patid int, admit_date date, discharge_date date")
+    spark.createDataFrame([(1, 5, D(2020, 2, 3))], "patid int, e int, day date").write.parquet(str(tmp_path / "events"))
+    out = ex.windowed_extract(cohort, spark.read.parquet(str(tmp_path / "events")), "day", ["e"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert [tuple(r) for r in out.collect()] == [(1, 5)]
+
+
 def test_demographics_and_history(spark, rows):
     cohort = spark.createDataFrame([(1,), (1,), (2,)], "patid int")
     demo = spark.createDataFrame(

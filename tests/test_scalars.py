@@ -113,6 +113,32 @@ def test_first_secure_link(spark):
     assert got == ["https://b.org/x", None, None]
 
 
+def test_links_are_read_as_tags_are(spark):
+    h3 = lambda tag: f"<H3 class='r'>{tag}hit</a></h3 >"
+    cases = [
+        (h3("<a href='https://a.org/x'>"), "https://a.org/x"),
+        (h3("<A\nHREF = https://a.org/x>"), "https://a.org/x"),
+        (h3('<a class="r" href="/url?q=https://a.org/x&amp;sa=U&amp;ved=1">'), "https://a.org/x"),
+        (h3('<a href="https://a.org/?a=1&amp;b=2">'), "https://a.org/?a=1&b=2"),
+        (h3('<a href="https://a.org/?a=1&#38;amp;b">'), "https://a.org/?a=1&amp;b"),
+        (h3('<a href="https:&#x2F;&#47;a.org/&#233;&#x1F600;&quot;&unknown;&amp">'), "https://a.org/\u00e9\U0001f600\"&unknown;&amp"),
+        (h3('<a href="https://a.org/&#0;&#xD800;&#99999999999;">'), "https://a.org/\ufffd\ufffd\ufffd"),
+        (h3("""<a title="href='https://no.org' >" data-href="https://no.org" href='https://a.org'>"""), "https://a.org"),
+        (h3('<a title=">" href="https://a.org">'), "https://a.org"),
+        (h3('<abbr href="https://no.org"><a name="x"><a disabled href="https://a.org"/>'), "https://a.org"),
+        (h3('<a href="http://a.org">') + h3("<a href='https://b.org'>"), "https://b.org"),
+        ("<!-- " + h3('<a href="https://no.org">') + " -->" + h3('<a href="https://a.org">'), "https://a.org"),
+        ('<h30><a href="https://no.org"></h30><a href="https://no.org">', None),
+        (h3("<a href>") + h3("<a href=''>"), None),
+        ("", None),
+        (h3("<a " + "x=1 " * 20_000 + "href='https://a.org'>"), "https://a.org"),
+        ("<h3>" + "x" * 200_000 + '<a href="https://a.org"></h3>', "https://a.org"),
+    ]
+    df = spark.createDataFrame([(i, page) for i, (page, _) in enumerate(cases)], "i int, html string")
+    got = {r.i: r.link for r in df.select("i", sc.first_secure_link(F.col("html")).alias("link")).collect()}
+    assert [got[i] for i in range(len(cases))] == [link for _, link in cases]
+
+
 def test_prefix_predicate_is_pushed_to_the_scan(spark, tmp_path):
     spark.range(100).select(F.col("id").cast("string").alias("dx")).write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t")).where(sc.starts_with_any(F.col("dx"), ["1", "12", "7"]))

@@ -238,10 +238,12 @@ def test_monte_carlo_beyond_what_can_be_drawn(spark):
 def test_draws_follow_the_hypergeometric_distribution():
     import numpy as np
 
-    from cohortspark.functions.draws import dealt, hypergeometric, log_factorial
+    from cohortspark.functions.draws import dealt, hypergeometric, stirling_remainder
 
     rng = np.random.default_rng(3)
-    assert np.allclose(log_factorial(np.arange(200)), [math.lgamma(n + 1) for n in range(200)], atol=1e-9)
+    n = np.arange(1, 200)
+    want = [math.lgamma(k + 1) - ((k + 0.5) * math.log(k) - k + 0.5 * math.log(2 * math.pi)) for k in n.tolist()]
+    assert np.allclose(stirling_remainder(n), want, atol=1e-12) and stirling_remainder(np.array([0]))[0] == 0
     for good, bad, sample in ((5, 7, 4), (1, 9, 10), (3, 0, 2), (0, 4, 2), (40, 200, 60), (900, 5, 880)):
         got = np.bincount(hypergeometric(rng, np.full(20_000, good), bad, sample), minlength=good + 1) / 20_000
         want = [math.comb(good, k) * math.comb(bad, sample - k) / math.comb(good + bad, sample) if 0 <= sample - k <= bad else 0 for k in range(good + 1)]
@@ -254,6 +256,36 @@ def test_draws_follow_the_hypergeometric_distribution():
     assert (out.sum(1) == 7).all() and (out >= 0).all() and (out <= left).all()
 
 
+@pytest.mark.parametrize("size", [10, 10**3, 10**6, 10**10, 10**14])
+def test_draw_weights_against_exact_fractions(size):
+    import numpy as np
+    from fractions import Fraction
+
+    from cohortspark.functions.draws import log_weight
+
+    for share, taken in ((Fraction(1, 2), Fraction(1, 3)), (Fraction(9, 10), Fraction(1, 1000)), (Fraction(1, 7), Fraction(9, 10))):
+        good, sample = max(int(size * share), 1), max(int(size * taken), 1)
+        bad = size - good
+        low, high = max(0, sample - bad), min(sample, good)
+        begin = min(max(int(Fraction(sample * good, size)) - 40, low), high)
+        ks = list(range(begin, min(begin + 80, high) + 1))
+        weight = log_weight(np.array(ks), *(np.array([x]) for x in (good, bad, sample)))
+        exact = Fraction(1)
+        for i, k in enumerate(ks[1:], 1):
+            # the ratio of neighbours has a closed form
+            exact *= Fraction((good - k + 1) * (sample - k + 1), k * (bad - sample + k))
+            assert weight[i] - weight[0] == pytest.approx(math.log(exact), abs=1e-8, rel=1e-7)
+    # far from the mode as well, where a log factorial of this size would have no digit left
+    good, bad, sample, step = 10**14, 10**14, 10**13, 10**4
+    mode = 5 * 10**12
+    got = log_weight(np.array([mode, mode + step]), *(np.array([x]) for x in (good, bad, sample)))
+    want = math.fsum(
+        math.log1p(float(Fraction((good - k + 1) * (sample - k + 1) - k * (bad - sample + k), k * (bad - sample + k))))
+        for k in range(mode + 1, mode + step + 1)
+    )
+    assert got[1] - got[0] == pytest.approx(want, rel=1e-5, abs=1e-9)
+
+
 def test_monte_carlo_in_blocks_of_levels(spark, monkeypatch):
     cells = spark.createDataFrame(
         [("c", f"l{i}", g, 10 + (i * k) % 7) for i in range(40) for k, g in ((1, "A"), (2, "B"), (3, "C"))],

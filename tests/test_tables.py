@@ -101,6 +101,56 @@ def test_batch(spark, rows):
         batch.run_batch(spark, [batch.Stage("x", "SELECT 1", "shout")])
 
 
+def test_a_load_that_runs_again_replaces_its_own_rows(spark, rows):
+    name = "loads_of_parts"
+    make = lambda *values: spark.createDataFrame([(v, v * 10) for v in values], "a int, b int")
+    try:
+        tables.load_part(make(1, 2), name, "load", "mon")
+        tables.load_part(make(3), name, "load", "tue")
+        assert rows(tables.load_part(make(3), name, "load", "tue")) == [(1, 10, "mon"), (2, 20, "mon"), (3, 30, "tue")]
+        assert rows(tables.load_part(make(5).select("b", "a"), name, "load", "mon")) == [(3, 30, "tue"), (5, 50, "mon")]
+        assert rows(tables.load_part(make(1).where("a > 1"), name, "load", "mon")) == [(3, 30, "tue")]
+        stages = [batch.Stage(name, f"SELECT a + 1 AS a, b FROM {name} WHERE load = 'tue'", "load", ("load", "wed"))]
+        for _ in range(2):
+            out = batch.run_batch(spark, stages)[name]
+        assert rows(out) == [(3, 30, "tue"), (4, 30, "wed")]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    finally:
+        tables.drop_tables(spark, name)
+    with pytest.raises(ValueError):
+        batch.run_batch(spark, [batch.Stage("x", "SELECT 1 AS a", "load")])
+
+
+def test_a_report_is_small(spark, tmp_path):
+    with pytest.raises(ValueError, match="at most 10 rows"):
+        tables.save_report(spark.range(11), str(tmp_path / "r"), most=10)
+    tables.save_report(spark.range(10), str(tmp_path / "r"), most=10)
+    assert spark.read.csv(str(tmp_path / "r"), header=True).count() == 10
+
+
+def test_calendar_over_years(spark):
+    import datetime as dt
+
+    got = {(r.date, r.date_scale): r.date_rk for r in refdata.calendar(spark, "2019-12-28", "2021-01-05").collect()}
+    weeks = []
+    day = dt.date(2019, 12, 28)
+    while day <= dt.date(2021, 1, 5):
+        if day.isocalendar()[:2] not in weeks:
+            weeks.append(day.isocalendar()[:2])
+        assert got[day, "date_week"] == weeks.index(day.isocalendar()[:2]) + 1
+        day += dt.timedelta(1)
+    assert len(weeks) == 55
+
+
+def test_grid_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(rs, "_GRID_LEVELS", 4)
+    df = spark.range(300).select((F.col("id") % 23).cast("string").alias("a"), F.when(F.col("id") % 7 > 0, F.col("id") % 13).alias("b"))
+    got = {(r.row, r.col): r.n for r in rs.crosstab(df, "a", "b").collect()}
+    assert len(got) == 23 * 13 and sum(got.values()) == df.where("b IS NOT NULL").count()
+    assert all(got[r.a, r.b] == r["count"] for r in df.where("b IS NOT NULL").groupBy("a", "b").count().collect())
+    assert "collect_set" not in rs.crosstab(df, "a", "b")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_pages(spark):
     df = spark.range(2005).select((F.col("id") * 7 % 2005).alias("k"))
     paged = rk.row_pages(df, ["k"])
@@ -130,6 +180,39 @@ def test_quantiles_equal_the_builtin(spark, by):
         assert got[tuple(r[c] for c in by)] == pytest.approx(r["q"], abs=1e-9)
 
 
+def test_quantiles_of_odd_numbers(spark):
+    """Both zeros, the smallest and largest numbers, neighbours, infinities, powers of two and what is beside them."""
+    import math
+    import random
+
+    draw = random.Random(1)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308]
+    values += [math.inf, -math.inf, 1.0, math.nextafter(1, 2), math.nextafter(1, 0)]
+    for e in range(-1074, 1024, 31):
+        x = math.ldexp(1.0, e)
+        values += [x, math.nextafter(x, math.inf), math.nextafter(x, 0), -x, x * draw.uniform(1, 2)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    bits = df.select("v", rk.ordered_bits(F.col("v")).alias("b")).collect()
+    ordered = sorted(bits, key=lambda r: r.v)
+    assert all((a.b < b.b) == (a.v < b.v) and (a.b == b.b) == (a.v == b.v) for a, b in zip(ordered, ordered[1:]))
+    n = len(values)
+    wanted = {f"q{i}": i / (n - 1) for i in range(0, n, 17)}
+    got = rk.exact_quantiles(df, "v", {k: p for k, p in wanted.items()}).first().asDict()
+    # a position may lie a rounding error beside a whole one
+    for i, name in zip(range(0, n, 17), wanted):
+        near = [ordered[j].v for j in (i - 1, i, i + 1) if 0 <= j < n]
+        assert any(got[name] == x or math.isclose(got[name], x, rel_tol=1e-9) for x in near)
+
+
+def test_quantiles_are_three_passes_without_a_write(spark, tmp_path):
+    spark.range(5000).select((F.col("id") % 97).cast("double").alias("v"), (F.col("id") % 3).alias("g")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for by in ([], ["g"]):
+        out = rk.exact_quantiles(df, "v", {"a": 0.25, "b": 0.5, "c": 0.9}, by)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 3 and "ExistingRDD" not in plan and "RangePartitioning" not in plan.replace(" ", "")
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert rk.exact_quantiles(df, "v", {"m": 0.5}).collect()[0]["m"] is None

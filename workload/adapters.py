@@ -36,6 +36,8 @@ DUCKDB = Dialect(
 
 # the events lie in January 2024
 SPAN = ("2024-01-01", "2024-02-29")
+# a span of several ISO years
+YEARS = ("1994-12-20", "1997-01-10")
 SINCE = "1998-01-01"
 OBS_SINCE = "2024-01-01"
 
@@ -230,6 +232,16 @@ def view_texts(d: Dialect) -> dict[str, str]:
                    || '<h3><a href="/url?q=' || replace(url, 'http://', 'https://mirror.')
                    || '&sa=U&ved=1">mirror</a></h3>' || html AS html
             FROM $pages""",
+        # the forms that an address may have: quoted once or twice, bare, with characters by name
+        "fx_page_forms": """
+            SELECT page_id, '<!-- <h3><a href="https://comment.org">no</a></h3> -->'
+                   || '<h3><a class="x" ' || CASE page_id % 4
+                      WHEN 0 THEN 'href=''/url?q=' || replace(url, 'http://', 'https://one.') || '&amp;sa=U&amp;ved=1'''
+                      WHEN 1 THEN 'href = "/url?q=' || replace(url, 'http://', 'https://two.') || '&amp;sa=U&amp;ved=1" id=''a'''
+                      WHEN 2 THEN 'href=' || replace(url, 'http://', 'https://bare.') || '?a=1&#38;b=2'
+                      ELSE 'href="' || replace(url, 'https://', 'http://') || '"' END
+                   || '>hit</a></h3>' || html AS html
+            FROM $pages""",
     }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +22,14 @@ from cohortspark.operators import severity as sv
 from cohortspark.operators import sites as si
 from cohortspark.operators.regress import fit_glm, fitted
 from cohortspark.plans import clinical as cl
-from cohortspark.session import checkpointed
+from cohortspark.session import checkpointed, shared_folder
 from cohortspark.sources import refdata
 from cohortspark.sources.batch import Stage, run_batch
-from cohortspark.sources.tables import stack
-from workload.adapters import OBS_SINCE, SINCE, SPAN, Views
-from workload.registry import STEPS, query, r6
+from cohortspark.sources.tables import (
+    append_table, check_required, drop_tables, empty_table, read_parts, read_table, require_tables, save_snapshot, save_table, stack,
+)
+from workload.adapters import OBS_SINCE, SINCE, SPAN, YEARS, Views
+from workload.registry import ORACLE_TEXTS, STEPS, query, r6
 
 WATERFALL = [co.StatusStep(*s) for s in STEPS]
 GROUPS = ["NEG", "PEND", "POS"]
@@ -120,6 +123,23 @@ for _name, _key in (
         f"SELECT e.patid, {_columns} FROM $w_eligible e JOIN $fx_{_key} t ON {_window}",
     )(lambda v, key=_key: r6(ex.extract_events(cohort(v), v(f"fx_{key}"), key)))
 
+
+
+def fresh_table(v: Views, kind: str) -> str:
+    """A name for a stored table; earlier ones of its kind are dropped, so that runs leave one at most."""
+    for row in v.spark.sql(f"SHOW TABLES LIKE 'study_{kind}_*'").collect():
+        drop_tables(v.spark, row["tableName"])
+    return f"study_{kind}_{uuid.uuid4().hex}"
+
+
+@query("labs_window_stored", ORACLE_TEXTS["labs_window"])
+def _(v):
+    """The labs around each stay, from a store laid out by quarter and bucketed by patient and quarter."""
+    name = fresh_table(v, "labs")
+    ex.store_events(v("fx_lab"), name, "result_date", buckets=int(v.spark.conf.get("spark.sql.shuffle.partitions")))
+    return r6(ex.extract_events(cohort(v), name, "lab"))
+
+
 query(
     "labs_window_once",
     f"""SELECT t.patid, {", ".join(f"t.{c}" for c in ex.EVENT_TABLES["lab"].columns)} FROM $fx_lab t
@@ -272,6 +292,62 @@ def _(v):
     return run_batch(v.spark, stages, params)["batch_report"]
 
 
+@query(
+    "status_loads",
+    """SELECT DISTINCT 0 AS step, * FROM $w_step0 UNION ALL SELECT DISTINCT 1, * FROM $w_step1
+       UNION ALL SELECT DISTINCT 2, * FROM $w_step2 UNION ALL SELECT DISTINCT 3, * FROM $w_step3""",
+)
+def _(v):
+    """The status waterfall loaded step by step into one table, the whole batch twice."""
+    v("fx_fact").createOrReplaceTempView("load_facts")
+    v("fx_concept").createOrReplaceTempView("load_concepts")
+    name = fresh_table(v, "status")
+    earlier = " AND NOT EXISTS (SELECT 1 FROM IDENTIFIER(:loads) l WHERE l.patient_num = f.patient_num AND l.step < {step})"
+    stages = [
+        Stage(
+            name,
+            f"""SELECT DISTINCT patient_num, encounter_num, {status} AS pos_confirmed, {lab} AS lab_int
+                FROM load_facts f JOIN (SELECT DISTINCT concept_cd FROM load_concepts
+                                        WHERE concept_path LIKE r'{pattern}' ESCAPE '!') USING (concept_cd)
+                WHERE start_date >= TIMESTAMP_NTZ '{SINCE}'""" + (earlier.format(step=step) if step else ""),
+            "load",
+            ("step", step),
+        )
+        for step, (status, lab, (pattern,)) in enumerate(STEPS)
+    ]
+    for _ in range(2):
+        loaded = run_batch(v.spark, stages, {"loads": name})[name]
+    return loaded.select("step", "patient_num", "encounter_num", "pos_confirmed", "lab_int")
+
+
+@query("study_round_trip", "SELECT * FROM $fx_demo")
+def _(v):
+    """Demographics through a table that is written, added to, checked, saved in parts, read back and dropped."""
+    people, name = v("fx_demo"), fresh_table(v, "people")
+    save_table(people.where("patid % 2 = 0"), name, bucket_by=["patid"], buckets=4)
+    append_table(people.where("patid % 2 <> 0"), name)
+    require_tables(v.spark, name)
+    folder = f"{shared_folder(v.spark)}/{name}"
+    whole = read_table(v.spark, "catalog", name)
+    save_snapshot(whole.where("race <= 'F'"), f"{folder}/1")
+    save_snapshot(whole.where("race > 'F' OR race IS NULL"), f"{folder}/2")
+    drop_tables(v.spark, name)
+    loaded = stack([empty_table(v.spark, people.schema), read_parts(v.spark, [f"{folder}/1", f"{folder}/2"])])
+    return check_required(loaded, people.schema)
+
+
+query(
+    "calendar_ranks_years",
+    """SELECT date_scale, date_rk, count(*) AS n, min(o_orderdate) AS first_day
+       FROM (SELECT cast(o_orderdate AS date) AS o_orderdate FROM $orders) JOIN $w_calendar_years ON o_orderdate = date
+       GROUP BY date_scale, date_rk""",
+)(
+    lambda v: v("orders")
+    .withColumn("date", F.to_date("o_orderdate"))
+    .join(refdata.calendar(v.spark, *YEARS), "date")
+    .groupBy("date_scale", "date_rk")
+    .agg(F.count("*").alias("n"), F.min("date").alias("first_day"))
+)
 query(
     "calendar_ranks",
     """SELECT date_scale, date_rk, count(*) AS n, min(cast(ts AS date)) AS first_day
@@ -710,15 +786,21 @@ query(
         )
     )
 )
-query(
+@query(
     "categorical_profile_report",
     f"""SELECT var, grp, val, cast(n AS varchar) || '; (' || {_text("(prop * 100)", 2)} || '%)' AS label,
-               true AS p_fits FROM $w_cat""",
-)(
-    lambda v: cm.categorical_profile(demo(v), "patient_num", "pos_confirmed", CATEGORICAL, with_p=True).select(
-        "var", "grp", "val", "label", (F.col("p_value").isNull() | F.col("p_value").between(0, 1)).alias("p_fits")
-    )
+               s.fits AS p_fits
+        FROM $w_cat LEFT JOIN (SELECT var, CASE WHEN least >= 5 THEN true END AS fits FROM ({_CHISQ}) WHERE df > 0 AND df % 2 = 0) s
+          USING (var)""",
 )
+def _(v):
+    """The profile's simulated p against the limit's tail, as :func:`simulated` does it."""
+    profile = cm.categorical_profile(demo(v), "patient_num", "pos_confirmed", CATEGORICAL, with_p=True)
+    tail = F.col("tail")
+    near = F.abs(F.col("p_value") - tail) <= 4 * F.sqrt(tail * (1 - tail) / 2000) + 2.0 / 2000
+    return profile.join(simulated(v).select("var", "tail", "agrees"), "var", "left").select(
+        "var", "grp", "val", "label", F.when(F.col("agrees").isNotNull(), near).alias("p_fits")
+    )
 
 
 @query(
@@ -1130,3 +1212,14 @@ query(
                lambda u: contains(u, 'https:'))[1] AS first
              FROM $fx_page)""",
 )(lambda v: v("fx_page").select("page_id", sc.first_secure_link(F.col("html")).alias("link")))
+query(
+    "first_secure_link_forms",
+    r"""SELECT page_id, regexp_replace(regexp_replace(first, '&sa=U.*$', '', 's'), '^.*https://', 'https://', 's')
+                AS link
+       FROM (SELECT page_id, list_filter(list_transform(flatten(list_transform(
+               regexp_extract_all(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(?is)<h3\b[^>]*>(.*?)</h3>', 1),
+               lambda h: regexp_extract_all(h, '(?is)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s>]+)', 1))),
+               lambda u: replace(replace(trim(u, '"'''), '&#38;', '&'), '&amp;', '&')),
+               lambda u: contains(u, 'https:'))[1] AS first
+             FROM $fx_page_forms)""",
+)(lambda v: v("fx_page_forms").select("page_id", sc.first_secure_link(F.col("html")).alias("link")))

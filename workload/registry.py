@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from cohortspark.session import tune
 from cohortspark.sources import refdata
-from workload.adapters import Views, duckdb_sql
+from workload.adapters import SPAN, YEARS, Views, duckdb_sql
 from workload.newton import glm_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: the oracles as they were written, with ``$view`` names
+ORACLE_TEXTS: dict[str, str] = {}
 
 
 def query(name: str, oracle: str | None = None):
@@ -26,6 +28,7 @@ def query(name: str, oracle: str | None = None):
 
         QUERIES[name] = run
         if oracle is not None:
+            ORACLE_TEXTS[name] = oracle
             ORACLES[name] = duckdb_sql(oracle, ORACLE_VIEWS)
         return fn
 
@@ -104,18 +107,24 @@ ORACLE_VIEWS = {
         refdata.WHITE_CELL_RANGES,
         "wbc_type, lab_name, component_id, normal_low, normal_high, normal_lowp, normal_highp",
     ),
-    "w_days": """
-        SELECT cast(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-29', INTERVAL 1 DAY)) AS date)
+    **{
+        view: text
+        for suffix, (first, last) in {"": SPAN, "_years": YEARS}.items()
+        for view, text in {
+            f"w_days{suffix}": f"""
+        SELECT cast(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS date)
                  AS date""",
-    "w_calendar_wide": """
+            f"w_calendar_wide{suffix}": f"""
         SELECT date, dense_rank() OVER (ORDER BY date) AS date_daily,
-               dense_rank() OVER (ORDER BY week(date)) AS date_week, month(date) AS date_month
-        FROM $w_days""",
-    "w_calendar": """
-        SELECT date, 'date_daily' AS date_scale, date_daily AS date_rk FROM $w_calendar_wide
-        UNION ALL SELECT date, 'date_week', date_week FROM $w_calendar_wide
-        UNION ALL SELECT date, 'date_biweek', date_week // 2 + 1 FROM $w_calendar_wide
-        UNION ALL SELECT date, 'date_month', date_month FROM $w_calendar_wide""",
+               dense_rank() OVER (ORDER BY isoyear(date), week(date)) AS date_week, month(date) AS date_month
+        FROM $w_days{suffix}""",
+            f"w_calendar{suffix}": f"""
+        SELECT date, 'date_daily' AS date_scale, date_daily AS date_rk FROM $w_calendar_wide{suffix}
+        UNION ALL SELECT date, 'date_week', date_week FROM $w_calendar_wide{suffix}
+        UNION ALL SELECT date, 'date_biweek', date_week // 2 + 1 FROM $w_calendar_wide{suffix}
+        UNION ALL SELECT date, 'date_month', date_month FROM $w_calendar_wide{suffix}""",
+        }.items()
+    },
     "w_coded": "SELECT o.*, m.code FROM $fx_obs o JOIN $fx_code_map m ON o.concept_cd = m.i2b2_code",
     "w_mv_rows": """
         SELECT c.patient_num, c.encounter_num, c.code, c.start_date, s.icu_stay_end_dttm
