@@ -19,7 +19,7 @@ from cohortspark.llm.common import appended, hash_order
 
 UNKNOWN, GAP = 0, 1  # symbols: a letter that no sample has; all that is no letter
 ROOT = 1  # state 0 means: no such transition
-#: symbols after which a parse starts anew, so that all parts of a long text are parsed side by side
+#: symbols of a text that are parsed one after the other; blocks of a long text side by side
 BLOCK = 512
 
 
@@ -139,40 +139,65 @@ class Parser:
         keep[1:] |= ~gap[:-1]
         return out[keep], bool(self.letter[points].any())
 
-    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """phrases[language, text]"""
+    def phrases(self, texts: list[np.ndarray], block: int = BLOCK) -> np.ndarray:
+        """phrases[language, text] of the one parse of each whole text, whatever ``block`` is.
+
+        Each block of a text is parsed from its own first symbol, all blocks side by side; then each
+        parse runs on over the blocks behind its own until it begins a phrase where the parse of such a
+        block does, from where on both are the same. So the parse of a text is put together from those
+        of its blocks, each from the place where the one before it met it.
+        """
         sizes = np.array([len(t) for t in texts], np.int64)
-        parts = (sizes + BLOCK - 1) // BLOCK
-        owner = np.repeat(np.arange(len(texts)), parts)
         out = np.zeros((len(self.model.tables), len(texts)))
-        if not len(owner):
+        if not sizes.sum():
             return out
-        joined = np.concatenate(texts)
-        place = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
-        begin = (np.cumsum(sizes) - sizes)[owner] + place * BLOCK
-        size = np.minimum(sizes[owner] - place * BLOCK, BLOCK)
-        order = np.argsort(-size, kind="stable")
-        begin, size, owner = begin[order], size[order], owner[order]
-        joined = np.concatenate([joined, np.zeros(BLOCK, np.int32)])
-        active = np.searchsorted(-size, -np.arange(1, size[0] + 1), "right")
+        ends = np.cumsum(sizes)
+        joined = np.concatenate([*texts, np.zeros(1, np.int32)])
+        blocks = -(-sizes // block)
+        text = np.repeat(np.arange(len(texts)), blocks)
+        place = np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        begin = (ends - sizes)[text] + place * block
+        stop = np.minimum(begin + block, ends[text])
+        order = np.argsort(begin - stop, kind="stable")
+        active = np.searchsorted((begin - stop)[order], -np.arange(1, int((stop - begin).max()) + 1), "right")
         for k, table in enumerate(self.model.tables):
             first = table.next(ROOT, np.arange(len(self.model.letters) + 2, dtype=np.int32))
-            state = np.full(len(owner), ROOT, np.int32)
-            count = np.zeros(len(owner), np.int32)
-            for t, n in enumerate(active.tolist()):
-                symbol = joined[begin[:n] + t]
-                now = state[:n]
-                to = table.next(now, symbol)
-                ended = np.flatnonzero(to == 0)
-                count[ended] += now[ended] != ROOT
+
+            def step(state: np.ndarray, symbol: np.ndarray, table: Table = table, first: np.ndarray = first):
+                """The states behind a symbol, and whether a phrase begins with it."""
+                to = table.next(state, symbol)
+                ended = to == 0
                 again = first[symbol[ended]]
-                single = again == 0
-                count[ended] += single
-                again[single] = ROOT
+                again[again == 0] = ROOT  # a symbol that the sample lacks is a phrase of its own
                 to[ended] = again
-                state[:n] = to
-            count += state != ROOT
-            out[k] = np.bincount(owner, weights=count, minlength=len(texts))
+                return to, ended | (state == ROOT)
+
+            state = np.full(len(text), ROOT, np.int32)
+            begins = np.zeros(len(joined), bool)  # phrases of each block's own parse
+            for t, n in enumerate(active.tolist()):
+                own = order[:n]
+                at = begin[own] + t
+                state[own], begins[at] = step(state[own], joined[at])
+            # every parse runs on to where it meets another, or to the end of the text
+            meets, more = ends[text].copy(), np.zeros(len(text), np.int64)
+            going = np.flatnonzero(stop < ends[text])
+            at = stop[going]
+            while len(going):
+                state[going], new = step(state[going], joined[at])
+                met = new & begins[at]
+                meets[going[met]] = at[met]
+                more[going] += new & ~met
+                keep = ~met & (at + 1 < ends[text[going]])
+                going, at = going[keep], at[keep] + 1
+            # from the first block of each text along the places where parses meet
+            before = np.concatenate([[0], np.cumsum(begins)])
+            now = np.flatnonzero(place == 0)
+            since = begin[now]
+            while len(now):
+                out[k] += np.bincount(text[now], before[stop[now]] - before[since] + more[now], len(texts))
+                on = meets[now] < ends[text[now]]
+                now, since = now[on], meets[now[on]]
+                now = now + (since - begin[now]) // block
         return out
 
 
@@ -189,9 +214,10 @@ def learn(
     held = held_out if held_out is not None else F.lit(False)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), held.alias("held"))
     rows = rows.where("text is not null and lang is not null and not coalesce(held, false)").drop("held")
-    # texts stay where they are until the rows are chosen by id and language alone
+    # texts stay where they are until the rows are chosen by id and language alone, and unchosen rows
+    # as well: the shares are one number for each language, of which the driver holds a model
     named = rows.select("doc_id", "lang")
-    share = named.groupBy("lang").agg((F.lit(4.0 * pieces) / F.count("*")).alias("share"))
+    share = F.broadcast(named.groupBy("lang").agg((F.lit(4.0 * pieces) / F.count("*")).alias("share")))
     chosen = hash_order("doc_id", F.lit("language"))
     first = Window.partitionBy("lang").orderBy("u", "doc_id")
     named = named.join(share, "lang").where(chosen < F.col("share")).select("lang", "doc_id", chosen.alias("u")).distinct()
@@ -264,5 +290,5 @@ def predict(
 
 
 def fold(doc_id: str = "doc_id") -> F.Column:
-    """Whether a document is held out: crc32 of its id as text is divisible by 5."""
-    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+    """Whether a document is held out: crc32 of its id as text is divisible by 5; not without an id."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

@@ -14,6 +14,7 @@ occur twice somewhere. Neither drops a repeat.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,10 @@ SAMPLED = np.uint64((1 << 64) // 16)  # grams with a smaller hash are counted
 #: occurrences of a gram from which on its windows are dealt out by a second gram as well
 HOT = 200
 BLOCK = 20  # bytes of a symbol
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
+PART_BYTES = 4 << 20  # of the corpus to a part: grams and windows go to parts by hash
+#: shards, or blocks of them, whose windows are merged together
+FAN = 1000
 BLOCK_BYTES = 1 << 18  # of a shard that are hashed at once, or one text
 VERDICT = "__repeats_"  # begins the names of inner columns beside those of the caller
 BASE = np.uint64(0xD1342543DE82EF95)
@@ -380,8 +384,12 @@ def _span_rows(doc: np.ndarray, start: np.ndarray, classes: list[bytes], width:
     ]
 
 
-def _merged(table: pa.Table, width: int, limit: int = 1 << 20) -> pa.Table:
-    """Spans of the repeated windows of a part: merges its shards' transforms, some grams at a time."""
+def _merged(table: pa.Table, width: int, last: bool = True, limit: int = 1 << 18) -> pa.Table:
+    """Spans of the repeated windows of a part: merges its shards' transforms, some grams at a time.
+
+    If this is not the ``last`` merge, the windows that are left, each once, go on with the spans, as
+    those of one block.
+    """
     shards = []
     for orders, runs, data, names in zip(*(table.column(c).to_pylist() for c in ("orders", "runs", "data", "class")), strict=True):
         orders = np.frombuffer(orders, np.int64).reshape(-1, 3)
@@ -390,11 +398,18 @@ def _merged(table: pa.Table, width: int, limit: int = 1 << 20) -> pa.Table:
         shards.append((orders, runs, np.frombuffer(data, np.uint8), names))
     orders = np.concatenate([s[0] for s in shards])
     names = np.concatenate([s[3] for s in shards])
-    classes, which = np.unique(names.view(np.uint64).reshape(-1, 2), axis=0, return_inverse=True)
-    which = which.ravel()
+    # classes in the order of their bytes
+    halves = names.view(">u8").astype(np.uint64).reshape(-1, 2)
+    by = np.lexsort((halves[:, 1], halves[:, 0]))
+    new = np.ones(len(by), bool)
+    new[1:] = (halves[by][1:] != halves[by][:-1]).any(axis=1)
+    classes = names[by[new]]
+    which = np.empty(len(by), np.int64)
+    which[by] = np.cumsum(new) - 1
     runs = np.concatenate([s[1] for s in shards])
     data = np.concatenate([s[2] for s in shards])
     of = np.repeat(np.arange(len(shards)), [len(s[1]) for s in shards])
+    del shards
     sizes = runs + width - 1
     starts = np.cumsum(sizes) - sizes
     # rank of a segment's first window in the order of the corpus
@@ -411,7 +426,8 @@ def _merged(table: pa.Table, width: int, limit: int = 1 << 20) -> pa.Table:
     batch = np.repeat(np.cumsum(weight) // limit, np.diff(np.append(begins, len(by))))
     single = np.repeat(alone, np.diff(np.append(begins, len(by))))
     by, batch = by[~single], batch[~single]
-    doc, start = [], []
+    window = np.cumsum(runs) - runs  # number of a segment's first window
+    repeated = np.zeros(runs.sum(), bool)
     for part in np.split(by, np.flatnonzero(np.diff(batch)) + 1) if len(by) else []:
         part = np.sort(part)
         groups, members = [], []
@@ -420,14 +436,42 @@ def _merged(table: pa.Table, width: int, limit: int = 1 << 20) -> pa.Table:
             groups.append((data[at], runs[own], rank[own]))
             members.append(own)
         for own, again in zip(members, repeated_windows(groups, width), strict=True):
-            segment = np.repeat(own, runs[own])
-            local = np.arange(len(segment)) - np.repeat(np.cumsum(runs[own]) - runs[own], runs[own])
-            doc.append(which[segment[again]])
-            start.append((orders[segment, 1] + local)[again])
-    doc, start = np.concatenate([np.zeros(0, np.int64), *doc]), np.concatenate([np.zeros(0, np.int64), *start])
+            repeated[np.arange(len(again)) + np.repeat(window[own] - (np.cumsum(runs[own]) - runs[own]), runs[own])] = again
+    segment = np.repeat(np.arange(len(runs)), runs)
+    local = np.arange(len(segment)) - window[segment]
+    doc, start = which[segment[repeated]], (orders[segment, 1] + local)[repeated]
     order = np.lexsort((start, doc))
     rows = _span_rows(doc[order], start[order], [c.tobytes() for c in classes], width)
-    return pa.table({k: pa.array([r[k] for r in rows], pa.binary()) for k in ("class", "begins", "ends")})
+    if not last and not repeated.all():
+        left = np.flatnonzero(~repeated)
+        new = np.ones(len(left), bool)
+        new[1:] = (left[1:] != left[:-1] + 1) | (segment[left][1:] != segment[left][:-1])
+        at = np.flatnonzero(new)
+        kept = np.diff(np.append(at, len(left)))
+        own, skip = segment[left[at]], local[left[at]]
+        sizes = kept + width - 1
+        place = np.arange(sizes.sum()) + np.repeat(starts[own] + skip - (np.cumsum(sizes) - sizes), sizes)
+        rows.append(
+            {
+                "part": table.column("part")[0].as_py(),
+                "shard": table.column("shard")[0].as_py() // FAN,
+                "orders": np.column_stack([orders[own, 0], orders[own, 1] + skip, orders[own, 2]]).tobytes(),
+                "runs": kept.astype(np.int64).tobytes(),
+                "data": data[place].tobytes(),
+                "class": names[own].tobytes(),
+            }
+        )
+    return _segment_table(rows)
+
+
+def _merging(width: int, last: bool):
+    return lambda table: _released(_merged(table, width, last))
+
+
+def _released(out: pa.Table) -> pa.Table:
+    """``out``, after Arrow has given back the memory that it holds for later use."""
+    pa.default_memory_pool().release_unused()
+    return out
 
 
 def _joined(batches):
@@ -458,44 +502,59 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Other columns stay, but for those of the three names.
 
     Texts are first named by hash, and only the first of equal ones goes on. Shards are hashed by
-    doc_id, of about eight megabytes, or one text.
+    doc_id, of about four megabytes, or one text of any length. Windows of more than a thousand shards
+    are merged a thousand shards at a time, then a thousand blocks of them, and so on, so a passage that
+    most shards hold is one window of a block when the next merge meets it.
     """
     spark = docs.sparkSession
     docs = without(docs, ["n_bytes", "spans", "copy"])
-    work, parts = Scratch(spark, "repeats"), parallelism(spark)
+    work = Scratch(spark, "repeats")
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("class"))
-    rows = work.keep(named.select("doc_id", "class", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")))
+    # rows alike in id and text are one from here on, so that no later join meets them again and again
+    rows = work.keep(named.select("doc_id", "class", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")).distinct())
     firsts = work.keep(rows.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n")))
     total = firsts.agg(F.sum("n")).first()[0] or 0
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, math.ceil(total / SHARD_BYTES)))).cast("int").alias("shard")
+    # shards and parts grow in number with the bytes, and not in size
+    shards = max(1, math.ceil(total / SHARD_BYTES))
+    parts = max(parallelism(spark), math.ceil(total / PART_BYTES))
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard")
     wanted = firsts.where(F.col("n") >= width).select(shard, "doc_id", "class")
     texts = named.where(F.octet_length("text") >= width).select(shard, "doc_id", "text", "class")
     sent = texts.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(
-        lambda a, b: _counted(a, b, width, parts), "part int, shard int, grams binary, times binary"
+        lambda a, b: _released(_counted(a, b, width, parts)), "part int, shard int, grams binary, times binary"
     )
-    told = work.keep(sent.groupBy("part").applyInArrow(_told, "shard int, part int, flags binary"))
+    told = work.keep(sent.groupBy("part").applyInArrow(lambda t: _released(_told(t)), "shard int, part int, flags binary"))
     work.release()
     side = told.select("shard", "part", "flags", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("class")).union(
         wanted.select("shard", F.lit(None).cast("int"), F.lit(None).cast("binary"), "doc_id", "class")
     )
     runs = work.keep(
-        texts.groupBy("shard").cogroup(side.groupBy("shard")).applyInArrow(lambda a, b: _segments(a, b, width, parts), SEGMENTS)
+        texts.groupBy("shard").cogroup(side.groupBy("shard")).applyInArrow(lambda a, b: _released(_segments(a, b, width, parts)), SEGMENTS)
     )
     work.drop(told)
     work.release()
-    spans = runs.where("part is not null").groupBy("part").applyInArrow(lambda t: _merged(t, width), "class binary, begins binary, ends binary")
-    spans = work.keep(spans.union(runs.where("part is null").select("class", "begins", "ends")))
-    work.drop(runs)
-    work.release()
+    layers, blocks = [runs], shards
+    while True:
+        last = blocks <= FAN
+        keys = ["part"] if last else ["part", F.floor(F.col("shard") / FAN).alias("block")]
+        left = layers[-1].where("part is not null").groupBy(*keys)
+        layers.append(work.keep(left.applyInArrow(_merging(width, last), SEGMENTS)))
+        if last:
+            break
+        blocks = math.ceil(blocks / FAN)
+    spans = reduce(DataFrame.union, (layer.where("part is null").select("class", "begins", "ends") for layer in layers))
     whole = spans.groupBy("class").agg(F.collect_list(F.struct("begins", "ends")).alias("parts"))
     whole = whole.mapInArrow(_joined, "class binary, spans array<struct<start:bigint,size:bigint>>")
     whole = work.keep(firsts.select("class", "doc_id").join(whole, "class").select("doc_id", "class", "spans"))
+    work.drop(*layers)
+    work.release()
+    # written without an aggregate behind it, so that adaptive execution can split a large group of copies
     later = rows.join(firsts.select("class", F.col("doc_id").alias("first")), "class")
-    later = later.where("n > 0 and first is not null and (doc_id is null or doc_id > first)").select("doc_id", "class", F.lit(True).alias("copy")).distinct()
+    later = later.where("n > 0 and first is not null and (doc_id is null or doc_id > first)").select("doc_id", "class", F.lit(True).alias("copy"))
     verdict = work.keep(
         whole.withColumn("copy", F.lit(False)).unionByName(later, allowMissingColumns=True).toDF(*(VERDICT + c for c in ("of", "name", "spans", "copy")))
     )
-    work.drop(spans, rows)
+    work.drop(rows)
     ident = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
     same = F.col(doc_id).cast("long").eqNullSafe(F.col(VERDICT + "of")) & (ident == F.col(VERDICT + "name"))
@@ -509,37 +568,34 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
-def kept_bytes(text: F.Column, spans: F.Column) -> F.Column:
-    """The bytes of a text outside its spans, as binary."""
-    raw = F.encode(F.coalesce(text, F.lit("")), "utf-8")
-    start = F.struct(F.lit(b"").alias("kept"), F.lit(0).cast("long").alias("at"))
+def _outside(raw: F.Column, spans: F.Column) -> F.Column:
+    """The pieces of some bytes before, between and behind the spans, in hexadecimal."""
 
-    def add(acc: F.Column, span: F.Column) -> F.Column:
-        piece = F.substring(raw, (acc["at"] + 1).cast("int"), (span["start"] - acc["at"]).cast("int"))
-        return F.struct(F.concat(acc["kept"], piece).alias("kept"), (span["start"] + span["size"]).alias("at"))
+    def piece(i: F.Column) -> F.Column:
+        before, span = F.get(spans, i - 1), F.get(spans, i)
+        begin = F.when(i == 0, F.lit(0).cast("long")).otherwise(before["start"] + before["size"])
+        end = F.when(i == F.size(spans), F.octet_length(raw).cast("long")).otherwise(span["start"])
+        return F.hex(F.substring(raw, (begin + 1).cast("int"), (end - begin).cast("int")))
 
-    def rest(acc: F.Column) -> F.Column:
-        return F.concat(acc["kept"], F.substring(raw, (acc["at"] + 1).cast("int"), F.octet_length(raw)))
+    return F.transform(F.sequence(F.lit(0), F.size(spans)), piece)
 
-    return F.when(spans.isNull(), raw).otherwise(F.aggregate(spans, start, add, rest))
 
+def _of_bytes(text: F.Column, make) -> F.Column:
+    """``make`` of the bytes of a text, which are encoded once."""
+    return F.transform(F.array(F.encode(F.coalesce(text, F.lit("")), "utf-8")), make)[0]
 
-def kept_text(text: F.Column, spans: F.Column) -> F.Column:
-    """The text outside its spans; a character that a span cuts goes as a whole."""
-    # one character for each byte
-    raw = F.decode(F.encode(F.coalesce(text, F.lit("")), "utf-8"), "ISO-8859-1")
-    start = F.struct(F.lit("").alias("kept"), F.lit(0).cast("long").alias("at"))
 
-    def whole(piece: F.Column) -> F.Column:
-        cut = r"^[\x80-\xBF]+|(?:[\xC0-\xFF]|[\xE0-\xFF][\x80-\xBF]|[\xF0-\xFF][\x80-\xBF]{2})$"
-        return F.regexp_replace(piece, F.lit(cut), F.lit(""))
-
-    def add(acc: F.Column, span: F.Column) -> F.Column:
-        piece = F.substring(raw, (acc["at"] + 1).cast("int"), (span["start"] - acc["at"]).cast("int"))
-        return F.struct(F.concat(acc["kept"], whole(piece)).alias("kept"), (span["start"] + span["size"]).alias("at"))
+def kept_bytes(text: F.Column, spans: F.Column) -> F.Column:
+    """The bytes of a text outside its spans, as binary; takes time in proportion to the text."""
+    cut = _of_bytes(text, lambda raw: F.unhex(F.array_join(_outside(raw, spans), "")))
+    return F.when(spans.isNull(), F.encode(F.coalesce(text, F.lit("")), "utf-8")).otherwise(cut)
 
-    def rest(acc: F.Column) -> F.Column:
-        piece = F.concat(acc["kept"], whole(F.substring(raw, (acc["at"] + 1).cast("int"), F.length(raw))))
-        return F.encode(piece, "ISO-8859-1").cast("string")
 
-    return F.when(spans.isNull(), text).otherwise(F.aggregate(spans, start, add, rest))
+def kept_text(text: F.Column, spans: F.Column) -> F.Column:
+    """The text outside its spans; a character that a span cuts goes as a whole."""
+    # continuation bytes at the beginning of a piece, and a character at its end that lacks some
+    cut = r"^(?:[89AB].)+|(?:[CDEF].|[EF].[89AB].|F.(?:[89AB].){2})$"
+    whole = _of_bytes(
+        text, lambda raw: F.unhex(F.array_join(F.transform(_outside(raw, spans), lambda h: F.regexp_replace(h, cut, "")), "")).cast("string")
+    )
+    return F.when(spans.isNull(), text).otherwise(whole)

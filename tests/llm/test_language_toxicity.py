@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -41,13 +42,22 @@ def test_phrases_match_a_plain_parser(seed):
     assert got.tolist() == [plain_phrases(squeezed, t) for t in texts]
 
 
-def test_long_texts_are_parsed_whole(spark):
-    model = language.model_of({"x": ["abcabc"], "y": ["xyzxyz"]})
+def test_long_texts_are_parsed_whole():
+    rng = random.Random(8)
+    samples = {"x": "abcabcabdabc", "y": "".join(rng.choices("abcd", k=300)), "z": "a" * 40 + "b"}
+    model = language.model_of({n: [s] for n, s in samples.items()})
     parser = language.Parser(model)
-    text = "abc" * 1000 + "q"
-    many = parser.phrases([parser.symbols(text)[0]])
-    blocks = [text[i : i + language.BLOCK] for i in range(0, len(text), language.BLOCK)]
-    assert many[0, 0] == sum(plain_phrases("abcabc", b) for b in blocks)
+    texts = ["abc" * 1700 + "q", "".join(rng.choices("abcd", k=5000)), "a" * 5000, "ab" * 2500, "q" * 600, "".join(rng.choices("abcq ", k=5000)), "", "a"]
+    texts += ["".join(rng.choices("abcd", k=n)) for n in (6, 7, 8, 63, 64, 65, 127, 128, 129, 511, 512, 513, 1024)]
+    found = parser.symbols
+    want = [[plain_phrases(samples[n], re.sub(" +", " ", t).lstrip()) for t in texts] for n in model.languages]
+    for block in (1, 7, 64, 512, 10_000):
+        assert parser.phrases([found(t)[0] for t in texts], block).tolist() == want
+
+
+def test_no_id_is_not_held_out(documents):
+    got = {r.doc_id: r.held for r in documents([(None, "a"), (1, "b")]).select("doc_id", language.fold().alias("held")).collect()}
+    assert got[None] is False
 
 
 def test_every_letter_of_large_alphabets_counts(documents):

@@ -136,10 +136,12 @@ def repeats_of(docs):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_repeats_are_those_of_brute_force(documents, seed, monkeypatch):
+@pytest.mark.parametrize(("seed", "fan"), [(1, 1000), (2, 2), (3, 3)])
+def test_repeats_are_those_of_brute_force(documents, seed, fan, monkeypatch):
     monkeypatch.setattr(repeats, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(repeats, "PART_BYTES", 2000)
     monkeypatch.setattr(repeats, "HOT", 5)
+    monkeypatch.setattr(repeats, "FAN", fan)
     rng = random.Random(seed)
     letters = "abcdé "
     text = lambda n: "".join(rng.choices(letters, k=n))
@@ -149,6 +151,7 @@ def test_repeats_are_those_of_brute_force(documents, seed, monkeypatch):
         parts = [text(rng.randint(0, 200)), rng.choice(passages), text(rng.randint(0, 80)), rng.choice(passages)]
         rows.append((i, "".join(rng.sample(parts, rng.randint(1, 4)))))
     rows += [(200, rows[3][1]), (-5, rows[4][1]), (201, None), (202, ""), (203, "y" * 99), (204, "y" * 100), (205, "y" * 101), (None, "no id " * 40), (206, "z" * 3000)]
+    rows.append((207, "".join(rng.choices(letters, k=60_000)) + passages[0] + "long " * 40_000))
     got = {r[0]: tuple(r[1:]) for r in repeats_of(documents(rows, extra=True))}
     assert got == brute_repeats(rows)
 
@@ -166,6 +169,24 @@ def test_cut_text_has_whole_characters(documents, spark):
     assert [r[0] for r in rows.select(repeats.kept_text(F.col("text"), F.col("spans"))).collect()] == ["", "ab", "a"]
 
 
+def test_cuts_take_time_in_proportion(spark):
+    """Sixteen times the text with sixteen times the spans; a quadratic cut takes 256 times as long."""
+    import time
+
+    def seconds(spans):
+        rows = spark.range(1).select(F.repeat(F.lit("0123456789é" * 20), spans).alias("text"))
+        where = F.transform(F.sequence(F.lit(0), F.lit(spans - 1)), lambda i: F.struct((i * 240 + 11).cast("long").alias("start"), F.lit(100).cast("long").alias("size")))
+        rows = rows.select("text", where.alias("spans"))
+        begin = time.perf_counter()
+        kept = rows.select(F.length(repeats.kept_text(F.col("text"), F.col("spans"))), F.octet_length(repeats.kept_bytes(F.col("text"), F.col("spans")))).first()
+        assert kept[1] == 140 * spans and kept[0] <= 128 * spans
+        return time.perf_counter() - begin
+
+    seconds(400)
+    small = min(seconds(400) for _ in range(3))
+    assert min(seconds(6400) for _ in range(3)) < 60 * small
+
+
 def test_merge_orders_like_a_sort():
     """The interleave of two transforms is that of the sorted union of their suffixes."""
     rng = np.random.default_rng(8)

@@ -34,6 +34,8 @@ def test_stages(spark, docs):
     now, stages = frame, dict(corpus_pipeline.STAGES)
     now = stages["language"](spark, now, "")
     assert now.columns == frame.columns
+    # the prediction stands where the language was missing, and comes out at the end
+    assert {r["lang"] for r in now.collect()} == {"aa"}
     left = {r["doc_id"] for r in now.collect()}
     assert left == {r[0] for r in rows} - {300, 301, 302}
     now = stages["jaccard"](spark, now, "")
@@ -53,6 +55,7 @@ def test_stages(spark, docs):
     assert set(copies.values()) <= {1, 2} and set(copies) <= set(cut)
     out = stages["encode"](spark, mix, "").collect()
     assert len(out) == sum(copies.values())
+    assert {r["lang"] for r in out} == {"aa"}
     for r in out:
         assert r["n_tokens"] == len(r["ids"])
         assert r["decoded_sha256"] == hashlib.sha256(cut[r["doc_id"]]["text"].encode()).hexdigest()
@@ -65,6 +68,17 @@ def test_language_stage_without_usable_labels(spark, documents, label):
     assert sorted(r["doc_id"] for r in now.collect()) == list(range(30))
 
 
+def test_language_stage_fills_what_is_missing(spark, documents):
+    rng = random.Random(3)
+    kinds = {"aa": ["ka", "to", "mi"], "bb": ["sch", "ein", "ung"]}
+    say = lambda lang: " ".join("".join(rng.choices(kinds[lang], k=3)) for _ in range(20))
+    truth = {i: ("aa", "bb")[i % 2] for i in range(80)}
+    docs = documents([(i, say(lang), lang if i % 3 else None) for i, lang in truth.items()], extra=True)
+    now = dict(corpus_pipeline.STAGES)["language"](spark, docs, "")
+    assert now.columns == docs.columns
+    assert {r["doc_id"]: r["lang"] for r in now.collect()} == truth
+
+
 def test_jaccard_stage_tells_texts_of_one_id_apart(spark, documents):
     first, other = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
     rows = [(1, first), (2, first + " end"), (2, other), (2, None), (3, first), (3, first), (None, first)]
@@ -91,6 +105,6 @@ def test_query(spark, name):
         assert count == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
 
 
-def test_ten_operators_and_the_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 11))
+def test_thirteen_operators_and_the_pipeline():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in queries.QUERIES
