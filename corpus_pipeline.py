@@ -20,13 +20,16 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any language: null texts, texts without a letter.
+    """Drops documents without any language, and fills a null ``lang`` with the predicted one.
 
-    What the labels are, or that there are none, drops nothing.
+    Null and empty texts and those without a letter go; what the labels are, or that there are none,
+    drops nothing. Without a usable label there is no prediction, and null stays null.
     """
     model = language.learn(docs, held_out=language.fold())
-    fields, has = (unique_name(docs, "lang_pred"), unique_name(docs, "lang_score")), unique_name(docs, "lettered")
-    return language.predict(docs, model, fields=fields, lettered=has).where(F.col(has)).drop(*fields, has)
+    found, odds, has = unique_name(docs, "lang_pred"), unique_name(docs, "lang_score"), unique_name(docs, "lettered")
+    out = language.predict(docs, model, fields=(found, odds), lettered=has).where(F.col(has))
+    predicted = F.when(F.col(found) != "und", F.col(found))
+    return out.select(*(F.coalesce(F.col(c), predicted).alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +56,10 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts passages of 100 bytes that occur earlier; a document of which nothing is left goes."""
+    """Cuts passages of 100 bytes that occur earlier; a document of which nothing is left goes.
+
+    Null and empty texts stay: nothing of them is cut. ``n_chars`` follows the text.
+    """
     own = ("doc_id", "text")
     rest = unique_name(docs, "rest")
     others = [c for c in docs.columns if c not in own]
@@ -72,12 +78,18 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the balanced mix of sources takes it."""
+    """Each document as often as the balanced mix of sources takes it.
+
+    Null, empty and blank texts weigh nothing and stay once. A null source is a source of its own.
+    """
     return mixing.repeated(mixing.mixed(docs), unique_name(docs, "mix"))
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each text, and a digest of what they decode to."""
+    """Ids of each text, and a digest of what they decode to, with the document's language and source.
+
+    A null text counts as empty: the end id alone. Other columns of the caller go.
+    """
     model = public_tokenizers.path("piece_bpe_32k.model")
     out = pieces_encoding.encode_documents(docs.select("doc_id", "lang", "source", "text"), model, fields=("n_tokens", "ids", "decoded"))
     return out.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
