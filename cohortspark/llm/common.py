@@ -47,7 +47,6 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         self.count = 0
-        self.tables: list[str] = []
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -65,12 +64,13 @@ class Scratch:
         path = f"{self.folder}/{self.count}"
         df.repartition(n, key).write.bucketBy(n, key).option("path", path).saveAsTable(name)
         out = self.spark.table(name)
-        out._scratch_path = path
-        self.tables.append(name)
+        out._scratch_path, out._scratch_table = path, name
         return out
 
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
+            if name := getattr(df, "_scratch_table", None):
+                self.spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
             path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ from cohortspark.llm.words import hashed_words, shingles
 
 PIECE = 1 << 22  # bytes of text whose tokens a task deals out together
 BLOCK = 1 << 19  # bytes of text that are hashed at once, or one text
+PART = 1 << 22  # bytes of the corpus to a part: tokens go to parts by hash
 #: from this many sets on a token is frequent
 FREQUENT = 64
 
@@ -122,6 +123,17 @@ def _repeated(token: np.ndarray) -> np.ndarray:
     return out
 
 
+def _freeing(run):
+    """``run`` (a table to a table), after which Arrow gives back the memory that it holds for later use."""
+
+    def call(table: pa.Table) -> pa.Table:
+        out = run(table)
+        pa.default_memory_pool().release_unused()
+        return out
+
+    return call
+
+
 def _survey(docs: DataFrame, width: int, rule: Rule, parts: int, work: Scratch) -> DataFrame:
     """Names and sizes of all sets, and how many tokens of a set's hash-ordered prefix others have too.
 
@@ -188,8 +200,8 @@ def _survey(docs: DataFrame, width: int, rule: Rule, parts: int, work: Scratch)
         shared = shared.astype(np.int64) + rows.column("shared").to_numpy()
         return rows.select(["doc_id", "name", "short", "n"]).append_column("shared", pa.array(shared, pa.int64()))
 
-    answers = docs.mapInArrow(send, SENT).groupBy("part").applyInArrow(count, SENT)
-    return work.keep(answers.groupBy("piece").applyInArrow(total, "doc_id bigint, name binary, short bigint, n bigint, shared bigint"))
+    answers = docs.mapInArrow(send, SENT).groupBy("part").applyInArrow(_freeing(count), SENT)
+    return work.keep(answers.groupBy("piece").applyInArrow(_freeing(total), "doc_id bigint, name binary, short bigint, n bigint, shared bigint"))
 
 
 def _packed_sets(piece: pa.RecordBatch, width: int, parts: int) -> Iterator[pa.RecordBatch]:
@@ -320,6 +332,33 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule, work: Scratch) -> D
     return one.join(hubs, "b").select("a", "b", "x", "y").mapInArrow(test, "a binary, b binary")
 
 
+def _apart(lists: DataFrame, sets: DataFrame, rule: Rule, near: Column, work: Scratch) -> DataFrame:
+    """Pairs (a, b) of sets in different components of which some sets share a key, but for those that a bound rules out.
+
+    Sets that have a long passage in common share hundreds of keys. So keys only tell which components
+    meet, each of a key's components once; the sets of two that do then meet a single time.
+    """
+    still = lists.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
+    left = work.keep(lists.join(still, "key", "left_semi"))
+    of = left.select("key", "root").distinct()
+    # components that meet in many keys with the same company count in one of them
+    company = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("root")), F.bit_xor(F.xxhash64("root", F.lit(1)))).alias("company")
+    once = work.keep(of.groupBy("key").agg(company).groupBy("company").agg(F.min("key").alias("key")).select("key"))
+    of = work.keep(of.join(once, "key", "left_semi"))
+    meet = of.join(of.withColumnRenamed("root", "to"), "key").where("root < to").select("root", "to").distinct()
+    meet = work.keep(meet)
+    folded = sets.mapInArrow(_sketches, "name binary, " + ", ".join(f"{w} bigint" for w in _WORDS))
+    members = work.keep(left.select("name", "n", "held", "root").distinct().join(folded, "name"))
+    others = members.select(
+        F.col("name").alias("hub"), F.col("n").alias("m"), F.col("held").alias("theirs"), F.col("root").alias("to"),
+        *(F.col(w).alias("t" + w) for w in _WORDS),
+    )
+    apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col("t" + w))) for w in _WORDS), F.lit(0))
+    near &= (100 + rule.percent) * apart <= (100 - rule.percent) * (F.col("n") + F.col("m"))
+    pairs = meet.join(members, "root").join(others, "to").where(near)
+    return pairs.select(F.least("name", "hub").alias("a"), F.greatest("name", "hub").alias("b"))
+
+
 def named(docs: DataFrame, field: str, text: str = "text", width: int = 5) -> DataFrame:
     """``docs`` with the name of each text's set of shingles: null for an empty set."""
 
@@ -351,14 +390,17 @@ def similar_groups(
        with others to have a similar one at all. Sets that do not are done.
     2. The others' tokens get their exact frequencies among them; keys follow from prefixes.
     3. The sets of a key are first compared with one of them, in ``stars`` rounds with components in
-       between; then every two of different components that share a key. So a group of many copies
-       costs as many comparisons as it has members, and no pair goes untested unless a chain of links
-       joins it already, or a bound on the overlap rules it out: the tokens that nobody else has, and
-       the bits in which folded sets differ.
+       between; then, of different components of which some sets share a key, every two sets, once
+       however many keys there are. So a group of many copies costs as many comparisons as it has
+       members, and no pair goes untested unless a chain of links joins it already, or a bound on the
+       overlap rules it out: the tokens that nobody else has, and the bits in which folded sets differ.
     """
     spark = docs.sparkSession
-    work, rule, parts = Scratch(spark, "jaccard"), Rule(percent), parallelism(spark)
+    work, rule = Scratch(spark, "jaccard"), Rule(percent)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    # parts grow in number with the bytes, and not in size
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(parallelism(spark), -(-total // PART))
     survey = _survey(docs, width, rule, parts, work)
     work.release()
     rows = survey.select("doc_id", "name", "n")
@@ -379,7 +421,7 @@ def similar_groups(
     work.drop(active)
     work.release()
     sets = packed.where("part is null").select("piece", "name", "n", "tokens")
-    times = packed.where("part is not null").groupBy("part").applyInArrow(_frequencies, "piece bigint, part int, counts binary")
+    times = packed.where("part is not null").groupBy("part").applyInArrow(_freeing(_frequencies), "piece bigint, part int, counts binary")
     keys = sets.groupBy("piece").cogroup(times.groupBy("piece")).applyInArrow(
         lambda a, b: _keys(a, b, parts, rule), "key bigint, name binary, n bigint, held bigint"
     )
@@ -401,16 +443,7 @@ def similar_groups(
             hubs = hubs.where("open").select("key", F.col("h.name").alias("hub"), F.col("h.n").alias("m"), F.col("h.held").alias("theirs"), F.col("h.root").alias("to"))
             pairs = lists.join(hubs, "key").where((F.col("root") != F.col("to")) & near).select(F.col("name").alias("a"), F.col("hub").alias("b"))
         else:
-            still = lists.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
-            folded = sets.select("name", "tokens").mapInArrow(_sketches, "name binary, " + ", ".join(f"{w} bigint" for w in _WORDS))
-            left = work.keep(lists.join(still, "key", "left_semi").join(folded, "name"))
-            right = left.select(
-                "key", F.col("name").alias("hub"), F.col("n").alias("m"), F.col("held").alias("theirs"), F.col("root").alias("to"),
-                *(F.col(w).alias("t" + w) for w in _WORDS),
-            )
-            apart = sum((F.bit_count(F.col(w).bitwiseXOR(F.col("t" + w))) for w in _WORDS), F.lit(0))
-            near &= (100 + percent) * apart <= (100 - percent) * (F.col("n") + F.col("m"))
-            pairs = left.join(right, "key").where((F.col("name") < F.col("hub")) & (F.col("root") != F.col("to")) & near).select(F.col("name").alias("a"), F.col("hub").alias("b"))
+            pairs = _apart(lists, sets, rule, near, work)
         pairs = pairs.distinct()
         if tested is not None:
             known = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -423,6 +456,7 @@ def similar_groups(
         roots = components(links, work)
         lists = keys.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     named = work.keep(rows.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name")))
+    work.drop(sets, keys)
     # written: adaptive execution splits a large group's rows only in a join without an aggregate
     first = work.keep(named.where("name is not null").groupBy("root").agg(F.min("doc_id").alias("first")))
     out = named.join(first, "root", "left")

@@ -120,7 +120,9 @@ def learn(
 
     The models are fitted on a bounded sample: ``each`` labelled documents of every category at most,
     and twice as many of none, chosen by hash. The driver gets their distinct word hashes. Words of
-    fewer than ``least`` sampled documents are left out. A document labelled more than once has a
+    fewer than ``least`` sampled documents are left out. Of sampled texts that look like copies of each
+    other (their four least word hashes agree in one of three orders, which a few texts that are none do
+    as well) only the first is learned from; prediction covers every row. A document labelled more than once has a
     category if one of its rows says so. No labelled row: probabilities near 0.
     """
     wanted = F.broadcast(_sample(labels, doc_id, categories, each))  # bounded by ``each``
@@ -184,7 +186,8 @@ def _distinct_words():
 def predict(docs: DataFrame, chain: Chain, text: str = "text", prefix: str = "p_") -> DataFrame:
     """``docs`` with the probability of each category, from the whole text; all rows and columns stay.
 
-    A null text counts as one without words. Equal texts get equal results.
+    A null text counts as one without words. Equal texts get equal results, with any doc_id or none. A
+    task holds about four megabytes of text, or one text of any length.
     """
 
     def make():

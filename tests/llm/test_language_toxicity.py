@@ -132,6 +132,61 @@ def test_chain_finds_categories(documents, spark):
     assert all(r["p_toxic"] < 0.01 for r in toxicity.predict(docs, nothing).collect())
 
 
+def test_a_link_is_a_penalised_logistic_regression():
+    """Against Newton's method on the same scaled words, run to its end."""
+    rng = np.random.default_rng(6)
+    n, width = 500, 12
+    words = rng.random((n, width)) < np.linspace(0.1, 0.6, width)
+    earlier = rng.random((n, 1))
+    y = rng.random(n) < 1 / (1 + np.exp(2 - 3 * words[:, 3] + 2 * words[:, 7] - 1.5 * earlier[:, 0]))
+    doc, word = np.nonzero(words)
+    rows, every = toxicity.Rows(doc, word, n), np.ones(n, bool)
+    link = toxicity._fit("c", rows, width, y, earlier, every, steps=4000)
+    # the scale of a word: log ratio of its shares, zero below the chi-square that counts
+    yes, no = words[y].sum(0) + 0.5, words[~y].sum(0) + 0.5
+    scale = np.log(yes / (y.sum() + 1)) - np.log(no / ((~y).sum() + 1))
+    both = yes + no
+    expected = both * y.mean()
+    scale[(yes - expected) ** 2 / (expected * (1 - y.mean()) * np.maximum(1 - both / n, 0.01)) < toxicity.CHI_SQUARE] = 0
+    assert 0 < (scale != 0).sum() < width
+    x = np.column_stack([np.ones(n), words * scale, earlier])
+    penalty = np.concatenate([[0], np.full(width, 0.02), [0]])
+    w = np.zeros(width + 2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty) + 1e-12 * np.eye(width + 2)
+        w -= np.linalg.solve(hess, x.T @ (p - y) + penalty * w)
+    got = toxicity._probability(toxicity._odds(rows, link, earlier))
+    assert np.abs(got - 1 / (1 + np.exp(-x @ w))).max() < 1e-3
+
+
+def test_later_links_learn_from_predictions_out_of_fold(documents, spark, monkeypatch):
+    """The probabilities a later link is fitted on come from models that have not seen the document."""
+    seen = []
+    fit = toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda name, rows, width, y, earlier, use, **k: seen.append((name, use.copy(), earlier.copy())) or fit(name, rows, width, y, earlier, use, **k))
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(["w%d" % k for k in range(40)], k=15) + (["bad"] if i % 3 == 0 else []))) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 5 == 0)) for i, _ in rows], "doc_id long, a int, b int")
+    toxicity.learn(documents(rows), labels, {"a": F.col("a") == 1, "b": F.col("b") == 1}, folds=3)
+    first, second = [s for s in seen if s[0] == "a"], [s for s in seen if s[0] == "b"]
+    assert [s[1].all() for s in first] == [False, False, False, True]
+    left_out = np.array([~s[1] for s in first[:3]])
+    assert (left_out.sum(0) == 1).all()  # each row is left out of one model, which gives its probability
+    assert all(s[2].shape[1] == 0 for s in first) and all(s[2].shape[1] == 1 for s in second)
+
+
+def test_toxicity_of_long_texts_and_rows_without_id(documents, spark):
+    rows = [(i, "w%d w%d " % (i % 7, i % 11) * 5 + ("vile" if i % 4 == 0 else "fine")) for i in range(200)]
+    odd = [(None, "vile"), (None, "vile"), (900, "w1 " * 200_000 + "vile"), (901, None)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(None, 1)], "doc_id long, toxic int")
+    docs = documents(rows + odd)
+    chain = toxicity.learn(docs, labels, {"toxic": F.col("toxic") == 1})
+    got = [(r.doc_id, r.p_toxic) for r in toxicity.predict(docs, chain).collect()]
+    assert len(got) == len(rows) + len(odd)
+    assert [p >= 0.5 for i, p in got if i in (None, 900)] == [True] * 3 and dict(got)[901] < 0.5
+
+
 def test_word_hashes_depend_on_words_alone():
     def words(texts, between=None, **options):
         raw = [t.encode() for t in texts]

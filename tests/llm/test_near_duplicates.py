@@ -79,6 +79,45 @@ def test_groups_are_those_of_brute_force(documents, seed, monkeypatch):
     assert sorted(map(tuple, out), key=str) == brute_groups(rows)
 
 
+def test_groups_among_many_changed_copies(documents, monkeypatch):
+    """Copies of two texts around the threshold, which share hundreds of keys and link in part only."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 4)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    rows, passage = [], [word() for _ in range(60)]
+    for text in ([word() for _ in range(400)], [word() for _ in range(90)] + passage):
+        for i in range(90):
+            copy = list(text)
+            for _ in range(rng.randint(0, len(text) // 22)):
+                copy[rng.randrange(len(copy))] = word()
+            rows.append(" ".join(copy))
+    rows += [" ".join(passage + [word() for _ in range(rng.randint(0, 25))]) for _ in range(60)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    want = brute_groups(rows)
+    assert 5 < len({r[2] for r in want}) < 200
+    assert sorted(map(tuple, jaccard.similar_groups(documents(rows)).collect()), key=str) == want
+
+
+def test_long_texts_are_grouped_whole(documents):
+    rng = random.Random(13)
+    long = ["w%d" % rng.randrange(50_000) for _ in range(40_000)]
+    near, far = list(long), list(long)
+    for i in range(0, 40_000, 60):
+        near[i] = "x%d" % i  # changes 8 shingles in 100
+    for i in range(20_000, 40_000, 5):
+        far[i] = "y%d" % i  # the second half alone
+    rows = [(i, " ".join(t)) for i, t in enumerate([long, near, far])]
+    got = {r.doc_id: r.component_id for r in jaccard.similar_groups(documents(rows)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
+
+
+def test_no_table_is_left_behind(spark, documents):
+    before = {r.tableName for r in spark.sql("SHOW TABLES").collect()}
+    jaccard.similar_groups(documents(list(enumerate(["a b c d e f g"] * 3)))).count()
+    assert {r.tableName for r in spark.sql("SHOW TABLES").collect()} == before
+
+
 def test_groups_of_nothing(documents):
     out = jaccard.similar_groups(documents([]))
     assert out.columns == ["doc_id", "n_shingles", "component_id"] and out.count() == 0

@@ -121,6 +121,17 @@ def test_mix_of_nothing(documents):
     assert [r["mix"]["copies"] for r in out] == [1, 1, 1]
 
 
+def test_mix_of_rows_without_id_and_of_long_texts(documents):
+    rows = [(None, "a b", "en", "x"), (None, "a b", "en", "x"), (None, None, "en", None), (1, "w " * 150_000, "en", "x"), (2, "w " * 149_000, "en", "y")]
+    rows += [(10 + i, "w " * (i % 90), "en", "xy"[i % 2]) for i in range(400)]
+    out = [r.asDict(recursive=True) for r in mixing.mixed(documents(rows)).collect()]
+    assert len(out) == len(rows)
+    assert sorted(r["mix"]["size"] for r in out if r["doc_id"] in (1, 2)) == [149_000, 150_000]
+    alike = [r["mix"]["copies"] for r in out if r["doc_id"] is None and r["text"]]
+    assert alike[0] == alike[1]
+    assert all(0 <= r["mix"]["copies"] <= 2 for r in out)
+
+
 def test_mix_rows_are_repeated(documents):
     docs = documents([(i, "a b c", "en", s) for i, s in enumerate("abcabcabc")])
     mix = mixing.mixed(docs)
