@@ -33,14 +33,14 @@ def null_safe_join(
     return left.join(renamed, condition, how).drop(*(f"_r_{key}" for key in keys))
 
 
-def _in_ranges(df: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+def _in_ranges(df: DataFrame, by: Sequence[str], *order: str) -> DataFrame:
     """``df`` sorted in ranges of ``by`` and ``order``, with the range's number as ``_bucket``.
 
     The ranges are cut from a sample of the rows themselves, so any distribution is spread evenly
     over tasks, and a group may span ranges. They are written to the checkpoint folder: a task that
     runs again finds its rows in the same range.
     """
-    keys = [*by, order]
+    keys = [*by, *order]
     parts = checkpointed(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
     return parts.withColumn("_bucket", F.spark_partition_id())
 
@@ -82,6 +82,36 @@ def running_totals(
     return joined.drop("_bucket", *(f"_off_{c}" for c in sums))
 
 
+def running_extremes(
+    df: DataFrame,
+    order: Sequence[str],
+    highest: Mapping[str, str],
+    lowest: Mapping[str, str],
+    by: Sequence[str] = (),
+    descending: bool = False,
+) -> DataFrame:
+    """Add, by name, the greatest or least value of a column up to each row in ``order``, equals included.
+
+    A sweep: rows are dealt into ranges of ``by`` and ``order``, the extremes of a group's ranges, one
+    row each, are carried over the ranges behind them, and only the rows of one range are gone through
+    in order. So a group may be of any size. Missing values are passed over.
+    """
+    keys = [*by, "_bucket"]
+    marked = _in_ranges(df, by, *order)
+    turned = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
+    bucket = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
+    before = W.partitionBy(*by).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*keys).orderBy(*turned).rangeBetween(W.unboundedPreceding, W.currentRow)
+    kinds = [(name, c, F.max, F.greatest) for name, c in highest.items()]
+    kinds += [(name, c, F.min, F.least) for name, c in lowest.items()]
+    carried = marked.groupBy(*keys).agg(*(pick(c).alias(f"_in_{name}") for name, c, pick, _ in kinds))
+    carried = carried.select(*keys, *(pick(f"_in_{name}").over(before).alias(f"_off_{name}") for name, _, pick, _ in kinds))
+    out = null_safe_join(marked, carried, keys)
+    return out.select(
+        *df.columns, *(both(pick(c).over(inside), F.col(f"_off_{name}")).alias(name) for name, c, pick, both in kinds)
+    )
+
+
 def ordered_bits(value: Column) -> Column:
     """A whole number for each double, in the same order: its sign, exponent and mantissa.
 

@@ -17,7 +17,7 @@ from cohortspark.functions.scalars import (
     shifted_hours,
     within_or_open,
 )
-from cohortspark.operators.ranks import first_per
+from cohortspark.operators.ranks import first_per, running_extremes
 
 STAY = ["patient_num", "encounter_num"]
 PATIENT_ATTRS = ["pos_confirmed", "hosdead", "age_at_admit", "sex_female"]
@@ -257,8 +257,9 @@ def scored_observations(
     return scores_from(coded_facts(facts, stays, code_map, since), stays, bands, grain)
 
 
-# an observation's day picks one of so many parts of its patient
-_PARTS = 8
+# an observation's day picks one of so many parts of its patient, whose stays and exposures, few
+# against the observations, are in each of them
+_PARTS = 32
 
 
 def banded(
@@ -296,8 +297,9 @@ def scores_from(
     observations then meet a stay by patient and day, so that a patient with
     very many of both does not have every pair of them compared. ``worst`` keeps
     the worst score of an organ at a moment before the join, which is all that
-    :func:`worst_by_horizon` needs. Else observations meet stays by patient and
-    a part of the days, so one patient's pairs are spread over tasks.
+    :func:`worst_by_horizon` needs. Else observations meet stays, and always
+    exposures, by patient and a part of the days, so one patient's pairs are
+    spread over tasks.
     """
     exposure = exposure_from(coded, stays) if exposure is None else exposure
     scored = banded(coded, bands, pressure, pressure_codes)
@@ -312,6 +314,8 @@ def scores_from(
         "icu_length_of_stay_days",
     )
     moment, admitted = F.col("start_date"), F.col("hosp_admsn_dttm")
+    scored = scored.withColumn("_part", F.pmod(F.unix_date(moment.cast("date")), F.lit(_PARTS)))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1)))
     if admission_hours is not None:
         last = admitted + F.expr(f"INTERVAL '{admission_hours * 60 + 30}' MINUTE")
         days = F.sequence(
@@ -321,14 +325,13 @@ def scores_from(
         scored = scored.withColumn("_day", moment.cast("date"))
         met = scored.join(clocks, [*keys, "_day"]).where(moment <= last).drop("_day")
     else:
-        part = F.pmod(F.unix_date(moment.cast("date")), F.lit(_PARTS))
-        parts = F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1)))
-        met = scored.withColumn("_part", part).join(clocks.withColumn("_part", parts), [*keys, "_part"]).drop("_part")
+        met = scored.join(clocks.withColumn("_part", parts), [*keys, "_part"])
     return (
         met.where(moment >= shifted_hours(admitted, -72))
         .withColumn("hr_since_admin", hours_between(admitted, moment))
         .withColumn("hr_since_icu", _icu_hours())
-        .join(exposure, "patient_num", "left")
+        .join(exposure.withColumn("_part", parts), ["patient_num", "_part"], "left")
+        .drop("_part")
         .where(
             F.col("mv_init").isNull() | (F.col("mv_init") >= shifted_hours(moment, -24))
         )
@@ -368,8 +371,7 @@ def initial_from(
     exposed = exposure.groupBy("patient_num").agg(F.max("mv_init").alias("_exposed"))
     scored = (
         banded(coded, bands, pressure, pressure_codes)
-        .join(admitted, "patient_num")
-        .join(exposed, "patient_num", "left")
+        .join(admitted.join(exposed, "patient_num", "left"), "patient_num")
         .where(moment >= shifted_hours(F.col("_admitted"), -72))
         .where(F.col("_exposed").isNull() | (F.col("_exposed") >= shifted_hours(moment, -24)))
     )
@@ -436,6 +438,79 @@ def worst_by_horizon(
     return hourly.withColumn(f"{hour}_cum", until)
 
 
+def cumulative_by_horizon(
+    coded: DataFrame,
+    stays: DataFrame,
+    bands: DataFrame,
+    clock: str = "admit",
+    horizons: int = 12,
+    pressure: DataFrame | None = None,
+    exposure: DataFrame | None = None,
+    pressure_codes: Sequence[str] = ("SBP", "DBP", "MAP"),
+) -> DataFrame:
+    """:func:`worst_by_horizon` with ``cumulative``, of the patient's observations, without any pair.
+
+    Of all stays of a patient with the same attributes, an observation needs only the one that puts it
+    earliest on the clock. Which hour that is follows from running extremes over the stays that have
+    begun: the latest admission; the latest start of intensive care and its least length; for the
+    exposure clock, the latest exposure and the least length of those that start late enough. So the
+    stays, exposures and observations of a patient are swept once in the order of time, in ranges that
+    may cut a patient anywhere, and the work grows with their number, not with that of their pairs.
+    """
+    hour, moment = CLOCKS[clock], F.col("start_date")
+    exposure = exposure_from(coded, stays) if exposure is None else exposure
+    scored = banded(coded, bands, pressure, pressure_codes)
+    scored = scored.groupBy(*STAY, "organ", "start_date").agg(F.max("pat_score").alias("pat_score"))
+    latest = exposure.groupBy("patient_num").agg(F.max("mv_init").alias("_exposed"))
+    scored = scored.join(latest, "patient_num", "left").where(
+        F.col("_exposed").isNull() | (F.col("_exposed") >= shifted_hours(moment, -24))
+    )
+    if clock == "exposure":
+        # exposures come before an observation that is a day later, and the latest of all goes first
+        begun = exposure.select(
+            "patient_num", shifted_hours(F.col("mv_init"), 24).alias("_at"), F.lit(1).alias("_kind"),
+            F.bround("mv_dur_hour").alias("_hours"),
+        )
+        scored = scored.withColumn("_at", moment).withColumn("_kind", F.lit(0)).unionByName(begun, allowMissingColumns=True)
+        scored = running_extremes(scored, ["_at", "_kind"], {}, {"_cap": "_hours"}, ["patient_num"], descending=True)
+        scored = scored.where("organ IS NOT NULL").drop("_at", "_kind", "_hours")
+    owners = stays.select("patient_num", *PATIENT_ATTRS).distinct()
+    seen = scored.join(owners, "patient_num").withColumn("_at", moment).withColumn("_kind", F.lit(1))
+    opened = stays.where("hosp_admsn_dttm IS NOT NULL").select(
+        "patient_num", *PATIENT_ATTRS, shifted_hours(F.col("hosp_admsn_dttm"), -72).alias("_at"), F.lit(0).alias("_kind"),
+        F.col("hosp_admsn_dttm").alias("_admitted"), F.col("icu_stay_start_dttm").alias("_icu"),
+        F.bround(F.col("icu_length_of_stay_days") * 24).alias("_icu_hours"),
+        F.col("icu_stay_start_dttm").isNull().cast("int").alias("_none"),
+    )
+    swept = running_extremes(
+        seen.unionByName(opened, allowMissingColumns=True),
+        ["_at", "_kind"],
+        {"_last": "_admitted", "_last_icu": "_icu", "_no_icu": "_none"},
+        {"_least_icu": "_icu_hours"},
+        ["patient_num", *PATIENT_ATTRS],
+    ).where("organ IS NOT NULL AND _last IS NOT NULL")
+    # a stay without intensive care has every observation at hour 0 of its clock
+    hours = {
+        "admit": hours_between(F.col("_last"), moment),
+        "icu": F.least(
+            F.when(F.col("_no_icu") == 1, F.lit(0.0)).otherwise(F.greatest(hours_between(F.col("_last_icu"), moment), F.lit(0.0))),
+            F.col("_least_icu"),
+        ),
+        "exposure": clamped(hours_between(F.col("_exposed"), moment), F.col("_cap") if clock == "exposure" else F.lit(0.0)),
+    }[clock]
+    owner = [*STAY, *PATIENT_ATTRS]
+    first = F.greatest(hours, F.lit(1.0)).cast("int")
+    worst = swept.where(hours <= horizons).groupBy(*owner, "organ", first.alias("_first")).agg(F.max("pat_score").alias("pat_score"))
+    worst = (
+        worst.withColumn(f"{hour}_cum", F.explode(F.sequence(F.col("_first"), F.lit(horizons))))
+        .groupBy(*owner, "organ", f"{hour}_cum")
+        .agg(F.max("pat_score").alias("pat_score"))
+    )
+    return worst.groupBy(*owner, f"{hour}_cum").agg(
+        F.sum("pat_score").alias("sofa"), F.count(F.lit(1)).alias("organ_scored")
+    )
+
+
 def initial_score(scored: DataFrame) -> DataFrame:
     """Sum over organs of the first score of each, with the latest hour it was taken at."""
     first = first_per(

@@ -144,6 +144,55 @@ def test_cumulative_horizons(result):
     assert got[1] == (2 + 4, 2) and got[12] == (2 + 4 + 3, 3)
 
 
+@pytest.mark.parametrize("clock", ["admit", "icu", "exposure"])
+def test_cumulative_horizons_by_a_sweep(spark, codes, clock, rows):
+    """Equal to the worst scores over all pairs, for patients with many stays, some open, exposures or none."""
+    import random
+
+    draw = random.Random(4)
+    times = lambda: ADMIT + draw.randrange(-2000, 20_000) * dt.timedelta(minutes=7)
+    stays, facts = [], []
+    for patient in range(12):
+        for enc in range(draw.randrange(1, 7)):
+            start, icu = times(), draw.random() < 0.6
+            begin = start + draw.randrange(0, 50) * H if icu else None
+            end = begin + draw.randrange(1, 60) * H if icu and draw.random() < 0.9 else None
+            days = None if end is None else (end - begin).total_seconds() / 86400
+            stays.append(stay(patient, enc, begin, end, days, start if draw.random() < 0.95 else None, draw.randrange(2)))
+            for _ in range(draw.randrange(0, 40)):
+                code, low, high = draw.choice([("PaFiO2", 50, 500), ("plts", 5, 200), ("GCS", 3, 15)])
+                facts.append(fact(patient, enc, code, times(), float(draw.randrange(low, high))))
+            if patient % 3 and begin is not None:
+                facts.append(fact(patient, enc, "Vent_init", begin + draw.randrange(0, 3) * H, 1.0))
+    stays, facts = spark.createDataFrame(stays, STAY_SCHEMA), spark.createDataFrame(facts, FACT_SCHEMA)
+    coded = sv.coded_facts(facts, stays, codes, "2000-01-01")
+    bands = refdata.severity_bands(spark)
+    want = rows(sv.worst_by_horizon(sv.scores_from(coded, stays, bands), clock, cumulative=True))
+    got = sv.cumulative_by_horizon(coded, stays, bands, clock)
+    assert rows(got) == want and len(want) > 40
+
+
+def test_running_extremes_over_ranges(spark):
+    from cohortspark.operators.ranks import running_extremes
+
+    df = spark.range(4000).select(
+        (F.col("id") % 3).alias("g"), F.floor(F.col("id") * 37 % 1009 / 2).alias("t"), F.when(F.col("id") % 5 > 0, F.hash("id")).alias("v"), "id"
+    )
+    held = [r.asDict() for r in df.collect()]
+    for descending in (False, True):
+        out = running_extremes(df, ["t"], {"high": "v"}, {"low": "v"}, ["g"], descending)
+        assert out.columns == ["g", "t", "v", "id", "high", "low"]
+        for r in random_rows(out.collect()):
+            near = [x["v"] for x in held if x["g"] == r.g and (x["t"] >= r.t if descending else x["t"] <= r.t) and x["v"] is not None]
+            assert (r.high, r.low) == (max(near, default=None), min(near, default=None))
+
+
+def random_rows(rows):
+    import random
+
+    return random.Random(1).sample(rows, 150)
+
+
 def test_initial_score(result):
     (row,) = result.initial.collect()
     assert (row["sofa_init"], row["sofa_init_since_admin"]) == (1 + 3 + 4, 12.0)

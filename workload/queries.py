@@ -456,15 +456,23 @@ for _clock, _hour in sv.CLOCKS.items():
                   GROUP BY ALL)
             JOIN (SELECT unnest(range(1, 13))::INT AS k) ks ON {_hour} <= k""",
     )(lambda v, clock=_clock: severity(v).horizons[clock])
-query(
-    "worst_by_horizon_cumulative",
-    """SELECT patient_num, encounter_num, pos_confirmed, hosdead, age_at_admit, sex_female,
-              k AS hr_since_admin_cum, cast(sum(s) AS bigint) AS sofa, count(*) AS organ_scored
+for _name, _clock in (("", "admit"), ("_icu", "icu"), ("_exposure", "exposure")):
+    _hour = sv.CLOCKS[_clock]
+
+    @query(
+        f"worst_by_horizon_cumulative{_name}",
+        f"""SELECT patient_num, encounter_num, pos_confirmed, hosdead, age_at_admit, sex_female,
+              k AS {_hour}_cum, cast(sum(s) AS bigint) AS sofa, count(*) AS organ_scored
        FROM (SELECT patient_num, encounter_num, pos_confirmed, hosdead, age_at_admit, sex_female, organ,
                     k, max(pat_score) AS s
-             FROM $w_scored JOIN (SELECT unnest(range(1, 13))::INT AS k) ks ON hr_since_admin <= k
+             FROM $w_scored JOIN (SELECT unnest(range(1, 13))::INT AS k) ks ON {_hour} <= k
              GROUP BY ALL) GROUP BY ALL""",
-)(lambda v: sv.worst_by_horizon(severity(v).scored, "admit", cumulative=True))
+    )
+    def _(v, clock=_clock):
+        coded = checkpointed(sv.coded_facts(v("fx_obs"), v("fx_stay"), v("fx_code_map"), OBS_SINCE))
+        return sv.cumulative_by_horizon(coded, v("fx_stay"), refdata.severity_bands(v.spark), clock)
+
+
 query("initial_score", "SELECT * FROM $w_initial")(initial)
 
 for _margin in ("row", "col"):
