@@ -344,11 +344,14 @@ def _apart(lists: DataFrame, sets: DataFrame, rule: Rule, near: Column, work: Sc
     # components that meet in many keys with the same company count in one of them
     company = F.struct(F.count(F.lit(1)), F.bit_xor(F.xxhash64("root")), F.bit_xor(F.xxhash64("root", F.lit(1)))).alias("company")
     once = work.keep(of.groupBy("key").agg(company).groupBy("company").agg(F.min("key").alias("key")).select("key"))
-    of = work.keep(of.join(once, "key", "left_semi"))
-    meet = of.join(of.withColumnRenamed("root", "to"), "key").where("root < to").select("root", "to").distinct()
-    meet = work.keep(meet)
     folded = sets.mapInArrow(_sketches, "name binary, " + ", ".join(f"{w} bigint" for w in _WORDS))
     members = work.keep(left.select("name", "n", "held", "root").distinct().join(folded, "name"))
+    # the sets of the smaller component go to those of the larger one
+    size = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    of = work.keep(of.join(once, "key", "left_semi").join(size, "root"))
+    larger = of.select("key", F.col("root").alias("to"), F.col("size").alias("to_size"))
+    meet = of.join(larger, "key").where("size < to_size or (size = to_size and root < to)")
+    meet = work.keep(meet.select("root", "to").distinct())
     others = members.select(
         F.col("name").alias("hub"), F.col("n").alias("m"), F.col("held").alias("theirs"), F.col("root").alias("to"),
         *(F.col(w).alias("t" + w) for w in _WORDS),
