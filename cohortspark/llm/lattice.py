@@ -13,10 +13,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortspark.llm.common import Scratch, mixed
+from cohortspark.llm.common import Scratch, mixed, parallelism
 from cohortspark.llm.graph import components, local_roots
 
 
+#: vectors and keys that a task compares at a time
+BIN_BYTES = 8 << 20
+#: pairs of a cell, or of two blocks of it, from which on they are compared by one matrix product
+MANY = 1 << 14
+
+
 def _d8(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Nearest and second points of the lattice D8 (whole numbers with an even sum)."""
     near = np.rint(x)
@@ -92,9 +98,11 @@ def near_duplicates(
     id and no link), kept marks rows that carry it. Rows of one vec_id each get their own row.
 
     Cells are first counted by key alone; vectors are sent only to cells in which two meet. A cell
-    of more than ``block_rows`` classes is split: every two blocks meet in a task of their own, and
-    tasks give counts and spanning edges, never the pairs. A pair that meets in several cells counts
-    in the first of them, which both vectors' keys tell.
+    of more than ``block_rows`` classes is split, and every two of its blocks meet by themselves. Cells
+    and pairs of blocks are dealt by hash into bins of about eight megabytes, which grow in number with
+    the vectors that meet; a task goes through a bin at once, and gives counts and spanning edges, never
+    the pairs. A pair that meets in several cells counts in the first of them, which both vectors' keys
+    tell.
     """
     spark = vectors.sparkSession
     work = Scratch(spark, "lattice")
@@ -153,12 +161,18 @@ def near_duplicates(
     many = each.where("parts > 1")
     left = many.where(role == 0).select("cell", "class", "place", part.alias("a"), F.explode(others).alias("b"), F.lit(0).alias("side"))
     right = many.select("cell", "class", "place", F.explode(others).alias("a"), part.alias("b"), F.lit(1).alias("side"))
-    meetings = one.union(left).union(right).join(hashes.select("class", "unit", "keys", "weight"), "class")
+    meet = work.keep(one.union(left).union(right))
+    # a row takes its vector and its keys to its bin
+    row_bytes = 8 * ((classes.agg(F.max(F.size("v"))).first()[0] or 0) + tables * (1 + blocks)) + 100
+    bins = max(parallelism(spark), -(-meet.count() * row_bytes // BIN_BYTES))
+    bin_ = F.pmod(F.xxhash64("cell", "a", "b"), F.lit(bins)).alias("bin")
+    meetings = meet.select("*", bin_).join(hashes.select("class", "unit", "keys", "weight"), "class")
 
     def verify(table: pa.Table) -> pa.Table:
         return _meet(table, cosine, tables, blocks)
 
-    found = work.keep(meetings.groupBy("cell", "a", "b").applyInArrow(verify, "class binary, links bigint, root binary"))
+    found = work.keep(meetings.groupBy("bin").applyInArrow(verify, "class binary, links bigint, root binary"))
+    work.drop(meet)
     links = found.where("links > 0").groupBy("class").agg(F.sum("links").alias("links"))
     roots = components(found.where("root is not null and root <> class").select(F.col("class").alias("a"), F.col("root").alias("b")), work)
     known = classes.select("class", "weight", "least").join(links, "class", "left")
@@ -183,39 +197,64 @@ def hash_bytes(raw: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
 
 
+def _near(x: np.ndarray, group: np.ndarray, side: np.ndarray, cosine: float, most: int = 1 << 15):
+    """Pairs (left, right) of rows of one group with at least ``cosine``, some at a time.
+
+    Groups are numbered from 0 and stand one after the other; side 0 is left, 1 right, 2 both.
+    """
+    lefts, rights = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    count = group[-1] + 1 if len(group) else 0
+    of = group[lefts]
+    begins = np.searchsorted(group[rights], np.arange(count + 1))
+    partners = np.diff(begins)
+    large = np.bincount(of, minlength=count) * partners >= MANY
+    for g in np.flatnonzero(large).tolist():
+        i, j = lefts[of == g], rights[begins[g] : begins[g + 1]]
+        p, q = np.nonzero(x[i] @ x[j].T >= cosine)
+        yield i[p], j[q]
+    lefts, of = lefts[~large[of]], of[~large[of]]
+    sizes = partners[of]
+    batch = np.cumsum(sizes) // most
+    for own in np.split(np.arange(len(lefts)), np.flatnonzero(np.diff(batch)) + 1) if len(lefts) else []:
+        size = sizes[own]
+        i = np.repeat(lefts[own], size)
+        j = rights[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begins[of[own]], size)]
+        near = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
+        yield i[near], j[near]
+
+
 def _meet(table: pa.Table, cosine: float, tables: int, blocks: int) -> pa.Table:
-    """Counts and spanning edges of the links between the two blocks of a cell."""
-    side = table.column("side").to_numpy()
-    place = table.column("place").to_numpy()
-    classes = table.column("class").to_pylist()
-    weight = table.column("weight").to_numpy()
-    units, keys = table.column("unit").to_pylist(), table.column("keys").to_pylist()
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    """Counts and spanning edges of the links in the cells of a bin."""
+    cells = np.column_stack([table.column(c).to_numpy() for c in ("cell", "a", "b")])
+    order = np.lexsort(cells.T[::-1])
+    table, cells = table.take(pa.array(order)), cells[order]
+    classes, units = table.column("class").to_pylist(), table.column("unit").to_pylist()
     names = {c: i for i, c in enumerate(sorted(set(classes)))}
     node = np.array([names[c] for c in classes], np.int64)
-    total, a, b = np.zeros(len(names), np.int64), [], []
-    if len(left) and len(right):
-        wide = 1 + blocks
-        unit = {len(u) for u in units}
-        x = np.stack([np.frombuffer(u) for u in units]) if len(unit) == 1 else None
-        if x is not None:
-            k = np.stack([np.frombuffer(r, np.uint64) for r in keys]).reshape(len(keys), tables, wide)
-            near = x[left] @ x[right].T >= cosine
-            i, j = np.nonzero(near)
-            i, j = left[i], right[j]
+    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64).reshape(len(node), tables, 1 + blocks)
+    place, side, weight = (table.column(c).to_numpy() for c in ("place", "side", "weight"))
+    total, a, b, wide = np.zeros(len(names), np.int64), [], [], 1 + blocks
+    sizes = np.array([len(u) for u in units])
+    for size in np.unique(sizes).tolist():  # vectors of other lengths share a cell by chance only
+        own = np.flatnonzero(sizes == size)
+        x = np.frombuffer(b"".join(units[i] for i in own.tolist())).reshape(len(own), -1)
+        new = np.ones(len(own), bool)
+        new[1:] = (cells[own][1:] != cells[own][:-1]).any(axis=1)
+        for i, j in _near(x, np.cumsum(new) - 1, side[own], cosine):
+            i, j = own[i], own[j]
             # own cells meet twice: take them in the order of their names
             keep = (node[i] != node[j]) & ((place[j] % wide != 0) | (node[i] < node[j]))
-            i, j = i[keep], j[keep]
-            for begin in range(0, len(i), 100_000):
-                p, q = i[begin : begin + 100_000], j[begin : begin + 100_000]
-                first = _first_meeting(k, p, q, node, tables, wide)
-                swapped = node[p] > node[q]
-                here = place[q] // wide * (1 + 2 * blocks) + np.where(place[q] % wide == 0, 0, place[q] % wide + np.where(swapped, blocks, 0))
-                once = first == here
-                np.add.at(total, node[p[once]], weight[q[once]])
-                np.add.at(total, node[q[once]], weight[p[once]])
-                a.append(node[p])
-                b.append(node[q])
+            if not keep.any():
+                continue
+            p, q = i[keep], j[keep]
+            first = _first_meeting(keys, p, q, node, tables, wide)
+            swapped = node[p] > node[q]
+            here = place[q] // wide * (1 + 2 * blocks) + np.where(place[q] % wide == 0, 0, place[q] % wide + np.where(swapped, blocks, 0))
+            once = first == here
+            np.add.at(total, node[p[once]], weight[q[once]])
+            np.add.at(total, node[q[once]], weight[p[once]])
+            a.append(node[p])
+            b.append(node[q])
     root = local_roots(len(names), np.concatenate([np.zeros(0, np.int64), *a]), np.concatenate([np.zeros(0, np.int64), *b]))
     order = sorted(names)
     linked = np.flatnonzero((total > 0) | (root != np.arange(len(names))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import inspect
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -63,13 +65,32 @@ def test_e8_points_are_lattice_points():
         assert (gap <= ((best / 2 + s - x) ** 2).sum(1) + 1e-9).all()
 
 
-@pytest.mark.parametrize("block_rows", [512, 8])
-def test_links_are_those_of_brute_force(vectors, block_rows):
+@pytest.mark.parametrize(("block_rows", "many", "bin_bytes"), [(512, 1 << 14, 8 << 20), (8, 4, 20_000), (8, 1 << 14, 20_000)])
+def test_links_are_those_of_brute_force(vectors, block_rows, many, bin_bytes, monkeypatch):
+    monkeypatch.setattr(lattice, "MANY", many)
+    monkeypatch.setattr(lattice, "BIN_BYTES", bin_bytes)
     rows = cloud(3, 120) + ODD + [(950, [1.0] * 16, None), (951, [1.0] * 16, None)]
     out = lattice.near_duplicates(vectors(rows), tables=16, scale=0.8, block_rows=block_rows).collect()
     assert sorted(map(tuple, out)) == brute(rows)
 
 
+@pytest.mark.parametrize("dim", [64, 128])
+def test_registered_tables_find_the_links(dim):
+    """Share of pairs at some cosine that meet in a cell, with the parameters of the query."""
+    options = {k: p.default for k, p in inspect.signature(lattice.near_duplicates).parameters.items()}
+    rng = np.random.default_rng(dim)
+    made = lattice.Tables(dim, options["tables"], options["blocks"], options["scale"], options["seed"])
+    x, y = rng.standard_normal((2, 3000, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(1)[:, None] * x
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    for cosine in (0.93, 0.95, 0.99):
+        z = cosine * x + np.sqrt(1 - cosine**2) * y
+        a, b = made.keys(x), made.keys(z)
+        meets = (a[:, :, :1] == b).any(2) | (a == b[:, :, :1]).any(2)
+        assert meets.any(1).mean() >= 0.99
+
+
 def test_no_vectors(vectors):
     out = lattice.near_duplicates(vectors([]))
     assert out.columns == ["vec_id", "n_links", "component_id", "kept"] and out.count() == 0
