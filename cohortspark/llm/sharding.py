@@ -21,8 +21,8 @@ def range_shards(
 ) -> DataFrame:
     """Every row of ``docs`` in one of ``shards`` shards of near equal bytes.
 
-    The key of a row is (hash of its text, doc_id), so equal texts are neighbours and share a shard
-    unless a border falls between them. About ``samples`` keys are drawn with chances in proportion
+    The key of a row is (hash of its text, doc_id, a number of its own), so equal texts are neighbours
+    and share a shard unless a border falls between them, and rows alike in all columns can be cut too. About ``samples`` keys are drawn with chances in proportion
     to size; their quantiles cut the keys into ``ranges`` ranges a shard (more where a range would hold
     over a million rows). Ranges with over twice the mean size get splitters of their own from a new
     sample, so a text with a third of all rows is cut by doc_id. Sizes of ranges are then counted
@@ -43,25 +43,27 @@ def range_shards(
             F.crc32(F.col(text)).alias("text_crc32"),
             F.coalesce(F.xxhash64(text), F.lit(0)).alias("key"),
             F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("tie"),
+            F.monotonically_increasing_id().alias("salt"),
         )
     )
+    keys = ["key", "tie", "salt"]
     total, n = rows.agg(F.sum("size"), F.count("*")).first()
     if not n:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
     count = max(ranges * shards, math.ceil(n / RANGE_ROWS))
 
-    def sample(frame: DataFrame, size: int) -> list[tuple[int, int]]:
+    def sample(frame: DataFrame, size: int) -> list[tuple[int, ...]]:
         """Keys drawn with the chance ``samples * own size / size``: about ``samples`` of them, all if there are fewer."""
-        drawn = hash_order("tie", "key", F.lit(f"sample {size}")) < F.col("size") * samples / size
-        return sorted(tuple(r) for r in frame.where(drawn).select("key", "tie").distinct().collect())
+        drawn = hash_order(*keys, F.lit(f"sample {size}")) < F.col("size") * samples / size
+        return sorted(tuple(r) for r in frame.where(drawn).select(*keys).collect())
 
-    def cut(keys: list[tuple[int, int]], parts: int) -> set[tuple[int, int]]:
-        return {keys[len(keys) * i // parts] for i in range(1, parts)} if keys else set()
+    def cut(drawn: list[tuple[int, ...]], parts: int) -> set[tuple[int, ...]]:
+        return {drawn[len(drawn) * i // parts] for i in range(1, parts)} if drawn else set()
 
     borders = sorted(cut(sample(rows, total), count))
     for _ in range(rounds):
-        placed = rows.withColumn("range", _range_of(borders)(F.col("key"), F.col("tie")))
-        sizes = placed.groupBy("range").agg(F.sum("size"), F.count("*"), F.min(F.struct("key", "tie")) != F.max(F.struct("key", "tie")))
+        placed = rows.withColumn("range", _range_of(borders)(*keys))
+        sizes = placed.groupBy("range").agg(F.sum("size"), F.count("*"), F.count("*") > 1)
         sizes = {r[0]: tuple(r[1:]) for r in sizes.collect()}
         full = [k for k, (size, _, splits) in sizes.items() if splits and size > 2 * total / count]
         if not full:
@@ -76,7 +78,7 @@ def range_shards(
         if grown == borders:
             break
         borders = grown
-    placed = rows.withColumn("range", _range_of(borders)(F.col("key"), F.col("tie")))
+    placed = rows.withColumn("range", _range_of(borders)(*keys))
     sizes = sorted(tuple(r) for r in placed.groupBy("range").agg(F.sum("size"), F.count("*")).collect())
     before, place = 0, 0
     starts = []
@@ -84,7 +86,7 @@ def range_shards(
         starts.append((k, before, place))
         before, place = before + size, place + count_k
     starts = spark.createDataFrame(starts, "range int, bytes_before long, rows_before long")
-    inside = Window.partitionBy("range").orderBy("key", "tie", "size")
+    inside = Window.partitionBy("range").orderBy(*keys)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle = F.col("bytes_before") + F.sum("size").over(upto) - F.col("size") / 2
     numbered = work.keep(
@@ -102,17 +104,36 @@ def range_shards(
     return numbered.select("doc_id", "size", "text_crc32", "shard", (F.col("place") - first[F.col("shard")]).alias("slot"))
 
 
-def _range_of(borders: list[tuple[int, int]]):
+def places(borders: np.ndarray, values: list[np.ndarray]) -> np.ndarray:
+    """How many of the sorted rows of ``borders`` are at or below each row of ``values``, column by column.
+
+    Rows that tie with borders in a column are told apart by the next one, all rows of a tie at once.
+    """
+    out = np.zeros(len(values[0]), np.int64)
+
+    def narrow(column: int, begin: int, end: int, rows: np.ndarray) -> None:
+        own, value = borders[begin:end, column], values[column][rows]
+        low, high = begin + np.searchsorted(own, value, "left"), begin + np.searchsorted(own, value, "right")
+        last = column + 1 == borders.shape[1]
+        out[rows] = high if last else low
+        if not last:
+            tied = np.flatnonzero(low != high)
+            tied = tied[np.argsort(low[tied], kind="stable")]
+            for part in np.split(tied, np.flatnonzero(np.diff(low[tied])) + 1) if len(tied) else []:
+                narrow(column + 1, int(low[part[0]]), int(high[part[0]]), rows[part])
+
+    if len(borders):
+        narrow(0, 0, len(borders), np.arange(len(out)))
+    return out
+
+
+def _range_of(borders: list[tuple[int, ...]]):
     """Number of borders at or below a key."""
-    keys = np.array([k for k, _ in borders], np.int64)
+    table = np.array(borders, np.int64).reshape(-1, 3)
 
     @F.pandas_udf("int")
-    def of(key: pd.Series, tie: pd.Series) -> pd.Series:
-        k = key.to_numpy(np.int64)
-        low, high = np.searchsorted(keys, k, "left"), np.searchsorted(keys, k, "right")
-        for i in np.flatnonzero(low != high):
-            low[i] = bisect_right(borders, (int(k[i]), int(tie.iloc[i])), int(low[i]), int(high[i]))
-        return pd.Series(low.astype(np.int32))
+    def of(key: pd.Series, tie: pd.Series, salt: pd.Series) -> pd.Series:
+        return pd.Series(places(table, [c.to_numpy(np.int64) for c in (key, tie, salt)]).astype(np.int32))
 
     return of
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -85,5 +86,41 @@ def test_rules_are_many_and_ordered():
         assert gate.search(r["key"]) or gate.search(words), r
 
 
+PIECES = [
+    "GNU General Public License", "gnu lesser general public license", "version 3", "v2", "2.1", "or any later version", "or later", "Apache License",
+    "Apache Software License", "2.0", "MIT License", "expat license", "SPDX-License-Identifier:", "GPL-2.0-only", "CC BY", "CC-BY-SA 4.0", "4.0",
+    "Creative Commons Attribution", "NonCommercial ShareAlike", "international", "creativecommons.org/licenses/by/3.0", "cc0", "Copyright 2019",
+    "All rights reserved", "licensed under the", "BSD License", "3-clause BSD license", "LGPLv3", "the", "of", "x",
+    "you can redistribute it and/or modify it under the terms of the", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+]
+
+
+def detections(text):
+    """All detections by rule, without those inside another: labels and the greatest weight."""
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    line, norm = "".join(f" {w}/{i}" for i, w in enumerate(words)) + " ", f" {' '.join(words)} "
+    hits = []
+    if re.search(licenses.GATE, text):
+        for r in licenses.rules():
+            if r["key"] in norm:
+                hits += [(int(m[1]), -int(m[r["ends"]]), r["place"], r["label"], r["weight"]) for m in re.finditer(r["pattern"], line)]
+    kept = [h for h in hits if not any(g < h and g[0] <= h[0] and g[1] <= h[1] for g in hits)]
+    return {h[3] for h in kept}, max((h[4] for h in kept), default=0.0), len(hits) - len(kept)
+
+
+def test_containment_against_all_pairs(documents):
+    draw = random.Random(7)
+    texts = ["".join(draw.choice(PIECES) + draw.choice([" ", " ", ", ", "\n", " - "]) for _ in range(draw.randrange(1, 14))) for _ in range(250)]
+    got = {r["doc_id"]: r["scan"] for r in licenses.scan(documents(list(enumerate(texts)))).collect()}
+    inside = 0
+    for i, text in enumerate(texts):
+        labels, weight, dropped = detections(text)
+        inside += dropped
+        based = set(filter(None, base(text)[4].split(",")))
+        assert got[i]["labels"] == ",".join(sorted(labels | based)), text
+        assert got[i]["score"] == max(weight, 0.9 if based else 0.0)
+    assert inside > 100
+
+
 def test_no_rows(documents):
     assert licenses.scan(documents([])).count() == 0

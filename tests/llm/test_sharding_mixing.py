@@ -47,6 +47,31 @@ def test_shards_are_even_in_bytes_with_a_hot_text(documents):
     assert sorted(map(tuple, out)) == sorted(map(tuple, again))
 
 
+def test_rows_alike_in_all_columns_are_cut(documents):
+    rows = [(1, "alike " * 30)] * 900 + [(i, "w" * (i % 50)) for i in range(300)]
+    out = sharding.range_shards(documents(rows), 6, samples=300, ranges=8).collect()
+    check_shards(out, 6, rows)
+    sizes = Counter()
+    for r in out:
+        sizes[r["shard"]] += r["size"]
+    assert max(sizes.values()) - min(sizes.values()) <= 400
+    again = sharding.range_shards(documents(rows).repartition(3), 6, samples=300, ranges=8).collect()
+    assert sorted(map(tuple, out)) == sorted(map(tuple, again))
+
+
+def test_places_among_borders():
+    from bisect import bisect_right
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 7, 300):
+        borders = np.array(sorted(map(tuple, rng.integers(0, 5, (n, 3)).tolist()))).reshape(-1, 3)
+        rows = rng.integers(-1, 6, (500, 3))
+        got = sharding.places(borders, [rows[:, i] for i in range(3)])
+        assert got.tolist() == [bisect_right(list(map(tuple, borders.tolist())), tuple(r)) for r in rows.tolist()]
+
+
 def test_equal_texts_share_a_shard_unless_cut(documents):
     rows = [(i, f"text {i % 40} " * 10) for i in range(400)]
     shards = defaultdict(set)
