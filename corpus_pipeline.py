@@ -8,6 +8,7 @@ stage tells those of different texts apart. All stages but the last return the c
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,24 @@ from cohortspark.llm.common import Scratch, table, unique_name
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: rows that Spark hands to Python at a time; texts are long, and a batch is held several times over
+BATCH_ROWS = 1000
 
+
+def bounded(stage: Stage) -> Stage:
+    """``stage`` in a session that hands few rows to Python at a time, so that workers stay small."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+            spark.conf.set(setting, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@bounded
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any language, and fills a null ``lang`` with the predicted one.
 
@@ -32,6 +50,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return out.select(*(F.coalesce(F.col(c), predicted).alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
 
 
+@bounded
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each group of near duplicates; rows without a doc_id stay.
 
@@ -55,6 +74,7 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return kept.join(texts, (kept["doc_id"].cast("long") == F.col(of)) & (kept[name] == F.col(its)), "left_anti").select(docs.columns)
 
 
+@bounded
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 100 bytes that occur earlier; a document of which nothing is left goes.
 
@@ -77,6 +97,7 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return cut.select(*(column(c) for c in docs.columns))
 
 
+@bounded
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the balanced mix of sources takes it.
 
@@ -85,6 +106,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.repeated(mixing.mixed(docs), unique_name(docs, "mix"))
 
 
+@bounded
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, and a digest of what they decode to, with the document's language and source.
 
