@@ -156,6 +156,33 @@ query(
        WHERE o.start_date BETWEEN e.admit_date - 30 AND e.discharge_date + 30""",
 )(lambda v: ex.extract_observations(cohort(v), v("fx_fact"), v("fx_obs_codes")))
 
+
+
+@query(
+    "code_map_facts",
+    f"""SELECT c.raw_obsclin_name, c.obsclin_code, NOT regexp_matches(c.i2b2_code, '[|:]') AS misplaced,
+              count(*) AS n_facts, count(DISTINCT f.patient_num) AS n_patients
+       FROM $fx_fact f JOIN $w_local_codes k ON cast(substr(f.concept_cd, 3) AS bigint) % {len(refdata.OBSERVATION_CODES)} = k.k
+       JOIN (SELECT DISTINCT raw_obsclin_name, obsclin_code, obsclin_type, i2b2_code, i2b2_label FROM $w_local_codes) c
+         ON c.i2b2_code = k.i2b2_code
+       GROUP BY ALL""",
+)
+def _(v):
+    """Facts under a site's codes, dealt by part, through its code map; rows whose code cannot be one are marked."""
+    codes = refdata.observation_codes(v.spark)
+    dealt = [(k, row[3]) for k, row in enumerate(refdata.OBSERVATION_CODES)]
+    site = refdata.literal_table(v.spark, dealt, "k int, i2b2_code string")
+    part = F.substring(F.col("concept_cd"), 3, 20).cast("long") % len(dealt)
+    facts = v("fx_fact").select("patient_num", part.cast("int").alias("k")).join(site, "k")
+    odd = refdata.misplaced_codes(codes).withColumn("misplaced", F.lit(True))
+    marked = codes.join(odd, codes.columns, "left").withColumn("misplaced", F.coalesce("misplaced", F.lit(False)))
+    return (
+        facts.join(marked, "i2b2_code")
+        .groupBy("raw_obsclin_name", "obsclin_code", "misplaced")
+        .agg(F.count("*").alias("n_facts"), F.count_distinct("patient_num").alias("n_patients"))
+    )
+
+
 _DEMO = "SELECT e.patid, d.birth_date, d.sex, d.race, d.hispanic, x.death_date"
 query(
     "demo_death",

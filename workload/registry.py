@@ -103,6 +103,10 @@ ORACLE_VIEWS = {
         refdata.SEVERITY_BANDS, "organ, code, lb, ub, direction, score, scale_type"
     ),
     "w_prefixes": _values(refdata.RESPIRATORY_PREFIXES, "icd_key, dx_ccs_grp1, dx_ccs_grp2"),
+    "w_local_codes": _values(
+        [(k, *row) for k, row in enumerate(refdata.OBSERVATION_CODES)],
+        "k, raw_obsclin_name, obsclin_code, obsclin_type, i2b2_code, i2b2_label",
+    ),
     "w_ranges": _values(
         refdata.WHITE_CELL_RANGES,
         "wbc_type, lab_name, component_id, normal_low, normal_high, normal_lowp, normal_highp",
