@@ -332,11 +332,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule, work: Scratch) -> D
     return one.join(hubs, "b").select("a", "b", "x", "y").mapInArrow(test, "a binary, b binary")
 
 
+def _may_link(rule: Rule) -> Column:
+    """Whether any set of a component may be similar to any of another one (``to_``), by the bounds of both.
+
+    Sets of sizes n and m need (100 + percent) * held >= percent * (n + m) of either. Their sketches differ
+    at least in the bits that all of one component have and none of the other.
+    """
+    held = [f"{a}reach >= {rule.percent} * {b}n_least" for a, b in (("", "to_"), ("to_", ""))]
+    bits = [f"bit_count((all_{w} & ~to_any_{w}) | (to_all_{w} & ~any_{w}))" for w in _WORDS]
+    apart = f"{100 + rule.percent} * ({' + '.join(bits)}) <= {100 - rule.percent} * (n_most + to_n_most)"
+    return F.expr(" and ".join([*held, apart]))
+
+
 def _apart(lists: DataFrame, sets: DataFrame, rule: Rule, near: Column, work: Scratch) -> DataFrame:
     """Pairs (a, b) of sets in different components of which some sets share a key, but for those that a bound rules out.
 
     Sets that have a long passage in common share hundreds of keys. So keys only tell which components
-    meet, each of a key's components once; the sets of two that do then meet a single time.
+    meet, each of a key's components once, and only those that bounds on all their sets leave to be
+    similar; the sets of two that do then meet a single time.
     """
     still = lists.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("key")
     left = work.keep(lists.join(still, "key", "left_semi"))
@@ -346,11 +359,16 @@ def _apart(lists: DataFrame, sets: DataFrame, rule: Rule, near: Column, work: Sc
     once = work.keep(of.groupBy("key").agg(company).groupBy("company").agg(F.min("key").alias("key")).select("key"))
     folded = sets.mapInArrow(_sketches, "name binary, " + ", ".join(f"{w} bigint" for w in _WORDS))
     members = work.keep(left.select("name", "n", "held", "root").distinct().join(folded, "name"))
+    # a component's bounds: the sizes and the reach of its sets, and the bits that all or any of their sketches have
+    bounds = members.groupBy("root").agg(
+        F.count(F.lit(1)).alias("size"), F.min("n").alias("n_least"), F.max("n").alias("n_most"),
+        F.max((100 + rule.percent) * F.col("held") - rule.percent * F.col("n")).alias("reach"),
+        *(F.bit_and(w).alias(f"all_{w}") for w in _WORDS), *(F.bit_or(w).alias(f"any_{w}") for w in _WORDS),
+    )
     # the sets of the smaller component go to those of the larger one
-    size = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    of = work.keep(of.join(once, "key", "left_semi").join(size, "root"))
-    larger = of.select("key", F.col("root").alias("to"), F.col("size").alias("to_size"))
-    meet = of.join(larger, "key").where("size < to_size or (size = to_size and root < to)")
+    of = work.keep(of.join(once, "key", "left_semi").join(work.keep(bounds), "root"))
+    larger = of.select("key", F.col("root").alias("to"), *(F.col(c).alias(f"to_{c}") for c in bounds.columns if c != "root"))
+    meet = of.join(larger, "key").where("size < to_size or (size = to_size and root < to)").where(_may_link(rule))
     meet = work.keep(meet.select("root", "to").distinct())
     others = members.select(
         F.col("name").alias("hub"), F.col("n").alias("m"), F.col("held").alias("theirs"), F.col("root").alias("to"),

@@ -99,6 +99,57 @@ def test_groups_among_many_changed_copies(documents, monkeypatch):
     assert sorted(map(tuple, jaccard.similar_groups(documents(rows)).collect()), key=str) == want
 
 
+def test_copies_too_far_from_each_other_do_not_meet(documents, monkeypatch):
+    """Copies of one text, each changed a lot, share hundreds of keys; bounds on them leave few pairs."""
+    monkeypatch.setattr(jaccard, "FREQUENT", 4)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    text, rows, met = [word() for _ in range(400)], [], []
+    for _ in range(90):
+        copy = list(text)
+        for at in rng.sample(range(400), 10):
+            copy[at] = word()
+        rows.append(" ".join(copy))
+    rows = list(enumerate([*rows, *rows[:3], " ".join(text)]))
+    keep = Scratch.keep
+
+    def kept(work, df):
+        out = keep(work, df)
+        if df.columns == ["root", "to"]:
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", kept)
+    got = sorted(map(tuple, jaccard.similar_groups(documents(rows)).collect()), key=str)
+    assert got == brute_groups(rows)
+    assert len(met) == 1 and met[0] < 90, met
+
+
+def test_component_bounds_rule_out_no_similar_sets(spark):
+    """Components of sets around one text: where any two sets are similar, the bounds let them meet."""
+    rng, rule = np.random.default_rng(5), jaccard.Rule(80)
+    text, groups = rng.integers(1, 1 << 62, 120, dtype=np.uint64), []
+    for _ in range(40):
+        near = np.concatenate([rng.permutation(text)[: 120 - rng.integers(0, 30)], rng.integers(1, 1 << 62, rng.integers(0, 12), dtype=np.uint64)])
+        groups.append([np.unique(rng.permutation(near)[: len(near) - rng.integers(0, 4)]) for _ in range(rng.integers(1, 4))])
+    count = dict(zip(*np.unique(np.concatenate([x for g in groups for x in g]), return_counts=True), strict=True))
+
+    def bounds(g):
+        sketches = np.array([jaccard.sketch(x) for x in g])
+        reach = max(180 * sum(count[t] > 1 for t in x.tolist()) - 80 * len(x) for x in g)
+        return [min(map(len, g)), max(map(len, g)), reach, *np.bitwise_and.reduce(sketches).tolist(), *np.bitwise_or.reduce(sketches).tolist()]
+
+    names = ["n_least", "n_most", "reach", *(f"all_{w}" for w in jaccard._WORDS), *(f"any_{w}" for w in jaccard._WORDS)]
+    one = spark.createDataFrame([(i, *map(int, bounds(g))) for i, g in enumerate(groups)], ["i", *names])
+    other = one.select(*(F.col(c).alias(f"to_{c}") for c in one.columns))
+    left = {(r.i, r.to_i) for r in one.crossJoin(other).where("i < to_i").where(jaccard._may_link(rule)).collect()}
+    similar = {
+        (i, j) for j in range(40) for i in range(j)
+        if any(rule.similar(len(x), len(y), len(np.intersect1d(x, y))) for x in groups[i] for y in groups[j])
+    }
+    assert 0 < len(similar) and similar <= left and len(left) < 780
+
+
 def test_long_texts_are_grouped_whole(documents):
     rng = random.Random(13)
     long = ["w%d" % rng.randrange(50_000) for _ in range(40_000)]
