@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,7 +107,7 @@ def load_part(df: DataFrame, name: str, key: str, value: str | int) -> DataFrame
 
     The table is laid out in folders by ``key``, a column of its own that says which load a row came
     with. So a load that runs again, after a failure or by mistake, leaves what the first one left.
-    A table that is absent is made. ``df`` needs the table's columns, in any order, without ``key``.
+    A table that is absent is made. ``df`` is computed once; it needs the table's columns, in any order, without ``key``.
     """
     spark = df.sparkSession
     marked = df.withColumn(key, F.lit(value))
@@ -117,15 +117,15 @@ def load_part(df: DataFrame, name: str, key: str, value: str | int) -> DataFrame
     mode = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(mode)
     columns = [c for c in spark.table(name).columns if c != key]
-    empty = marked.isEmpty()
+    written = Observation()
     spark.conf.set(mode, "dynamic")
     try:
-        if empty:  # no row names the folder that has to go
-            spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS PARTITION (`{key}` = :value)", args={"name": name, "value": value})
-        else:
-            marked.select(*columns, key).write.insertInto(name, overwrite=True)
+        counted = marked.select(*columns, key).observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(mode, before)
+    if not written.get["rows"]:  # no row has named the folder that has to go
+        spark.sql(f"ALTER TABLE IDENTIFIER(:name) DROP IF EXISTS PARTITION (`{key}` = :value)", args={"name": name, "value": value})
     return spark.table(name)
 
 

@@ -101,6 +101,23 @@ def test_batch(spark, rows):
         batch.run_batch(spark, [batch.Stage("x", "SELECT 1", "shout")])
 
 
+def test_a_load_computes_its_rows_once(spark, rows):
+    name, seen = "loads_counted", spark.sparkContext.accumulator(0)
+
+    def through(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    make = lambda n: spark.range(n).mapInArrow(through, "id long").repartition(2)
+    try:
+        tables.load_part(make(3), name, "load", "mon")
+        assert rows(tables.load_part(make(4), name, "load", "mon")) == [(i, "mon") for i in range(4)]
+        assert seen.value == 7
+    finally:
+        tables.drop_tables(spark, name)
+
+
 def test_a_load_that_runs_again_replaces_its_own_rows(spark, rows):
     name = "loads_of_parts"
     make = lambda *values: spark.createDataFrame([(v, v * 10) for v in values], "a int, b int")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortspark.functions import scalars as sc
@@ -325,8 +326,16 @@ def _(v):
        UNION ALL SELECT DISTINCT 2, * FROM $w_step2 UNION ALL SELECT DISTINCT 3, * FROM $w_step3""",
 )
 def _(v):
-    """The status waterfall loaded step by step into one table, the whole batch twice."""
-    v("fx_fact").createOrReplaceTempView("load_facts")
+    """The status waterfall loaded step by step into one table, the whole batch twice.
+
+    All eight loads read the facts since the floor date of the concepts of any step, which are stored once for them.
+    """
+    held = fresh_table(v, "facts")
+    paths = [F.like("concept_path", F.lit(path), F.lit("!")) for _, _, (path,) in STEPS]
+    codes = v("fx_concept").where(reduce(Column.__or__, paths)).select("concept_cd")
+    facts = v("fx_fact").where(sc.not_before(v("fx_fact"), "start_date", SINCE))
+    facts = facts.select("patient_num", "encounter_num", "concept_cd", "start_date").join(codes, "concept_cd", "left_semi")
+    save_table(facts, held).createOrReplaceTempView("load_facts")
     v("fx_concept").createOrReplaceTempView("load_concepts")
     name = fresh_table(v, "status")
     earlier = " AND NOT EXISTS (SELECT 1 FROM IDENTIFIER(:loads) l WHERE l.patient_num = f.patient_num AND l.step < {step})"
@@ -344,6 +353,7 @@ def _(v):
     ]
     for _ in range(2):
         loaded = run_batch(v.spark, stages, {"loads": name})[name]
+    drop_tables(v.spark, held)
     return loaded.select("step", "patient_num", "encounter_num", "pos_confirmed", "lab_int")
 
 
