@@ -11,6 +11,12 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # a task sorts and hashes what it reads of a shuffle, so that is kept small and alike at every size:
+    # many partitions, merged to few MB (packed; rows take some ten times that in memory)
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    # and what it reads of a file, as scans feed partial aggregates
+    "spark.sql.files.maxPartitionBytes": "32m",
     # one patient may hold a large share of the facts: split such partitions
     # even where that costs one more exchange behind the join
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -288,3 +288,10 @@ def test_null_keys_join_each_other(spark, rows):
     right = spark.createDataFrame([(None, 10), ("b", 20)], "k string, m int")
     assert rows(rs.joined_back(left, right, ["k"])) == [("a", 2, None), (None, 1, 10)]
     assert dt is not None
+
+
+def test_a_task_reads_few_mb_of_a_shuffle(spark):
+    """100 MB of a shuffle go to many tasks, however few partitions the session asks for."""
+    keys = spark.range(6_000_000).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b")).distinct()
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 8
+    assert keys.select(F.spark_partition_id().alias("p")).distinct().count() > 10
