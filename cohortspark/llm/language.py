@@ -21,6 +21,8 @@ UNKNOWN, GAP = 0, 1  # symbols: a letter that no sample has; all that is no lett
 ROOT = 1  # state 0 means: no such transition
 #: symbols of a text that are parsed one after the other; blocks of a long text side by side
 BLOCK = 512
+#: characters of text that a call parses at once; a worker holds some twenty bytes for each
+PIECE = 1 << 20
 
 
 class Table(NamedTuple):
@@ -190,7 +192,8 @@ class Parser:
                 keep = ~met & (at + 1 < ends[text[going]])
                 going, at = going[keep], at[keep] + 1
             # from the first block of each text along the places where parses meet
-            before = np.concatenate([[0], np.cumsum(begins)])
+            before = np.zeros(len(joined) + 1, np.int32 if len(joined) < 1 << 31 else np.int64)
+            np.cumsum(begins, dtype=before.dtype, out=before[1:])
             now = np.flatnonzero(place == 0)
             since = begin[now]
             while len(now):
@@ -286,7 +289,7 @@ def predict(
     kinds = [(fields[0], T.StringType()), (fields[1], T.DoubleType())]
     if lettered:
         kinds.append((lettered, T.BooleanType()))
-    return appended(docs, text, kinds, make, 1 << 22)
+    return appended(docs, text, kinds, make, PIECE)
 
 
 def fold(doc_id: str = "doc_id") -> F.Column:

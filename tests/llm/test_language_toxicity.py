@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cohortspark.llm import language, toxicity
+from cohortspark.llm.common import pieces
 from cohortspark.llm.words import MARKS, hashed_words, shingles
 
 SYLLABLES = {"aa": ["ka", "to", "mi", "ru"], "bb": ["sch", "ein", "ung", "ver"], "cc": ["ção", "ões", "lh", "nha"]}
@@ -55,6 +58,26 @@ def test_long_texts_are_parsed_whole():
         assert parser.phrases([found(t)[0] for t in texts], block).tolist() == want
 
 
+def test_a_batch_of_large_texts_is_parsed_in_little_memory(monkeypatch):
+    """A worker parses beside another one and a full JVM."""
+    rng = random.Random(3)
+    model = language.model_of({n: [invented(rng, n, 60)] for n in SYLLABLES})
+    made = {}
+    monkeypatch.setattr(language, "appended", lambda docs, text, kinds, make, size: made.update(make=make, size=size))
+    language.predict(None, model)
+    batch = pa.record_batch({"text": [invented(rng, "bb", 4000) for _ in range(250)]})
+    assert batch.nbytes > 4 << 20
+    call = made["make"]()
+    tracemalloc.start()
+    try:
+        names = [n for piece in pieces(batch, 0, made["size"]) for n in call(piece.column(0).to_pylist())[0]]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert names == ["bb"] * 250
+    assert peak < 32 << 20
+
+
 def test_no_id_is_not_held_out(documents):
     got = {r.doc_id: r.held for r in documents([(None, "a"), (1, "b")]).select("doc_id", language.fold().alias("held")).collect()}
     assert got[None] is False
